@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annalist.functions import prefix
+from annalist.functions import moment, prefix
 from annalist.operators.joins import history_semi
 from annalist.operators.rows import multi_period_keys
 from annalist.operators.scd2 import scd2_initial
@@ -81,7 +81,7 @@ def stock_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     treated = F.least(
         F.date_add("last_d", (F.col("k") % 400 - 200).cast("int")).cast("timestamp_ntz")
         + F.make_dt_interval(hours=(F.col("k") % 24).cast("int")),
-        F.lit(dt.datetime(2001, 6, 1)).cast("timestamp_ntz"),
+        moment("2001-06-01"),
     )
     negative = F.col("c_acctbal") < 0
     columns = {
@@ -204,7 +204,7 @@ def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "libelleCommuneEtablissement": F.when(k % 4 == 1, F.concat(label, F.lit(" BIS"))).otherwise(label),
         "coordonneeLambertAbscisseEtablissement": F.when(k % 13 != 0, x),
         "dateDernierTraitementEtablissement": F.when(
-            on_cap, F.lit(dt.datetime(2001, 6, 1)).cast("timestamp_ntz")
+            on_cap, moment("2001-06-01")
         ).otherwise(treated + F.make_dt_interval(hours=(k % 24).cast("int"))),
         "dateDebut": F.when(on_cap, F.lit(dt.date(2001, 5, 15))).otherwise(
             F.date_add(F.lit(dt.date(2001, 6, 25)), (k % 10).cast("int"))

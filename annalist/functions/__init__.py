@@ -4,6 +4,7 @@ from annalist.functions.columns import (
     add_second,
     as_date,
     differs,
+    moment,
     month_at,
     month_floor,
     month_index,
@@ -18,6 +19,7 @@ __all__ = [
     "add_second",
     "as_date",
     "differs",
+    "moment",
     "month_at",
     "month_floor",
     "month_index",

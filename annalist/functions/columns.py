@@ -21,6 +21,12 @@ def as_date(c: Column | str | dt.date) -> Column:
     return _col(c).cast("date")
 
 
+def moment(t: dt.datetime | str) -> Column:
+    """A zone-less time as a literal, whatever the session's zone."""
+    text = t if isinstance(t, str) else t.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def prefix(c: Column | str, n: int = 2) -> Column:
     return F.substring(_col(c), 1, n)
 
@@ -60,8 +66,7 @@ def second_number(t: dt.datetime) -> int:
 
 def second_at(index: Column | str) -> Column:
     """The zone-less time at the given second."""
-    origin = F.lit(_EPOCH).cast("timestamp_ntz")
-    return origin + F.make_dt_interval(secs=_col(index).cast("decimal(18,6)"))
+    return moment("1970-01-01") + F.make_dt_interval(secs=_col(index).cast("decimal(18,6)"))
 
 
 def add_second(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annalist.functions import second_at, second_index, second_number
+from annalist.functions import moment, second_at, second_index, second_number
 from annalist.session import materialize
 
 
@@ -26,7 +26,7 @@ def plan_range_chunks(
     """
     zoneless = F.col(ts).cast("timestamp_ntz")
     seconds = (
-        df.filter((zoneless >= F.lit(start).cast("timestamp_ntz")) & (zoneless < F.lit(end).cast("timestamp_ntz")))
+        df.filter((zoneless >= moment(start)) & (zoneless < moment(end)))
         .groupBy(part, second_index(ts).alias("second"))
         .agg(F.count("*").alias("n"))
         .withColumn("lo", F.lit(second_number(start)).cast("bigint"))

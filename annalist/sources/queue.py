@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.functions import add_second, as_date, prefix
+from annalist.functions import add_second, as_date, moment, prefix
 
 BATCH = "batch_date"
 
@@ -38,14 +38,13 @@ def incremental_slice(
     df: DataFrame, ts: str, cursor: dt.datetime | str, code: str, prefixes: Sequence[str], n: int = 2
 ) -> DataFrame:
     """Rows treated since the cursor (inclusive) whose code starts with one of the prefixes."""
-    since = F.lit(cursor).cast(df.schema[ts].dataType)
+    since = moment(cursor).cast(df.schema[ts].dataType)
     return df.filter((F.col(ts) >= since) & prefix(code, n).isin(*prefixes))
 
 
 def next_cursor(df: DataFrame, ts: str, old_cursor: dt.datetime | str) -> DataFrame:
     """One second after the last treatment; an empty batch keeps the old cursor."""
-    old = F.lit(old_cursor).cast("timestamp_ntz")
-    return df.agg(F.coalesce(add_second(F.max(ts)), old).alias("cursor"))
+    return df.agg(F.coalesce(add_second(F.max(ts)), moment(old_cursor)).alias("cursor"))
 
 
 def pending_batches(queue: DataFrame) -> DataFrame:
