@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annalist.functions import month_at, month_floor, month_index
+from annalist.functions import month_at, month_index
 from annalist.operators.rows import open_rows
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
@@ -101,10 +101,16 @@ def dense_grid(scd: DataFrame, months: DataFrame, dims: Mapping[str, Column]) ->
     bounds, so the product is generated row by row and needs no join.
     """
     month = months.columns[0]
-    bounds = months.agg(F.array(F.min(month), F.max(month))).scalar()
+    first = months.agg(F.min(month_index(month))).scalar()
+    last = months.agg(F.max(month_index(month))).scalar()
+    grid = month_grid(scd, first, last, dims)
+    return grid.select(month_at("at").alias("month"), *dims)
+
+
+def month_grid(scd: DataFrame, first: Column, last: Column, dims: Mapping[str, Column]) -> DataFrame:
+    """Every occurring combination of the dimensions with each month index ``at`` in the range."""
     pairs = scd.select(*[c.alias(n) for n, c in dims.items()]).distinct()
-    calendar = F.sequence(bounds[0], bounds[1], F.expr("INTERVAL 1 MONTH"))
-    return pairs.select(F.explode(calendar).alias("month"), *dims).withColumn("month", month_floor("month"))
+    return pairs.filter(first <= last).select(*dims, F.explode(F.sequence(first, last)).alias("at"))
 
 
 def zero_filled_star_join(grid: DataFrame, measures: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:

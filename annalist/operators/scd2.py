@@ -98,7 +98,11 @@ def expected_rows(stock: DataFrame, scd: DataFrame, spec: TableSpec = ESTABLISHM
 
 
 def any_differs(incoming: Column, current: Column, cols: Sequence[str], null_safe: bool = False) -> Column:
-    return reduce(or_, [differs(incoming[c], current[c], null_safe) for c in cols], F.lit(False))
+    """Whether any of the columns changed; a NULL comparison alone is no change."""
+    if null_safe:
+        return reduce(or_, [differs(incoming[c], current[c], null_safe=True) for c in cols], F.lit(False))
+    # OR is true when one comparison is, whatever the others are, so one coalesce will do
+    return F.coalesce(reduce(or_, [incoming[c] != current[c] for c in cols], F.lit(False)), F.lit(False))
 
 
 def boundary_date(incoming: Column, current: Column, spec: TableSpec, mode: str = GREATEST) -> Column:

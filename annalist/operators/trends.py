@@ -1,9 +1,8 @@
 """Monthly measures over a history table, all exact distinct counts of entities.
 
-A period, a creation, a closure and a reopening are all turned into *facts*: an
-entity, its dimensions, a kind and a range of months. Facts are narrow, made
-distinct before anything is grouped by month, and reduced to +1 / -1 changes, so an
-entity that is active for twenty years costs two rows and not 240.
+An active period is reduced to a change of +1 in its first month and -1 after its last, so
+an entity that is active for twenty years costs two rows and not 240, and joining every
+month with every period is not needed.
 """
 
 from __future__ import annotations
@@ -15,10 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annalist.functions import month_at, month_floor, month_index, month_number, prefix
-from annalist.operators.joins import active_months
+from annalist.operators.joins import active_months, month_grid
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
-ACTIVE, CREATION, CLOSURE, REOPENING, PAIR = range(5)
+CREATION, CLOSURE, REOPENING = range(3)
 MEASURES = ("nb_active", "nb_creations", "nb_closures", "nb_reopenings")
 
 
@@ -49,76 +48,65 @@ def _entered(scd: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def period_facts(
+def active_ranges(
     scd: DataFrame,
-    kinds: Sequence[int],
     bounds: tuple[int, int],
     dims: Mapping[str, Column],
     spec: TableSpec = ESTABLISHMENTS,
-    transitions_only: bool = False,
+    disjoint: bool = False,
 ) -> DataFrame:
-    """Distinct facts ``(key, dims, kind, lo, hi)``; ranges of one entity, kind and dims do not overlap.
+    """Month ranges ``(dims, lo, hi)`` in which an entity is active; those of one entity and dims do not overlap.
 
-    Counting facts that cover a month therefore equals counting distinct entities, also
-    when the table holds overlapping periods.
+    Counting the ranges that cover a month therefore equals counting distinct entities.
+    Overlapping periods are cut to what they add, which takes a shuffle by entity. A
+    table that passed ``check_no_overlap`` has none, and ``disjoint`` saves the shuffle.
     """
-    first, last = F.lit(bounds[0]), F.lit(bounds[1])
-    if transitions_only:
-        scd = _entered(scd, spec)
-    entered = F.col("_entered") if transitions_only else F.lit(True)
-    state, started = F.col(spec.state), month_index(spec.start)
-    created = month_index(spec.created_on)
-    lo, hi = active_months(F.col(spec.start), F.col(spec.end), first, last)
-    is_active, is_closed = state == spec.active_state, state == spec.closed_state
-    ranges = {
-        ACTIVE: (is_active, lo, hi),
-        CREATION: (F.lit(True), created, created),
-        CLOSURE: (is_closed & entered, started, started),
-        REOPENING: (is_active & entered & (started != created), started, started),
-        PAIR: (F.lit(True), first, first),
-    }
-    wanted = []
-    for kind in kinds:
-        holds, a, b = ranges[kind]
-        wanted.append(F.struct(F.lit(kind).alias("kind"), F.when(holds, a).alias("lo"), F.when(holds, b).alias("hi")))
     names = list(dims)
-    facts = (
-        scd.select(spec.key, *[c.alias(n) for n, c in dims.items()], F.inline(F.array(*wanted)))
-        .filter((F.col("lo") <= F.col("hi")) & F.col("lo").between(first, last))
-        # a PAIR only says that the dimensions occur, so it needs no entity
-        .withColumn(spec.key, F.when(F.col("kind") != PAIR, F.col(spec.key)))
+    lo, hi = active_months(F.col(spec.start), F.col(spec.end), F.lit(bounds[0]), F.lit(bounds[1]))
+    ranges = (
+        scd.filter(F.col(spec.state) == spec.active_state)
+        .select(spec.key, *[c.alias(n) for n, c in dims.items()], lo.alias("lo"), hi.alias("hi"))
+        .filter("lo <= hi")
     )
-    # At most one row per entity and month is left before the window below, however
-    # many rows a hot entity has; equal ranges are already combined before the shuffle.
-    by_start = facts.groupBy(spec.key, *names, "kind", "lo").agg(F.max("hi").alias("hi"))
-    earlier = (
-        Window.partitionBy(spec.key, *names, "kind").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    if not disjoint:
+        # One row per entity and first month is left for the window, however many rows a hot
+        # entity has; equal ones are combined before the shuffle.
+        ranges = ranges.groupBy(spec.key, *names, "lo").agg(F.max("hi").alias("hi"))
+        earlier = Window.partitionBy(spec.key, *names).orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+        covered = F.max("hi").over(earlier)
+        ranges = ranges.withColumn("lo", F.greatest(F.col("lo"), covered + F.lit(1))).filter("lo <= hi")
+    return ranges.select(*names, "lo", "hi")
+
+
+def _active_changes(ranges: DataFrame, names: Sequence[str], last: int) -> DataFrame:
+    """+1 where a range begins and -1 after its end, as rows ``(dims, at, nb_active)``."""
+    at = F.explode(F.array(F.col("lo"), F.col("hi") + F.lit(1)))
+    change = F.when(F.col("at") == F.col("lo"), 1).otherwise(-1)
+    return ranges.select(*names, "lo", at.alias("at")).filter(F.col("at") <= last).select(
+        *names, "at", change.alias("nb_active")
     )
-    covered = F.max("hi").over(earlier)
-    return by_start.withColumn("lo", F.greatest(F.col("lo"), covered + F.lit(1))).filter("lo <= hi")
 
 
-def _changes(facts: DataFrame, names: Sequence[str], bounds: tuple[int, int]) -> DataFrame:
-    """Per month and dims: change in active entities and the three counts, zero rows for pairs."""
-    first, last = bounds
-    kind = F.col("kind")
-
-    def row(month: Column, **values: int) -> Column:
-        return F.struct(month.alias("at"), *[F.lit(values.get(m, 0)).alias(m) for m in MEASURES])
-
-    one_month = {CREATION: "nb_creations", CLOSURE: "nb_closures", REOPENING: "nb_reopenings"}
-    rows = F.when(
-        kind == ACTIVE, F.array(row(F.col("lo"), nb_active=1), row(F.col("hi") + F.lit(1), nb_active=-1))
+def _month_events(
+    scd: DataFrame, bounds: tuple[int, int], dims: Mapping[str, Column], spec: TableSpec, transitions_only: bool
+) -> DataFrame:
+    """Distinct creations, closures and reopenings of entities, as rows ``(dims, at, <measure> = 1)``."""
+    entered = F.col("_entered") if transitions_only else F.lit(True)
+    state, created, started = F.col(spec.state), month_index(spec.created_on), month_index(spec.start)
+    begun = F.when((state == spec.closed_state) & entered, CLOSURE).when(
+        (state == spec.active_state) & entered & (started != created), REOPENING
     )
-    for code, measure in one_month.items():
-        rows = rows.when(kind == code, F.array(row(F.col("lo"), **{measure: 1})))
-    rows = rows.otherwise(F.transform(F.sequence(F.lit(first), F.lit(last)), lambda m: row(m)))
-    return (
-        facts.select(*names, F.inline(rows))
-        .filter(F.col("at") <= last)
-        .groupBy(*names, "at")
-        .agg(*[F.sum(m).alias(m) for m in MEASURES])
+    events = F.array(
+        F.struct(F.lit(CREATION).alias("kind"), created.alias("at")), F.struct(begun.alias("kind"), started.alias("at"))
     )
+    names = list(dims)
+    distinct = (
+        scd.select(spec.key, *[c.alias(n) for n, c in dims.items()], F.inline(events))
+        .filter(F.col("kind").isNotNull() & F.col("at").between(*bounds))
+        .distinct()
+    )
+    codes = {"nb_creations": CREATION, "nb_closures": CLOSURE, "nb_reopenings": REOPENING}
+    return distinct.select(*names, "at", *[(F.col("kind") == k).cast("int").alias(m) for m, k in codes.items()])
 
 
 def nb_active(
@@ -126,17 +114,18 @@ def nb_active(
     dims: Mapping[str, Column] | None = None,
     bounds: tuple[int, int] = (0, 0),
     spec: TableSpec = ESTABLISHMENTS,
+    disjoint: bool = False,
 ) -> DataFrame:
     """Distinct entities active on each month start, for groups that have any."""
     dims = dims or default_dims(spec)
     names = list(dims)
-    changes = _changes(period_facts(scd, [ACTIVE], bounds, dims, spec), names, bounds)
+    changes = _active_changes(active_ranges(scd, bounds, dims, spec, disjoint), names, bounds[1])
+    monthly = changes.groupBy(*names, "at").agg(F.sum("nb_active").alias("change"))
     # one row per group and month with a change, so a group is bounded by the calendar
     by_month = Window.partitionBy(*names).orderBy("at")
-    level = F.sum("nb_active").over(by_month)
     until = F.coalesce(F.lead("at").over(by_month) - F.lit(1), F.lit(bounds[1]))
     return (
-        changes.select(*names, "at", level.alias("nb_active"), until.alias("until"))
+        monthly.select(*names, "at", F.sum("change").over(by_month).alias("nb_active"), until.alias("until"))
         .filter("nb_active > 0")
         .select(*names, "nb_active", F.explode(F.sequence("at", "until")).alias("at"))
         .select(month_at("at").alias("month"), *names, "nb_active")
@@ -197,19 +186,25 @@ def sector_trends(
     dims: Mapping[str, Column] | None = None,
     spec: TableSpec = ESTABLISHMENTS,
     transitions_only: bool = False,
+    disjoint: bool = False,
 ) -> DataFrame:
     """Every month and occurring group with its four measures, 0 where there is nothing.
 
-    The history table is read once. Groups with a NULL dimension keep zeros.
+    The grid's zeros and the measures' counts are stacked and summed once, so no join is
+    needed. Groups with a NULL dimension keep zeros.
     """
     dims = dims or default_dims(spec)
     names, bounds = list(dims), spine_bounds(start, end)
-    kinds = [ACTIVE, CREATION, CLOSURE, REOPENING, PAIR]
-    facts = period_facts(scd, kinds, bounds, dims, spec, transitions_only)
-    complete = F.lit(True)
-    for n in names:
-        complete = complete & F.col(n).isNotNull()
-    monthly = _changes(facts.filter(complete | (F.col("kind") == PAIR)), names, bounds)
+    zeros = month_grid(scd, F.lit(bounds[0]), F.lit(bounds[1]), dims)
+    grouped = _entered(scd, spec) if transitions_only else scd
+    for column in dims.values():
+        grouped = grouped.filter(column.isNotNull())
+    active = _active_changes(active_ranges(grouped, bounds, dims, spec, disjoint), names, bounds[1])
+    events = _month_events(grouped, bounds, dims, spec, transitions_only)
+    stacked = active.unionByName(events, allowMissingColumns=True).unionByName(zeros, allowMissingColumns=True)
+    monthly = stacked.groupBy(*names, "at").agg(
+        *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES]
+    )
     running = Window.partitionBy(*names).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return monthly.select(
         month_at("at").alias("month"),

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.operators.quality import require_ok
+from annalist.session import write_parquet
 
 Model = Callable[..., DataFrame]
 Check = Callable[[DataFrame], DataFrame]
@@ -26,7 +27,7 @@ def write_snapshot(df: DataFrame, name: str, root: str, partition_by: Sequence[s
     """Write to a new folder below the root; gives its path and row count, taken while writing."""
     path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("n")).write.partitionBy(*partition_by).parquet(path)
+    write_parquet(df.observe(counted, F.count(F.lit(1)).alias("n")), path, partition_by)
     return path, counted.get["n"]
 
 

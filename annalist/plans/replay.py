@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annalist.operators.joins import affected_history
 from annalist.operators.scd2 import (
@@ -45,9 +46,15 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _step(spec: TableSpec, null_safe: bool, mode: str) -> Callable[[Column, Column], Column]:
-    """One record applied to an entity's periods."""
+    """One record applied to an entity's state.
 
-    def with_open_row(state: Column, record: Column, current: Column) -> Column:
+    The state is the open period, the closed ones, and the fixed values that the first
+    ``corrected`` closed ones take in the end; so a record costs the same however many
+    periods came before it.
+    """
+
+    def step(state: Column, record: Column) -> Column:
+        current = state["open"]
         exists = current[spec.start].isNotNull()
         flags = F.struct(
             (exists & any_differs(record, current, spec.tracked, null_safe)).alias("changed"),
@@ -55,35 +62,44 @@ def _step(spec: TableSpec, null_safe: bool, mode: str) -> Callable[[Column, Colu
             (~exists).alias("new"),
             boundary_date(record, current, spec, mode).alias("boundary"),
         )
-        return _let(flags, lambda f: with_flags(state, record, current, f))
-
-    def with_flags(state: Column, record: Column, current: Column, flags: Column) -> Column:
-        boundary, batch = flags["boundary"], record[spec.batch_date]
-        replaces = flags["changed"] & (boundary == current[spec.start])
-
-        def after(p: Column) -> Column:
-            closes = flags["changed"] & p[spec.end].isNull()
-            return period_struct(spec, period_values(spec, record, p, flags["fixed"], closes, boundary, batch))
-
-        kept = F.filter(state["periods"], lambda p: ~(replaces & p[spec.end].isNull()))
-        fresh = F.array(period_struct(spec, fresh_values(spec, record, boundary, batch)))
-        opened = F.filter(fresh, lambda _: flags["changed"] | flags["new"])
-        backwards = flags["changed"] & (boundary < current[spec.start])
-        failed = F.when(record["conflict"] | backwards, batch)
+        return _let(flags, lambda f: apply(state, record, f))
+
+    def apply(state: Column, record: Column, flags: Column) -> Column:
+        current, boundary, batch = state["open"], flags["boundary"], record[spec.batch_date]
+        begins = flags["changed"] | flags["new"]
+        closes = flags["changed"] & (boundary != current[spec.start])
+        after = period_struct(
+            spec, period_values(spec, record, current, flags["fixed"], closes, boundary, batch)
+        )
+        fresh = period_struct(spec, fresh_values(spec, record, boundary, batch))
+        fixed = F.struct(*[record[c].alias(c) for c in spec.fixed])
+        failed = record["conflict"] | (flags["changed"] & (boundary < current[spec.start]))
         moved = F.struct(
-            F.concat(F.transform(kept, after), opened).alias("periods"),
-            F.least(state["failed_on"], failed).alias("failed_on"),
+            F.when(closes, F.concat(state["closed"], F.array(after))).otherwise(state["closed"]).alias("closed"),
+            F.when(begins, fresh).otherwise(after).alias("open"),
+            F.when(flags["fixed"], fixed).otherwise(state["fixed"]).alias("fixed"),
+            F.when(flags["fixed"], F.size(state["closed"])).otherwise(state["corrected"]).alias("corrected"),
+            F.least(state["failed_on"], F.when(failed, batch)).alias("failed_on"),
         )
-        idle = ~(flags["changed"] | flags["fixed"] | flags["new"] | record["conflict"])
+        idle = ~(begins | flags["fixed"] | record["conflict"])
         return F.when(idle, state).otherwise(moved)
 
-    def step(state: Column, record: Column) -> Column:
-        still_open = F.get(F.filter(state["periods"], lambda p: p[spec.end].isNull()), F.lit(0))
-        return _let(still_open, lambda current: with_open_row(state, record, current))
-
     return step
 
 
+def _corrected(spec: TableSpec, state: Column) -> Column:
+    """All periods of the final state, the corrected ones with their fixed values."""
+    own = {c: c for c in spec.history_columns if c != spec.key}
+
+    def correct(p: Column, i: Column) -> Column:
+        late = i >= state["corrected"]
+        values = {c: F.when(late, p[c]).otherwise(state["fixed"][c]) if c in spec.fixed else p[c] for c in own}
+        return period_struct(spec, values)
+
+    closed = F.when(state["corrected"] > 0, F.transform(state["closed"], correct)).otherwise(state["closed"])
+    return F.concat(closed, F.filter(F.array(state["open"]), lambda p: p[spec.start].isNotNull()))
+
+
 def _conflict(low: str, high: str) -> Column:
     return ~F.col(low).eqNullSafe(F.col(high))
 
@@ -129,13 +145,22 @@ def fold_batches(
             F.coalesce(F.bool_or("broken"), F.lit(False)).alias("broken"),
         )
     )
-    several_open = F.size(F.filter("periods", lambda p: p[spec.end].isNull())) > 1
+    still_open = F.filter("periods", lambda p: p[spec.end].isNull())
     first_batch = F.get(F.col("records"), F.lit(0))[spec.batch_date]
+    fixed = T.StructType([T.StructField(c, spec.column(c).dtype) for c in spec.fixed])
     begin = F.struct(
-        F.col("periods").alias("periods"),
-        F.when(F.col("broken") | several_open, first_batch).alias("failed_on"),
+        F.filter("periods", lambda p: p[spec.end].isNotNull()).alias("closed"),
+        F.get(still_open, F.lit(0)).alias("open"),
+        F.lit(None).cast(fixed).alias("fixed"),
+        F.lit(0).alias("corrected"),
+        F.when(F.col("broken") | (F.size(still_open) > 1), first_batch).alias("failed_on"),
+    )
+    folded = F.aggregate(
+        "records",
+        begin,
+        _step(spec, null_safe, mode),
+        lambda state: F.struct(_corrected(spec, state).alias("periods"), state["failed_on"].alias("failed_on")),
     )
-    folded = F.aggregate("records", begin, _step(spec, null_safe, mode))
     return entities.select(spec.key, folded.alias("after")).select(spec.key, "after.*")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,12 +36,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write a new parquet folder.
+
+    A partitioned one is rebalanced first: small partitions get one file instead of one
+    per task, and adaptive execution splits a partition that is too large for one.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.partitionBy(*partition_by).parquet(path)
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write to a new parquet folder in the shared folder and read it back.
 
     Cuts the lineage and survives the loss of executors.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    write_parquet(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path)

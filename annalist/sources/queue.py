@@ -22,7 +22,7 @@ def append_to_queue(batch: DataFrame, table: str, path: str | None = None) -> No
     """Append to the queue table, which is partitioned by batch and gains new columns."""
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
-        writer = batch.write.partitionBy(BATCH).format("parquet")
+        writer = batch.hint("rebalance", BATCH).write.partitionBy(BATCH).format("parquet")
         (writer.option("path", path) if path else writer).saveAsTable(table)
         return
     known = {c.lower() for c in spark.table(table).columns}
@@ -31,7 +31,7 @@ def append_to_queue(batch: DataFrame, table: str, path: str | None = None) -> No
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     stored = spark.table(table)
-    append_evolving(stored.limit(0), batch).select(*stored.columns).write.insertInto(table)
+    append_evolving(stored.limit(0), batch).select(*stored.columns).hint("rebalance", BATCH).write.insertInto(table)
 
 
 def incremental_slice(
