@@ -20,7 +20,7 @@ from annalist.spec import ESTABLISHMENTS, TableSpec
 
 def history_semi(history: DataFrame, keys: DataFrame, key: str = ESTABLISHMENTS.key) -> DataFrame:
     """Periods of the listed entities only."""
-    return history.join(keys, key, "left_semi")
+    return history.join(keys, key, "left_semi").select(*history.columns)
 
 
 def enrich_history(history: DataFrame, stock: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
@@ -30,7 +30,7 @@ def enrich_history(history: DataFrame, stock: DataFrame, key: str, attrs: Sequen
 
 def affected_history(scd: DataFrame, batch: DataFrame, key: str = ESTABLISHMENTS.key) -> DataFrame:
     """All periods of the entities in a batch. A small batch is broadcast, so the table stays in place."""
-    return scd.join(batch.select(key), key, "left_semi")
+    return scd.join(batch.select(key), key, "left_semi").select(*scd.columns)
 
 
 def _side_by_side(batch: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -60,7 +60,8 @@ def batch_to_history(batch: DataFrame, scd: DataFrame, spec: TableSpec = ESTABLI
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target not matched by an update, plus all updates."""
     untouched = target.join(updates.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(updates.select(*target.columns))
+    # a join by column names moves them to the front
+    return untouched.select(*target.columns).unionByName(updates.select(*target.columns))
 
 
 def active_months(start: Column, end: Column, first: Column, last: Column) -> tuple[Column, Column]:

@@ -183,7 +183,7 @@ def replay(
         before = queue.filter(F.col(spec.batch_date) < F.lit(halted_on))
         folded = materialize(fold_batches(scd, before, spec, null_safe, mode), "replay")
     target = folded.select(spec.key, F.inline("periods")).select(*spec.history_columns)
-    untouched = scd.select(*spec.history_columns).join(folded.select(spec.key), spec.key, "left_anti")
+    untouched = scd.join(folded.select(spec.key), spec.key, "left_anti").select(*spec.history_columns)
     return Replay(untouched.unionByName(target), halted_on)
 
 
