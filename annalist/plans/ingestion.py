@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from annalist.operators.quality import check_no_overlap
 from annalist.operators.rows import drop_null_key, region_filter
 from annalist.operators.scd2 import drop_collapsed, max_treated, scd2_initial
-from annalist.plans.publish import publish
+from annalist.plans.publish import change_note, publish, read_note
 from annalist.plans.replay import replay
 from annalist.sources.queue import ack_in_table, pending_batches
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
+#: note on a published history: batches that are in it but still in the queue
+TO_ACKNOWLEDGE = "annalist.to_acknowledge"
+
 
 def regional_stock(stock: DataFrame, prefixes: Sequence[str], spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
     """The stock of a region."""
@@ -29,8 +32,13 @@ def first_load(
     name: str,
     root: str,
     spec: TableSpec = ESTABLISHMENTS,
+    buckets: int | None = None,
 ) -> int:
-    """Publish the first history table; fails when a period of the stock is missing."""
+    """Publish the first history table; fails when a period of the stock is missing.
+
+    With ``buckets`` it is bucketed by key, which this one shuffle pays for: later batches
+    then leave the table in place.
+    """
     counted = Observation()
     every_period = scd2_initial(stock, history, batch_date, spec, keep_collapsed=True)
     every_period = every_period.observe(counted, F.count(F.lit(1)).alias("n"))
@@ -44,31 +52,53 @@ def first_load(
         )
         return missing.withColumn("ok", F.col("n_bad") == 0).unionByName(check_no_overlap(written, spec))
 
-    return publish(loaded, name, root, complete)
+    if buckets is not None:
+        loaded = loaded.repartition(buckets, spec.key)
+    return publish(loaded, name, root, complete, _by_key(buckets, spec))
+
+
+def _by_key(buckets: int | None, spec: TableSpec) -> tuple[int, str] | None:
+    return None if buckets is None else (buckets, spec.key)
 
 
 def apply_pending(
-    spark: SparkSession, name: str, root: str, queue_table: str, spec: TableSpec = ESTABLISHMENTS
+    spark: SparkSession,
+    name: str,
+    root: str,
+    queue_table: str,
+    spec: TableSpec = ESTABLISHMENTS,
+    buckets: int | None = None,
 ) -> dt.date | None:
     """Apply the queued batches to the published history and take them off the queue.
 
-    Gives the batch at which it stopped, if any; it and the later ones stay queued. A run
-    that dies between the switch and the acknowledgement is repeated harmlessly: the
-    open rows then equal the records.
+    Gives the batch at which it stopped, if any; it and the later ones stay queued. The
+    snapshot notes which batches it took in, in the same step that makes it current. So a
+    run that dies before it has acknowledged them is finished by the next one, which
+    does not apply them again.
     """
+    _acknowledge(spark, name, queue_table)
     queue = spark.table(queue_table)
     batches = [r[0] for r in pending_batches(queue).collect()]
     if not batches:
         return None
-    result = replay(spark.table(name), queue, spec)
+    result = replay(spark.table(name), queue, spec, buckets=buckets)
     applied = [b for b in batches if result.halted_on is None or b < result.halted_on]
     if applied:
-        publish(result.history, name, root)
-        for batch in applied:
-            ack_in_table(spark, queue_table, batch)
+        notes = {TO_ACKNOWLEDGE: ",".join(b.isoformat() for b in applied)}
+        publish(result.history, name, root, buckets=_by_key(buckets, spec), notes=notes)
+        _acknowledge(spark, name, queue_table)
     return result.halted_on
 
 
+def _acknowledge(spark: SparkSession, name: str, queue_table: str) -> None:
+    """Take off the queue what the published snapshot says it took in."""
+    noted = read_note(spark, name, TO_ACKNOWLEDGE)
+    for batch in noted.split(",") if noted else []:
+        ack_in_table(spark, queue_table, dt.date.fromisoformat(batch))
+    if noted:
+        change_note(spark, name, TO_ACKNOWLEDGE, "")
+
+
 def bootstrap_or_incremental(
     spark: SparkSession,
     name: str,
@@ -78,11 +108,12 @@ def bootstrap_or_incremental(
     queue_table: str,
     batch_date: dt.date,
     spec: TableSpec = ESTABLISHMENTS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Load the history if it does not exist yet, then always apply what is queued."""
     if not spark.catalog.tableExists(name):
-        first_load(stock, history, batch_date, name, root, spec)
-    apply_pending(spark, name, root, queue_table, spec)
+        first_load(stock, history, batch_date, name, root, spec, buckets)
+    apply_pending(spark, name, root, queue_table, spec, buckets)
     return spark.table(name)
 
 

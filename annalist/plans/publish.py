@@ -23,31 +23,59 @@ Check = Callable[[DataFrame], DataFrame]
 PUBLISHED, FAILED, SKIPPED = "published", "failed", "skipped"
 
 
-def write_snapshot(df: DataFrame, name: str, root: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
-    """Write to a new folder below the root; gives its path and row count, taken while writing."""
-    path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+def write_snapshot(df: DataFrame, name: str, root: str, buckets: tuple[int, str] | None = None) -> tuple[str, int]:
+    """Write a new snapshot below the root; gives what to select from and its row count, taken while writing.
+
+    With ``buckets`` (number, column) it is a bucketed table: joins and groupings by that
+    column then leave it in place, and only the other side is shuffled.
+    """
+    version = uuid.uuid4().hex
+    path = f"{root.rstrip('/')}/{name}/{version}"
     counted = Observation()
-    write_parquet(df.observe(counted, F.count(F.lit(1)).alias("n")), path, partition_by)
-    return path, counted.get["n"]
+    observed = df.observe(counted, F.count(F.lit(1)).alias("n"))
+    if buckets is None:
+        write_parquet(observed, path)
+        source = f"parquet.`{path}`"
+    else:
+        source = f"{name}_{version}"
+        observed.write.bucketBy(*buckets).option("path", path).saveAsTable(source)
+    return source, counted.get["n"]
+
+
+def switch_to(spark: SparkSession, name: str, source: str, notes: Mapping[str, str] | None = None) -> None:
+    """Point the published name at a snapshot; the notes change in the same step."""
+    properties = ", ".join(f"'{k}' = '{v}'" for k, v in (notes or {}).items())
+    with_notes = f"TBLPROPERTIES ({properties}) " if properties else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} {with_notes}AS SELECT * FROM {source}")
 
 
-def switch_to(spark: SparkSession, name: str, path: str) -> None:
-    """Point the published name at a snapshot."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+def read_note(spark: SparkSession, name: str, key: str) -> str:
+    """A note left with the published snapshot, empty if there is none."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).first()
+    return found["value"] if found else ""
+
+
+def change_note(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('{key}' = '{value}')")
 
 
 def publish(
-    df: DataFrame, name: str, root: str, check: Check | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    root: str,
+    check: Check | None = None,
+    buckets: tuple[int, str] | None = None,
+    notes: Mapping[str, str] | None = None,
 ) -> int:
     """Write, check and switch one table; gives its number of rows.
 
     The check reads the stored snapshot, so nothing is computed twice.
     """
     spark = df.sparkSession
-    path, rows = write_snapshot(df, name, root, partition_by)
+    source, rows = write_snapshot(df, name, root, buckets)
     if check is not None:
-        require_ok(check(spark.read.schema(df.schema).parquet(path)))
-    switch_to(spark, name, path)
+        require_ok(check(spark.sql(f"SELECT * FROM {source}")))
+    switch_to(spark, name, source, notes)
     return rows
 
 

@@ -170,20 +170,30 @@ def replay(
     spec: TableSpec = ESTABLISHMENTS,
     null_safe: bool = False,
     mode: str = GREATEST,
+    buckets: int | None = None,
 ) -> Replay:
     """Apply the queued batches in order, up to the first that fails.
 
     The fold is stored once in the shared folder. Only when some batch failed is it
     computed again, for the batches before it: the earliest failure is the same
     whatever came after it.
+
+    ``buckets`` is the number of buckets (by key) of a bucketed history. The history then
+    stays where it is: the folded entities are brought to its buckets, and the result
+    is partitioned alike, ready to be written as buckets again.
     """
     folded = materialize(fold_batches(scd, queue, spec, null_safe, mode), "replay")
     halted_on = folded.agg(F.min("failed_on")).first()[0]
     if halted_on is not None:
         before = queue.filter(F.col(spec.batch_date) < F.lit(halted_on))
         folded = materialize(fold_batches(scd, before, spec, null_safe, mode), "replay")
+    replaced = folded.select(spec.key)
+    if buckets is not None:
+        folded = folded.repartition(buckets, spec.key)
+        # a hash table of the bucket's replaced keys; the history is neither moved nor sorted
+        replaced = folded.select(spec.key).hint("shuffle_hash")
     target = folded.select(spec.key, F.inline("periods")).select(*spec.history_columns)
-    untouched = scd.join(folded.select(spec.key), spec.key, "left_anti").select(*spec.history_columns)
+    untouched = scd.join(replaced, spec.key, "left_anti").select(*spec.history_columns)
     return Replay(untouched.unionByName(target), halted_on)
 
 

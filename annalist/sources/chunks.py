@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from annalist.functions import moment, second_at, second_index, second_number
@@ -35,15 +35,15 @@ def plan_range_chunks(
     seconds = materialize(seconds, "chunk-seconds")
     done = None
     while True:
-        spans = seconds.groupBy(part, "lo", "hi").agg(F.sum("n").alias("total"))
-        spans = materialize(spans, "chunk-spans")
         too_big = (F.col("total") > cap) & (F.col("hi") - F.col("lo") > 1)
+        counted = Observation()
+        spans = seconds.groupBy(part, "lo", "hi").agg(F.sum("n").alias("total"))
+        spans = materialize(spans.observe(counted, F.count_if(too_big).alias("left")), "chunk-spans")
         fits = spans.filter(~too_big)
         done = fits if done is None else done.unionByName(fits)
-        oversize = spans.filter(too_big)
-        if oversize.isEmpty():
+        if counted.get["left"] == 0:
             break
-        seconds = materialize(_cut(seconds.join(oversize, [part, "lo", "hi"]), cap), "chunk-seconds")
+        seconds = materialize(_cut(seconds.join(spans.filter(too_big), [part, "lo", "hi"]), cap), "chunk-seconds")
     return done.select(part, second_at("lo").alias("lo"), second_at("hi").alias("hi"), F.col("total").alias("n"))
 
 

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from annalist.operators.quality import IntegrityError
-from annalist.plans.publish import publish
+from annalist.plans.publish import publish, read_note
 from annalist.plans.replay import replay
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
 
+#: note on a published history: micro-batch of a stream and the batches of it that are in
+TAKEN_IN = "annalist.taken_in"
+
+
 def replay_stream(
     spark: SparkSession,
     queue_path: str,
@@ -20,20 +25,28 @@ def replay_stream(
     root: str,
     checkpoint: str,
     spec: TableSpec = ESTABLISHMENTS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Apply whatever batch files arrived since the last run, then stop.
 
     The stream's checkpoint remembers which files were read, so it stands in for both
     the cursor and the acknowledgement. All new files form one micro-batch, in which the
     batches are folded in date order. When a batch fails, those before it are applied
-    and the query stops with an error; the next run reads the same files again, and
-    records that are already applied change nothing.
+    and the query stops with an error. A micro-batch that did not finish is run again;
+    the snapshot notes which of its batches are in already, and those are left out.
     """
     incoming = spark.readStream.schema(schema).parquet(queue_path)
 
-    def apply(micro_batch: DataFrame, _: int) -> None:
-        result = replay(micro_batch.sparkSession.table(name), micro_batch, spec)
-        publish(result.history, name, root)
+    def apply(micro_batch: DataFrame, number: int) -> None:
+        session = micro_batch.sparkSession
+        this_run = f"{checkpoint}#{number}"
+        noted_run, _, noted = read_note(session, name, TAKEN_IN).partition("=")
+        taken = noted.split(",") if noted and noted_run == this_run else []
+        todo = micro_batch.filter(~F.col(spec.batch_date).cast("string").isin(taken))
+        result = replay(session.table(name), todo, spec, buckets=buckets)
+        taken += [r[0].isoformat() for r in result.applied(todo, spec).collect()]
+        by_key = None if buckets is None else (buckets, spec.key)
+        publish(result.history, name, root, buckets=by_key, notes={TAKEN_IN: f"{this_run}={','.join(sorted(taken))}"})
         if result.halted_on is not None:
             raise IntegrityError(f"stopped at batch {result.halted_on}")
 

@@ -7,6 +7,9 @@ from conftest import SF
 
 from annalist.catalog import bindings as B
 from annalist.catalog.queries import queries
+from annalist.plans.publish import write_snapshot
+from annalist.plans.replay import fold_batches, replay
+from annalist.session import new_path
 
 
 def plan(df):
@@ -61,5 +64,24 @@ def test_large_sides_are_not_broadcast(spark):
     assert keys == ["siret"] * 3
 
 
+def test_a_bucketed_history_is_not_shuffled_by_a_replay(spark):
+    scd, delta = B.staged(spark, SF, "silver"), B.staged(spark, SF, "delta")
+    write_snapshot(scd.repartition(4, "siret"), "bucketed", new_path(spark, "b"), (4, "siret"))
+    table = next(t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merge = plan(replay(spark.table(table), delta, buckets=4).history)
+        fold = plan(fold_batches(spark.table(table), delta))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in (merge, fold):
+        lines = text.splitlines()
+        scan = next(i for i, line in enumerate(lines) if table in line)
+        join = next(line for line in reversed(lines[:scan]) if "Join" in line)
+        between = lines[lines.index(join) + 1 : scan]
+        assert not any("Exchange" in line for line in between)
+        assert "Bucketed: true" in lines[scan]
+
+
 def test_staged_tables_are_written_once(spark):
     assert B.staged(spark, SF, "silver") is B.staged(spark, SF, "silver")

@@ -115,11 +115,39 @@ def test_bootstrap_then_batches_until_one_fails(spark, sources, batch):
     assert ingestion.apply_pending(spark, name, root, queued, SMALL) == dt.date(2001, 10, 2)
     assert rows(spark.table(name)) == before
 
-    # as after a crash between the switch and the acknowledgement
-    queue.ack_in_table(spark, queued, dt.date(2001, 10, 2))
-    queue.append_to_queue(batch({"id": "c", "on": "2001-09-01", "batch": "2001-09-02"}), queued)
-    assert ingestion.apply_pending(spark, name, root, queued, SMALL) is None
-    assert rows(spark.table(name).filter("id <> 'e'")) == before
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_crash_between_switch_and_acknowledgement(spark, sources, batch, monkeypatch, buckets):
+    stock, periods = sources
+    root, tag = new_path(spark, "p"), "x" if buckets is None else "b"
+    name, queued = f"crash_history_{tag}", f"crash_queue_{tag}"
+    ingestion.first_load(stock, periods, LOADED, name, root, SMALL, buckets)
+    for month, sector in ((8, "s2"), (9, "s3")):
+        on = f"2001-0{month}-01"
+        queue.append_to_queue(batch({"id": "a", "sector": sector, "on": on, "batch": on}), queued)
+
+    def dies(*_):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingestion, "ack_in_table", dies)
+        with pytest.raises(RuntimeError):
+            ingestion.apply_pending(spark, name, root, queued, SMALL, buckets)
+    expected = [("s1", "2001-08-01"), ("s2", "2001-09-01"), ("s3", None)]
+    assert rows(spark.table(name).filter("id = 'a'"), "sector", "end_at") == expected
+    assert queue.pending_batches(spark.table(queued)).count() == 2
+
+    assert ingestion.apply_pending(spark, name, root, queued, SMALL, buckets) is None
+    assert rows(spark.table(name).filter("id = 'a'"), "sector", "end_at") == expected
+    assert spark.table(queued).isEmpty()
+
+    # a later batch with a date that was acknowledged before is a batch like any other
+    again = batch({"id": "z", "on": "2001-09-01", "batch": "2001-09-01"})
+    queue.append_to_queue(again, queued)
+    assert ingestion.apply_pending(spark, name, root, queued, SMALL, buckets) is None
+    assert ("z",) in rows(spark.table(name), "id")
+    if buckets:
+        assert len(spark.table(name).inputFiles()) <= buckets  # one file per bucket that has rows
 
 
 def test_first_load_refuses_missing_periods(spark, sources):
@@ -155,3 +183,22 @@ def test_stream_applies_new_files_once_and_in_date_order(spark, sources, batch):
     batch({"id": "f", "on": "2001-10-01", "batch": "2001-10-02"}).write.mode("append").parquet(files)
     run()
     assert ("f",) in rows(spark.table(name), "id")
+
+
+def test_stream_stops_at_a_bad_batch_and_keeps_what_came_before(spark, sources, batch):
+    stock, periods = sources
+    root, name = new_path(spark, "p"), "reg_stream_bad"
+    ingestion.first_load(stock, periods, LOADED, name, root, SMALL)
+    files, checkpoint = new_path(spark, "batches"), new_path(spark, "checkpoint")
+    good = batch(
+        {"id": "a", "sector": "s2", "on": "2001-08-01", "batch": "2001-08-02"},
+        {"id": "a", "sector": "s3", "on": "2001-09-01", "batch": "2001-09-02"},
+    )
+    bad = batch({"id": "a", "sector": "s4", "on": "2000-01-01", "batch": "2001-10-02"})
+    good.unionByName(bad).write.parquet(files)
+    expected = [("s1", "2001-08-01"), ("s2", "2001-09-01"), ("s3", None)]
+    for _ in range(2):  # the second run meets the same files and the applied batches again
+        stream = replay_stream(spark, files, good.schema, name, root, checkpoint, SMALL)
+        with pytest.raises(Exception, match="2001-10-02"):
+            stream.awaitTermination(300)
+        assert rows(spark.table(name).filter("id = 'a'"), "sector", "end_at") == expected
