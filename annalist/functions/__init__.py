@@ -4,6 +4,7 @@ from annalist.functions.columns import (
     add_second,
     as_date,
     differs,
+    has_prefix,
     moment,
     month_at,
     month_floor,
@@ -19,6 +20,7 @@ __all__ = [
     "add_second",
     "as_date",
     "differs",
+    "has_prefix",
     "moment",
     "month_at",
     "month_floor",

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,6 +34,18 @@ def prefix(c: Column | str, n: int = 2) -> Column:
     return F.substring(_col(c), 1, n)
 
 
+def has_prefix(c: Column | str, prefixes: Sequence[str], n: int = 2) -> Column:
+    """Whether the first ``n`` characters are one of the prefixes.
+
+    Written with ``startswith`` where that is the same, since the file reader can skip row
+    groups by it and not by a substring.
+    """
+    c = _col(c)
+    if prefixes and all(len(p) == n for p in prefixes):
+        return reduce(or_, [c.startswith(p) for p in prefixes])
+    return prefix(c, n).isin(*prefixes)
+
+
 def month_floor(c: Column | str) -> Column:
     """First day of the month, as DATE (``date_trunc`` would give a TIMESTAMP)."""
     return F.trunc(_col(c), "MM")

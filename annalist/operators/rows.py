@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annalist.functions import as_date, prefix
+from annalist.functions import as_date, has_prefix, prefix
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
 
@@ -19,7 +19,7 @@ def drop_null_key(df: DataFrame, col: str) -> DataFrame:
 
 def region_filter(df: DataFrame, code: str, prefixes: Sequence[str], n: int = 2) -> DataFrame:
     """Keep rows whose code starts with one of the prefixes."""
-    return df.filter(prefix(code, n).isin(*prefixes))
+    return df.filter(has_prefix(code, prefixes, n))
 
 
 def multi_period_keys(stock: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.functions import add_second, as_date, moment, prefix
+from annalist.functions import add_second, as_date, has_prefix, moment
 
 BATCH = "batch_date"
 
@@ -39,7 +39,7 @@ def incremental_slice(
 ) -> DataFrame:
     """Rows treated since the cursor (inclusive) whose code starts with one of the prefixes."""
     since = moment(cursor).cast(df.schema[ts].dataType)
-    return df.filter((F.col(ts) >= since) & prefix(code, n).isin(*prefixes))
+    return df.filter((F.col(ts) >= since) & has_prefix(code, prefixes, n))
 
 
 def next_cursor(df: DataFrame, ts: str, old_cursor: dt.datetime | str) -> DataFrame:

@@ -3,10 +3,11 @@
 import re
 
 import pytest
-from conftest import SF
+from conftest import SF, rows
 
 from annalist.catalog import bindings as B
 from annalist.catalog.queries import queries
+from annalist.operators import trends as T
 from annalist.plans.publish import write_snapshot
 from annalist.plans.replay import fold_batches, replay
 from annalist.session import new_path
@@ -41,6 +42,7 @@ def test_trends_read_narrow_columns_without_a_join(spark):
 def test_slice_filters_at_the_scan(spark):
     text = plan(queries()["incremental_slice"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-11T12:00)" in text
+    assert "StringStartsWith(event_type,cl)" in text
 
 
 def test_open_rows_and_state_filter_at_the_scan(spark):
@@ -83,5 +85,15 @@ def test_a_bucketed_history_is_not_shuffled_by_a_replay(spark):
         assert "Bucketed: true" in lines[scan]
 
 
+def test_trends_of_a_bucketed_history_shuffle_only_sums(spark):
+    scd = B.staged(spark, SF, "silver")
+    write_snapshot(scd.repartition(4, "siret"), "trended", new_path(spark, "b"), (4, "siret"))
+    table = next(t.name for t in spark.catalog.listTables() if t.name.startswith("trended_"))
+    trends = T.sector_trends(spark.table(table), B.SPINE_START, B.SPINE_END)
+    keys = [k.split("#")[0] for k in re.findall(r"Exchange hashpartitioning\(([^,]+),", plan(trends))]
+    assert keys and "siret" not in keys
+    assert rows(trends) == rows(T.sector_trends(scd, B.SPINE_START, B.SPINE_END))
+
+
 def test_staged_tables_are_written_once(spark):
     assert B.staged(spark, SF, "silver") is B.staged(spark, SF, "silver")

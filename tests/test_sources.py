@@ -149,3 +149,11 @@ def test_spec_lists():
         "caractereEmployeurEtablissement",
     ]
     assert len(spec.source_current_only) == 8 and len(spec.source_columns) == 16
+
+
+def test_prefix_lists(spark):
+    df = spark.createDataFrame([("01001",), ("1",), ("0",), ("21000",), (None,)], "code string")
+    assert rows(R.region_filter(df, "code", ["01", "21"])) == [("01001",), ("21000",)]
+    assert rows(R.region_filter(df, "code", ["1", "01"])) == [("01001",), ("1",)]
+    assert rows(R.region_filter(df, "code", ["010"], 3)) == [("01001",)]
+    assert rows(R.region_filter(df, "code", [])) == []
