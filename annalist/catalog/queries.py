@@ -160,11 +160,17 @@ def ack_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bootstrap_or_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First run loads the history, then the queued batches are applied."""
+    """From raw text and JSON lines to the history: first load, then thirty nested batches."""
     name, queue_name = B.fresh_name("history"), B.fresh_name("queue")
-    queue.append_to_queue(delta(spark, sf_dir), queue_name, new_path(spark, queue_name))
+    root = new_path(spark, "published")
+    present, past = ingestion.prepare_sources(
+        B.stock_text(spark, sf_dir), B.history_text(spark, sf_dir), B.REGION, root
+    )
+    lines = B.delta_json(spark, sf_dir)
+    nested = files.ingest_nested_json(lines, files.nested_delta_schema(SPEC), F.col("day"))
+    queue.append_to_queue(nested, queue_name, new_path(spark, queue_name))
     return ingestion.bootstrap_or_incremental(
-        spark, name, new_path(spark, "published"), stock(spark, sf_dir), history(spark, sf_dir), queue_name, B.LOAD_DATE
+        spark, name, root, present, past, queue_name, B.LOAD_DATE, buckets=8, reader=R.flatten_nested
     )
 
 

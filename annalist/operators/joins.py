@@ -29,8 +29,12 @@ def enrich_history(history: DataFrame, stock: DataFrame, key: str, attrs: Sequen
 
 
 def affected_history(scd: DataFrame, batch: DataFrame, key: str = ESTABLISHMENTS.key) -> DataFrame:
-    """All periods of the entities in a batch. A small batch is broadcast, so the table stays in place."""
-    return scd.join(batch.select(key), key, "left_semi").select(*scd.columns)
+    """All periods of the entities in a batch. A small batch is broadcast, so the table stays in place.
+
+    The keys are made distinct before they move, whatever a hot entity's share of the batch
+    is; the join then uses the partitioning that gives.
+    """
+    return scd.join(batch.select(key).distinct(), key, "left_semi").select(*scd.columns)
 
 
 def _side_by_side(batch: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -3,19 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from annalist.operators.joins import history_semi
 from annalist.operators.quality import check_no_overlap
-from annalist.operators.rows import drop_null_key, region_filter
+from annalist.operators.rows import drop_null_key, multi_period_keys, region_filter
 from annalist.operators.scd2 import drop_collapsed, max_treated, scd2_initial
 from annalist.plans.publish import change_note, publish, read_note
 from annalist.plans.replay import replay
-from annalist.sources.queue import ack_in_table, pending_batches
+from annalist.sources.files import (
+    ingest_nested_json,
+    nested_delta_schema,
+    scan_projected,
+    scan_typed,
+    stage_parquet,
+)
+from annalist.sources.queue import ack_in_table, append_to_queue, next_cursor, pending_batches, read_batch
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
+Reader = Callable[[DataFrame], DataFrame]
+
 #: note on a published history: batches that are in it but still in the queue
 TO_ACKNOWLEDGE = "annalist.to_acknowledge"
 
@@ -25,6 +35,36 @@ def regional_stock(stock: DataFrame, prefixes: Sequence[str], spec: TableSpec =
     return region_filter(drop_null_key(stock, spec.area), spec.area, prefixes)
 
 
+def prepare_sources(
+    stock_text: DataFrame,
+    history_text: DataFrame,
+    prefixes: Sequence[str],
+    root: str,
+    spec: TableSpec = ESTABLISHMENTS,
+) -> tuple[DataFrame, DataFrame]:
+    """The region's typed stock and the periods of its entities with a past, staged below the root."""
+    typed = scan_typed(stock_text, spec.source_columns)
+    stock = stage_parquet(regional_stock(typed, prefixes, spec), f"{root}/stock")
+    wanted = [spec.key, spec.effective_from, spec.effective_to, *spec.source_tracked]
+    periods = history_semi(scan_projected(history_text, wanted), multi_period_keys(stock, spec), spec.key)
+    return stock, stage_parquet(periods, f"{root}/history")
+
+
+def enqueue_batch(
+    lines: DataFrame,
+    queue_table: str,
+    batch_date: dt.date,
+    cursor: dt.datetime,
+    spec: TableSpec = ESTABLISHMENTS,
+    path: str | None = None,
+) -> DataFrame:
+    """Parse a batch of JSON lines, append it to the queue, and give the cursor after it."""
+    batch = ingest_nested_json(lines, nested_delta_schema(spec), batch_date)
+    append_to_queue(batch, queue_table, path)
+    stored = read_batch(lines.sparkSession.table(queue_table), batch_date)
+    return next_cursor(stored, spec.treated_at, cursor)
+
+
 def first_load(
     stock: DataFrame,
     history: DataFrame,
@@ -68,6 +108,7 @@ def apply_pending(
     queue_table: str,
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
+    reader: Reader | None = None,
 ) -> dt.date | None:
     """Apply the queued batches to the published history and take them off the queue.
 
@@ -75,13 +116,17 @@ def apply_pending(
     snapshot notes which batches it took in, in the same step that makes it current. So a
     run that dies before it has acknowledged them is finished by the next one, which
     does not apply them again.
+
+    ``reader`` turns the queue's rows into flat records, such as ``flatten_nested`` for a
+    queue of nested ones.
     """
     _acknowledge(spark, name, queue_table)
     queue = spark.table(queue_table)
     batches = [r[0] for r in pending_batches(queue).collect()]
     if not batches:
         return None
-    result = replay(spark.table(name), queue, spec, buckets=buckets)
+    records = reader(queue) if reader else queue
+    result = replay(spark.table(name), records, spec, buckets=buckets)
     applied = [b for b in batches if result.halted_on is None or b < result.halted_on]
     if applied:
         notes = {TO_ACKNOWLEDGE: ",".join(b.isoformat() for b in applied)}
@@ -109,11 +154,12 @@ def bootstrap_or_incremental(
     batch_date: dt.date,
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
+    reader: Reader | None = None,
 ) -> DataFrame:
     """Load the history if it does not exist yet, then always apply what is queued."""
     if not spark.catalog.tableExists(name):
         first_load(stock, history, batch_date, name, root, spec, buckets)
-    apply_pending(spark, name, root, queue_table, spec, buckets)
+    apply_pending(spark, name, root, queue_table, spec, buckets, reader)
     return spark.table(name)
 
 

@@ -43,8 +43,12 @@ def incremental_slice(
 
 
 def next_cursor(df: DataFrame, ts: str, old_cursor: dt.datetime | str) -> DataFrame:
-    """One second after the last treatment; an empty batch keeps the old cursor."""
-    return df.agg(F.coalesce(add_second(F.max(ts)), moment(old_cursor)).alias("cursor"))
+    """One second after the last treatment; an empty batch keeps the old cursor.
+
+    The time may be text, as in a raw batch; text that is no time does not count.
+    """
+    last = F.max(F.col(ts).try_cast("timestamp_ntz"))
+    return df.agg(F.coalesce(add_second(last), moment(old_cursor)).alias("cursor"))
 
 
 def pending_batches(queue: DataFrame) -> DataFrame:

@@ -1,15 +1,19 @@
 """Publishing, first load and next batches, and the stream."""
 
 import datetime as dt
+import json
 
 import pytest
 from conftest import SMALL, rows
 from test_scd2 import load, stock_row  # noqa: F401
 
 from annalist.operators.quality import IntegrityError, check_intervals
+from annalist.operators.rows import flatten_nested
 from annalist.plans import ingestion, publish
 from annalist.session import new_path
 from annalist.sources import queue
+from annalist.sources.files import read_text_columns
+from annalist.spec import ESTABLISHMENTS
 from annalist.streaming.replay import replay_stream
 
 LOADED = dt.date(2001, 7, 1)
@@ -150,6 +154,48 @@ def test_crash_between_switch_and_acknowledgement(spark, sources, batch, monkeyp
         assert len(spark.table(name).inputFiles()) <= buckets  # one file per bucket that has rows
 
 
+def test_raw_files_to_history(spark, tmp_path):
+    """CSV and JSON files in, history and cursor out, on the full registry."""
+    names = [c.name for c in ESTABLISHMENTS.source_columns]
+    values = dict.fromkeys(names, "") | {
+        "siret": "1",
+        "codeCommuneEtablissement": "01001",
+        "activitePrincipaleEtablissement": "x",
+        "nombrePeriodesEtablissement": "1",
+        "dateDebut": "2001-01-01",
+        "dateDernierTraitementEtablissement": "2001-06-01T10:00:00",
+    }
+    lines = [",".join(names), ",".join(values[n] for n in names)]
+    lines.append(lines[1].replace("01001", "99001"))  # another region
+    (tmp_path / "stock.csv").write_text("\n".join(lines))
+    past = ["siret", "dateDebut", "dateFin", *ESTABLISHMENTS.source_tracked]
+    (tmp_path / "history.csv").write_text(",".join(past) + "\n1,2001-01-01,,A,x,O\n")
+    root = new_path(spark, "raw")
+    stock, periods = ingestion.prepare_sources(
+        read_text_columns(spark, str(tmp_path / "stock.csv"), names),
+        read_text_columns(spark, str(tmp_path / "history.csv"), past),
+        ["01"],
+        root,
+    )
+    assert stock.count() == 1 and periods.isEmpty()
+    record = {
+        "siret": "1",
+        "dateDernierTraitementEtablissement": "2001-08-01T10:00:00",
+        "adresseEtablissement": {"codeCommuneEtablissement": "01001"},
+        "periodesEtablissement": [{"dateDebut": "2001-07-20", "activitePrincipaleEtablissement": "y"}],
+    }
+    raw = spark.createDataFrame([(json.dumps(record),)], "value string")
+    cursor = ingestion.enqueue_batch(raw, "raw_queue", dt.date(2001, 8, 2), dt.datetime(2001, 6, 1))
+    assert cursor.first()[0] == dt.datetime(2001, 8, 1, 10, 0, 1)
+    done = ingestion.bootstrap_or_incremental(
+        spark, "raw_history", root, stock, periods, "raw_queue", LOADED, reader=flatten_nested
+    )
+    assert rows(done, "activitePrincipaleEtablissement", "start_at", "end_at") == [
+        ("x", "2001-06-01", "2001-08-01"),
+        ("y", "2001-08-01", None),
+    ]
+
+
 def test_first_load_refuses_missing_periods(spark, sources):
     stock, periods = sources
     with pytest.raises(IntegrityError, match="row_count: 1"):
