@@ -183,9 +183,9 @@ def delta_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch against the order-based history, with every kind of change.
 
-    Every third customer is in it. By key: changed activity (5), changed state (7), employer
-    unknown (11), renamed municipality (4), coordinate withheld (13), a change dated on
-    the cap (17). Customers outside the region are new.
+    All customers treated since a cursor are in it. By key: changed activity (5), changed
+    state (7), employer unknown (11), renamed municipality (4), coordinate withheld (13), a
+    change dated on the cap (17). Customers outside the region are new.
     """
     k = F.col("siret").cast("bigint")
     on_cap = k % 17 == 0
@@ -210,7 +210,8 @@ def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_add(F.lit(dt.date(2001, 6, 25)), (k % 10).cast("int"))
         ),
     }
-    return staged(spark, sf_dir, "full_stock").filter(k % 3 == 0).withColumns(changed).drop(SPEC.period_count)
+    since = F.col(SPEC.treated_at) >= moment("2001-04-01")
+    return staged(spark, sf_dir, "full_stock").filter(since).withColumns(changed).drop(SPEC.period_count)
 
 
 # --- tables that the registry keeps as files, written once per application --------------

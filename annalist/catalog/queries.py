@@ -226,7 +226,7 @@ def active_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = delta(spark, sf_dir)
-    return R.dedup_exact(records.unionByName(records.filter(F.col("siret").cast("bigint") % 2 == 0)))
+    return R.dedup_exact(records.unionByName(records))
 
 
 @query
@@ -627,7 +627,8 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thirty daily batches onto an empty history."""
-    return replay.scd2_replay(silver(spark, sf_dir).limit(0), delta(spark, sf_dir))
+    empty = silver(spark, sf_dir).filter(F.lit(False))
+    return replay.scd2_replay(empty, delta(spark, sf_dir))
 
 
 @query

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.operators.joins import history_semi
-from annalist.operators.quality import check_no_overlap
+from annalist.operators.quality import IntegrityError, check_no_overlap
 from annalist.operators.rows import drop_null_key, multi_period_keys, region_filter
-from annalist.operators.scd2 import drop_collapsed, max_treated, scd2_initial
+from annalist.operators.scd2 import drop_collapsed, expected_rows, max_treated, scd2_initial
 from annalist.plans.publish import change_note, publish, read_note
 from annalist.plans.replay import replay
 from annalist.sources.files import (
@@ -79,22 +79,14 @@ def first_load(
     With ``buckets`` it is bucketed by key, which this one shuffle pays for: later batches
     then leave the table in place.
     """
-    counted = Observation()
     every_period = scd2_initial(stock, history, batch_date, spec, keep_collapsed=True)
-    every_period = every_period.observe(counted, F.count(F.lit(1)).alias("n"))
+    counts = expected_rows(stock, every_period, spec).first()  # reads the keys only
+    if not counts["ok"]:
+        raise IntegrityError(f"expected {counts['expected']} periods, found {counts['actual']}")
     loaded = drop_collapsed(every_period, max_treated(stock, spec.treated_at), spec)
-
-    def complete(written: DataFrame) -> DataFrame:
-        """The periods counted while writing are those the stock announces, and none overlap."""
-        announced = stock.agg(F.sum(F.col(spec.period_count).try_cast("bigint")).alias("n"))
-        missing = announced.select(
-            F.lit("row_count").alias("check"), F.abs(F.coalesce("n", F.lit(0)) - counted.get["n"]).alias("n_bad")
-        )
-        return missing.withColumn("ok", F.col("n_bad") == 0).unionByName(check_no_overlap(written, spec))
-
     if buckets is not None:
         loaded = loaded.repartition(buckets, spec.key)
-    return publish(loaded, name, root, complete, _by_key(buckets, spec))
+    return publish(loaded, name, root, lambda df: check_no_overlap(df, spec), _by_key(buckets, spec))
 
 
 def _by_key(buckets: int | None, spec: TableSpec) -> tuple[int, str] | None:

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.operators.quality import require_ok
@@ -23,23 +23,20 @@ Check = Callable[[DataFrame], DataFrame]
 PUBLISHED, FAILED, SKIPPED = "published", "failed", "skipped"
 
 
-def write_snapshot(df: DataFrame, name: str, root: str, buckets: tuple[int, str] | None = None) -> tuple[str, int]:
-    """Write a new snapshot below the root; gives what to select from and its row count, taken while writing.
+def write_snapshot(df: DataFrame, name: str, root: str, buckets: tuple[int, str] | None = None) -> str:
+    """Write a new snapshot below the root; gives what to select from.
 
     With ``buckets`` (number, column) it is a bucketed table: joins and groupings by that
     column then leave it in place, and only the other side is shuffled.
     """
     version = uuid.uuid4().hex
     path = f"{root.rstrip('/')}/{name}/{version}"
-    counted = Observation()
-    observed = df.observe(counted, F.count(F.lit(1)).alias("n"))
     if buckets is None:
-        write_parquet(observed, path)
-        source = f"parquet.`{path}`"
-    else:
-        source = f"{name}_{version}"
-        observed.write.bucketBy(*buckets).option("path", path).saveAsTable(source)
-    return source, counted.get["n"]
+        write_parquet(df, path)
+        return f"parquet.`{path}`"
+    table = f"{name}_{version}"
+    df.write.bucketBy(*buckets).option("path", path).saveAsTable(table)
+    return table
 
 
 def switch_to(spark: SparkSession, name: str, source: str, notes: Mapping[str, str] | None = None) -> None:
@@ -69,12 +66,15 @@ def publish(
 ) -> int:
     """Write, check and switch one table; gives its number of rows.
 
-    The check reads the stored snapshot, so nothing is computed twice.
+    Check and count read the stored snapshot, so nothing is computed twice, and a task
+    that ran again after a loss is not counted twice.
     """
     spark = df.sparkSession
-    source, rows = write_snapshot(df, name, root, buckets)
+    source = write_snapshot(df, name, root, buckets)
+    stored = spark.sql(f"SELECT * FROM {source}")
     if check is not None:
-        require_ok(check(spark.sql(f"SELECT * FROM {source}")))
+        require_ok(check(stored))
+    rows = stored.count()  # from the file footers
     switch_to(spark, name, source, notes)
     return rows
 

@@ -30,8 +30,10 @@ def append_to_queue(batch: DataFrame, table: str, path: str | None = None) -> No
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    stored = spark.table(table)
-    append_evolving(stored.limit(0), batch).select(*stored.columns).hint("rebalance", BATCH).write.insertInto(table)
+    given = {c.lower() for c in batch.columns}
+    stored = spark.table(table).schema.fields
+    aligned = [F.col(f.name) if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name) for f in stored]
+    batch.select(*aligned).hint("rebalance", BATCH).write.insertInto(table)
 
 
 def incremental_slice(

@@ -198,7 +198,7 @@ def test_raw_files_to_history(spark, tmp_path):
 
 def test_first_load_refuses_missing_periods(spark, sources):
     stock, periods = sources
-    with pytest.raises(IntegrityError, match="row_count: 1"):
+    with pytest.raises(IntegrityError, match="expected 3 periods, found 2"):
         ingestion.first_load(stock, periods.filter("until IS NULL"), LOADED, "reg_bad", new_path(spark, "p"), SMALL)
     assert not spark.catalog.tableExists("reg_bad")
     assert ingestion.cursor_after(stock, SMALL).first()[0] == dt.datetime(2001, 6, 1, 0, 0, 1)
