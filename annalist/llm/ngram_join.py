@@ -27,7 +27,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.llm.components import connected_components
-from annalist.llm.words import U64, byte_texts, mix, part_of, partitions_for, runs, ship, shingle_set, split_by, with_columns
+from annalist.llm.words import (
+    U64,
+    byte_texts,
+    keep_likely,
+    mix,
+    part_of,
+    partitions_for,
+    runs,
+    ship,
+    shingle_set,
+    split_by,
+    with_columns,
+)
 from annalist.session import materialize
 
 SMALL = 32
@@ -306,7 +318,8 @@ def jaccard_components(
     )
     clusters = connected_components(_meetings(keyed, partitions_for(spark, total // 2)))
 
-    members = there.join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
+    clustered = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    members = keep_likely(there, clustered).join(clustered, "doc_id")
     mine = classes.withColumnRenamed("rep", "doc_id")
     sets = materialize(
         _sets(members, k, "set", limit).join(mine, ["doc_id", *by_set]).dropDuplicates(["doc_id", "s1", "s2"]),

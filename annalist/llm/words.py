@@ -143,3 +143,50 @@ def part_of(h: np.ndarray, parts: int) -> np.ndarray:
     """The part of a hash by its top bits, so that parts are ranges of hashes."""
     bits = parts.bit_length() - 1
     return (h >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
+#: bits of the filter that goes to all tasks: 8 MB, however many ids it holds
+FILTER_BITS = 26
+
+
+def keep_likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may be in ``ids``: all that are, and few others.
+
+    A bitmap of fixed size, put together in blocks by the tasks, spares most other rows the
+    shuffle of the exact join that follows. The more ids it holds the less it spares.
+    """
+    block_bits = 15
+
+    def place(column: pa.Array) -> np.ndarray:
+        known = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        return (mix(known.view(U64)) >> U64(64 - FILTER_BITS)).astype(np.int64)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(place(batch.column(0)))
+            got = [(b, (at[i] & ((1 << block_bits) - 1)).astype("<u2").tobytes()) for b, i in split_by(at >> block_bits)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["block", "bits"]
+            )
+
+    def unite(table: pa.Table) -> pa.Table:
+        at = np.unique(np.concatenate([np.frombuffer(x, "<u2") for x in table.column("bits").to_pylist()]))
+        flags = np.zeros(1 << block_bits, np.uint8)
+        flags[at] = 1
+        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+    schema = "block int, bits binary"
+    blocks = ids.select("doc_id").mapInArrow(pack, schema).groupBy("block").applyInArrow(unite, schema)
+    bitmap = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    width = (1 << block_bits) // 8
+    for row in blocks.collect():  # 8 MB at most
+        bitmap[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = place(batch.column("doc_id"))
+            yield batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+
+    return docs.mapInArrow(keep, docs.schema)
