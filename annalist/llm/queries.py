@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -33,3 +34,91 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annalist.llm.ngram_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the documents, cut into 24 shards with the mixture of sources of the whole."""
+    from annalist.llm.sharding import interleave
+
+    blob = F.encode("text", "UTF-8")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        (F.coalesce(F.length(blob), F.lit(0)) + 8).cast("long").alias("size"),
+        F.coalesce(F.crc32(blob), F.lit(0)).cast("long").alias("text_crc32"),
+    )
+    return interleave(docs, "source", ["doc_id", "text_crc32"], n_shards=24).select(
+        "doc_id",
+        "source",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_file(name: str) -> str:
+    """A public vocabulary file of the installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.wordpiece import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.vector_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from three quarters of the labelled documents and predicts all."""
+    from annalist.llm import langid
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.fold("doc_id", 4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.suffix_dedup import shared_passages
+
+    return shared_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from four fifths of the documents and scores all."""
+    from annalist.llm import kneser_ney
+    from annalist.llm.langid import fold
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 1
+    return kneser_ney.score(docs, kneser_ney.train(docs.filter(~held_out)), held_out)
