@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,88 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold("doc_id", 5) == 1
     return kneser_ney.score(docs, kneser_ney.train(docs.filter(~held_out)), held_out)
+
+
+#: what the tools of the conversations take: argument, kind, required
+TOOLS = {
+    "search": [("query", "string", True), ("limit", "integer", False)],
+    "translate": [("text", "string", True), ("target", "string", True)],
+    "measure": [("text", "string", True), ("exact", "boolean", False), ("scale", "number", True)],
+}
+
+
+def _tool(name: str, arguments: list[tuple[str, str, bool]]) -> Column:
+    fields = ("argument", "kind", "required")
+    wanted = [F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, a, strict=True)]) for a in arguments]
+    return F.struct(F.lit(name).alias("name"), F.array(*wanted).alias("arguments"))
+
+
+def _json_text(c: str) -> Column:
+    one = F.to_json(F.array(c))
+    return F.substring(one, F.lit(2), F.length(one) - 2)
+
+
+@query
+def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns read as tool calls that go on from the last one; the next assistant turn is the result."""
+    from annalist.llm.chat import link_tool_calls
+
+    turns = table(spark, sf_dir, "conversations")
+    at = lambda shift: F.concat_ws(":", "conv_id", (F.col("turn") - shift).cast("string"))
+    n = F.length("text")
+    name = F.element_at(F.array(*map(F.lit, ["search", "translate", "measure", "browse"])), (n % 4 + 1).cast("int"))
+    text = _json_text("text")
+    limit = F.when(n % 5 == 0, F.lit('"many"')).otherwise((n % 50).cast("string"))
+    target = F.when(n % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(', "target": "'), F.lit("l"), (n % 9).cast("string"), F.lit('"')))
+    more = F.when(n % 11 == 0, F.lit(', "verbose": [1, {"b": null, "a": true}]')).otherwise("")
+    arguments = (
+        F.when(n % 13 == 0, F.concat(F.lit('{"text": '), text))
+        .when(n % 4 == 0, F.concat(F.lit('{"query": '), text, F.lit(', "limit": '), limit, more, F.lit("}")))
+        .when(n % 4 == 1, F.concat(F.lit('{"text": '), text, target, more, F.lit("}")))
+        .otherwise(F.concat(F.lit('{ "text" : '), text, F.lit(', "scale": '), (n % 3).cast("string"), F.lit('.5, "exact": true'), more, F.lit(" }")))
+    )
+    calls = turns.filter("role = 'user'").select(
+        "conv_id", at(0).alias("call_id"), at(2).alias("parent_id"), name.alias("name"), arguments.alias("arguments")
+    )
+    results = turns.filter("role = 'assistant'").select(at(1).alias("call_id"), "turn", F.col("text").alias("content"))
+    schemas = spark.range(1).select(F.inline(F.array(*[_tool(t, a) for t, a in TOOLS.items()])))
+    return link_tool_calls(calls, results, schemas)
+
+
+_SQL["op5_tool_call_linking"] = """
+WITH c AS (
+    SELECT conv_id, turn, conv_id || ':' || turn AS call_id, conv_id || ':' || (turn - 2) AS parent_id,
+        min(text) AS text, count(*) AS n_calls, min(length(text)) AS n
+    FROM conversations WHERE role = 'user' GROUP BY conv_id, turn
+), chains AS (
+    SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM c
+), deep AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS depth FROM chains
+), results AS (
+    SELECT conv_id || ':' || (turn - 1) AS call_id, count(*) AS n_results, min(text) AS content
+    FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn
+), parts AS (
+    SELECT d.*, coalesce(r.n_results, 0) AS n_results, r.content,
+        ['search', 'translate', 'measure', 'browse'][n % 4 + 1] AS name,
+        CASE WHEN n % 11 = 0 THEN ',"verbose":[1,{"a":true,"b":null}]' ELSE '' END AS more
+    FROM deep d LEFT JOIN results r USING (call_id)
+), args AS (
+    SELECT *, CASE WHEN n % 13 = 0 THEN NULL
+        WHEN n % 4 = 0 THEN '{"limit":' || CASE WHEN n % 5 = 0 THEN '"many"' ELSE (n % 50)::VARCHAR END
+            || ',"query":' || to_json(text) || more || '}'
+        WHEN n % 4 = 1 THEN '{' || CASE WHEN n % 7 = 0 THEN '' ELSE '"target":"l' || (n % 9) || '",' END
+            || '"text":' || to_json(text) || more || '}'
+        ELSE '{"exact":true,"scale":' || (n % 3) || '.5,"text":' || to_json(text) || more || '}' END AS arguments
+    FROM parts
+)
+SELECT conv_id, call_id, row_number() OVER (PARTITION BY conv_id ORDER BY depth, call_id) - 1 AS position,
+    depth, n_calls, n_results,
+    CASE WHEN name = 'browse' THEN 'unknown_tool' WHEN arguments IS NULL THEN 'invalid_json'
+        WHEN name = 'translate' AND n % 7 = 0 THEN 'missing_argument'
+        WHEN name = 'search' AND n % 5 = 0 THEN 'wrong_type'
+        WHEN n % 11 = 0 THEN 'unknown_argument' WHEN n_results = 0 THEN 'missing_result'
+        WHEN n_results > 1 THEN 'several_results' ELSE 'ok' END AS status,
+    '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || call_id || '","name":"' || name
+        || '","parent":"' || parent_id || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS record
+FROM args
+"""

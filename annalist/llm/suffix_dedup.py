@@ -34,6 +34,7 @@ from annalist.llm.words import (
     runs,
     ship,
     split_by,
+    split_likely,
     with_columns,
     words_of,
 )
@@ -407,6 +408,9 @@ def without_passages(docs: DataFrame, passages: DataFrame, text_column: str = "t
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema.set(at, pa.field(text_column, pa.string())))
 
-    touched = docs.join(spans, "doc_id")
-    changed = touched.mapInArrow(cut, touched.schema).drop("__spans").filter(F.col(text_column).isNotNull())
-    return docs.join(spans.select("doc_id"), "doc_id", "left_anti").unionByName(changed)
+    spans = materialize(spans, "cuts")
+    likely, rest = split_likely(docs, spans)
+    touched = likely.join(spans, "doc_id", "left")
+    changed = touched.mapInArrow(cut, touched.schema)
+    stays = F.col(text_column).isNotNull() | F.col("__spans").isNull()
+    return rest.unionByName(changed.filter(stays).select(*docs.columns))

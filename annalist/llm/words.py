@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.session import shared_dir
+from annalist.session import materialize, shared_dir
 
 U64 = np.uint64
 #: distinct words a worker remembers; the memory of the cache, not a limit on the texts
@@ -149,11 +149,12 @@ def part_of(h: np.ndarray, parts: int) -> np.ndarray:
 FILTER_BITS = 26
 
 
-def keep_likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may be in ``ids``: all that are, and few others.
+def split_likely(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose doc_id may be in ``ids`` (all that are, and few others), and the rest.
 
-    A bitmap of fixed size, put together in blocks by the tasks, spares most other rows the
-    shuffle of the exact join that follows. The more ids it holds the less it spares.
+    A bitmap of fixed size, put together in blocks by the tasks, spares the rest the
+    shuffle of the exact join that follows. The more ids it holds the less it spares. Null ids
+    belong to the rest.
     """
     block_bits = 15
 
@@ -183,10 +184,26 @@ def keep_likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
         bitmap[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            at = place(batch.column("doc_id"))
-            yield batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+    def part(wanted: bool) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = shared.value
+            for batch in batches:
+                column = batch.column("doc_id")
+                at = place(column)
+                found = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1) & column.is_valid().to_numpy(False)
+                yield batch.filter(pa.array(found == wanted))
+
+        return docs.mapInArrow(keep, docs.schema)
+
+    return part(True), part(False)
+
+
+def keep_likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return split_likely(docs, ids)[0]
+
 
-    return docs.mapInArrow(keep, docs.schema)
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids``; only likely ones are shuffled."""
+    ids = materialize(ids.select("doc_id").distinct(), "ids")
+    likely, rest = split_likely(docs, ids)
+    return rest.unionByName(likely.join(ids, "doc_id", "left_anti").select(*docs.columns))
