@@ -245,7 +245,7 @@ def smallest_label(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _products(tiles: DataFrame, limit: Threshold) -> DataFrame:
-    """Rows (u, v, links): set u is linked with ``links`` other rows, and connected with v."""
+    """Rows (u, s1, s2, v, links): a set of u is linked with ``links`` other rows, and connected with v."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n", "ascending"), ("doc_id", "ascending")])
@@ -262,9 +262,10 @@ def _products(tiles: DataFrame, limit: Threshold) -> DataFrame:
         place[order] = np.arange(len(doc))
         label = order[smallest_label(len(doc), place[i], place[j])][place]
         got = links > 0
-        return pa.table({"u": doc[got], "v": doc[label][got], "links": links[got].astype(np.int64)})
+        sig = {c: table.column(c).to_numpy()[got] for c in ("s1", "s2")}
+        return pa.table({"u": doc[got], **sig, "v": doc[label][got], "links": links[got].astype(np.int64)})
 
-    return tiles.groupBy("cluster", "i", "j").applyInArrow(run, "u long, v long, links long")
+    return tiles.groupBy("cluster", "i", "j").applyInArrow(run, "u long, s1 long, s2 long, v long, links long")
 
 
 def _tiles(sets: DataFrame, limit: Threshold) -> DataFrame:
@@ -331,11 +332,11 @@ def jaccard_components(
     one_node = of_row.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("u"))
     shared = of_row.join(one_node.filter("u != v").select("doc_id", "v"), "doc_id").select(F.col("rep").alias("u"), "v")
     nodes = connected_components(linked.select("u", "v").unionByName(shared))
-    degree = linked.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
+    degree = linked.groupBy(F.col("u").alias("rep"), "s1", "s2").agg(F.sum("links").alias("links"))
     named = (
         of_row.select(*by_set, "rep", "weight")
         .distinct()
-        .join(degree, "rep", "left")
+        .join(degree, ["rep", "s1", "s2"], "left")
         .join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
             *by_set,

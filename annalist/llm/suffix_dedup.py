@@ -8,7 +8,9 @@ ordered by what follows and one by what precedes; only suffixes whose first 25 w
 sorted, with just the words that a match of 50 can need. Neighbours are compared and the match is
 extended to both sides; a longer passage is the union of the matches at its suffixes.
 
-What a document shares with one of a smaller id is removed, so the first copy of each passage stays.
+What a document shares with one of a smaller id is removed, so the first copy of each passage stays. A suffix is
+compared with a few neighbours, not with all of its key, so words at the edge of a passage that only a
+distant row would add can be left; the tests hold this below one per cent.
 A passage in very many documents is sorted in chunks first; what survives there meets in a second sort.
 """
 
@@ -238,38 +240,39 @@ class _Sorted:
         return [np.r_[x, y].astype(np.int64) for x, y in zip(cut, kept, strict=True)]
 
     def compare(self) -> tuple[list[list[np.ndarray]], np.ndarray, list[int]]:
-        """Spans to cut, which rows have no smaller partner, and the first copy and last row of the open chain."""
+        """Spans to cut, which rows have no smaller partner, and the first copy and last row of the open chain.
+
+        Each row is held against the nearest rows of a smaller document before and after it, which
+        agree with it the furthest along the sorted side, and against the first copy in its chain of neighbours.
+        """
         n = len(self.doc)
         along, other = self.match(np.arange(n - 1), np.arange(1, n))
         joined = along + other >= LEAST
-        free = np.ones(n, bool)
-        out = []
+        first = np.empty(n, np.int64)
         for s, length in zip(*runs(np.cumsum(np.r_[0, ~joined])), strict=True):
-            if length == 1:
-                continue
             rows = np.arange(s, s + length)
-            first = int(rows[np.lexsort((self.pos[rows], self.doc[rows]))[0]])
-            # agreement with the first copy is at least the least agreement on the way to it
-            low_a, low_b = np.full(length, 1 << 20), np.full(length, 1 << 20)
-            k = first - s
-            step_a, step_b = along[s : s + length - 1], other[s : s + length - 1]
-            low_a[k + 1 :], low_b[k + 1 :] = np.minimum.accumulate(step_a[k:]), np.minimum.accumulate(step_b[k:])
-            low_a[:k], low_b[:k] = np.minimum.accumulate(step_a[:k][::-1])[::-1], np.minimum.accumulate(step_b[:k][::-1])[::-1]
-            good = (low_a + low_b >= LEAST) & (self.doc[rows] != self.doc[first])
-            got = rows[good]
-            out.append(self.spans(got, low_a[good], low_b[good], np.full(len(got), first)))
-            free[got] = False
-            for shift in (-1, 1):  # neighbours may agree for longer than with the first copy
-                i = rows[1:] if shift < 0 else rows[:-1]
-                less = self.doc[i + shift] < self.doc[i]
-                i = i[less]
-                step = i - 1 if shift < 0 else i
-                out.append(self.spans(i, along[step], other[step], i + shift))
-                free[i] = False
-        breaks = np.flatnonzero(~joined)
-        rows = np.arange(breaks[-1] + 1 if len(breaks) else 0, n)
-        first = int(rows[np.lexsort((self.pos[rows], self.doc[rows]))[0]])
-        return out, free, sorted({first, n - 1})
+            first[rows] = rows[np.lexsort((self.pos[rows], self.doc[rows]))[0]]
+        free, out = np.ones(n, bool), []
+        for partner in (first, _nearest_smaller(self.doc), n - 1 - _nearest_smaller(self.doc[::-1])[::-1]):
+            i = np.flatnonzero((partner >= 0) & (partner < n))
+            i = i[self.doc[partner[i]] < self.doc[i]]
+            along, other = self.match(i, partner[i])
+            good = along + other >= LEAST
+            out.append(self.spans(i[good], along[good], other[good], partner[i[good]]))
+            free[i[good]] = False
+        return out, free, sorted({int(first[-1]), n - 1})
+
+
+def _nearest_smaller(doc: np.ndarray) -> np.ndarray:
+    """For each row the nearest one before it with a smaller value; -1 if there is none."""
+    out, stack = np.full(len(doc), -1), []
+    for i, d in enumerate(doc.tolist()):
+        while stack and stack[-1][0] >= d:
+            stack.pop()
+        if stack:
+            out[i] = stack[-1][1]
+        stack.append((d, i))
+    return out
 
 
 _SPANS = "doc_id long, start long, stop long, first_doc_id long, removed long"
