@@ -5,6 +5,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
+from annalist.catalog import oracles, queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
@@ -30,7 +31,9 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracles.oracle_sql())
+    assert set(queries.queries()) <= set(entry.queries())
+    assert set(oracles.oracle_sql()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -42,10 +45,10 @@ def _normal(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
-    twin = duck.execute(entry.oracle_sql()[name])
+    df = queries.queries()[name](spark, SF)
+    twin = duck.execute(oracles.oracle_sql()[name])
     columns = {d[0]: str(d[1]) for d in twin.description}
     assert {c: TYPES[t] for c, t in df.dtypes} == columns
     order = sorted(columns)
