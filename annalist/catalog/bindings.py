@@ -19,6 +19,7 @@ from annalist.operators.rows import multi_period_keys
 from annalist.operators.scd2 import scd2_initial
 from annalist.plans.ingestion import regional_stock
 from annalist.session import materialize
+from annalist.sources.files import scan_typed
 from annalist.spec import ESTABLISHMENTS as SPEC
 
 REGION = tuple(f"{d:02d}" for d in range(12))
@@ -43,7 +44,8 @@ def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per period of a customer, with the customer's totals.
 
     The orders of a day are reduced to the first one before the shuffle, so a customer's
-    window holds at most one row per calendar day.
+    window holds at most one row per calendar day. For every fourth customer all days are one
+    period: from the first day on, with the values of the last and the total of all prices.
     """
     orders = table(spark, sf_dir, "orders")
     first = F.min(F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
@@ -62,11 +64,18 @@ def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("d").over(customer).alias("first_d"),
         F.max("d").over(customer).alias("last_d"),
         F.count("*").over(customer).alias("n"),
+        F.round(F.sum("o.o_totalprice").over(customer), 2).alias("total"),
     )
     single = F.col("k") % 4 == 0
-    return all_days.filter(~single | (F.col("d") == F.col("last_d"))).withColumn(
-        "n", F.when(single, 1).otherwise(F.col("n"))
-    )
+    is_last = F.col("d") == F.col("last_d")
+    return all_days.filter(~single | is_last).withColumns(
+        {
+            "is_last": is_last,
+            "d": F.when(single, F.col("first_d")).otherwise(F.col("d")),
+            "price": F.when(single, F.col("total")).otherwise(F.col("price")),
+            "n": F.when(single, 1).otherwise(F.col("n")),
+        }
+    ).drop("total")
 
 
 def _employer(price: Column | str, limit: int) -> Column:
@@ -75,7 +84,7 @@ def _employer(price: Column | str, limit: int) -> Column:
 
 def stock_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The present row of every customer as text, as a registry file has it."""
-    last = order_periods(spark, sf_dir).filter(F.col("d") == F.col("last_d"))
+    last = order_periods(spark, sf_dir).filter("is_last")
     joined = last.join(table(spark, sf_dir, "customer"), F.col("k") == F.col("c_custkey"))
     area = F.concat(_pad("c_nationkey", 2), _pad(F.col("k") % 1000, 3))
     treated = F.least(
@@ -107,8 +116,7 @@ def stock_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed stock of all customers."""
-    raw = stock_text(spark, sf_dir)
-    return raw.select(*[F.col(c.name).try_cast(c.dtype).alias(c.name) for c in SPEC.source_columns])
+    return scan_typed(stock_text(spark, sf_dir), SPEC.source_columns)
 
 
 def history_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +191,7 @@ def delta_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch against the order-based history, with every kind of change.
 
-    All customers treated since a cursor are in it. By key: changed activity (5), changed
+    All customers are in it. By key: changed activity (5), changed
     state (7), employer unknown (11), renamed municipality (4), coordinate withheld (13), a
     change dated on the cap (17). Customers outside the region are new.
     """
@@ -210,8 +218,7 @@ def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_add(F.lit(dt.date(2001, 6, 25)), (k % 10).cast("int"))
         ),
     }
-    since = F.col(SPEC.treated_at) >= moment("2001-04-01")
-    return staged(spark, sf_dir, "full_stock").filter(since).withColumns(changed).drop(SPEC.period_count)
+    return staged(spark, sf_dir, "full_stock").withColumns(changed).drop(SPEC.period_count)
 
 
 # --- tables that the registry keeps as files, written once per application --------------

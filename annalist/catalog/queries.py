@@ -137,8 +137,11 @@ def next_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def plan_range_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a type, here every one of 'error', are a part of their own."""
+    events = B.table(spark, sf_dir, "events")
+    part = F.when(F.col("event_type") != "error", F.col("event_type"))
     return chunks.plan_range_chunks(
-        B.table(spark, sf_dir, "events"), "event_type", "ts", dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), 200
+        events.withColumn("event_type", part), "event_type", "ts", dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), 200
     )
 
 
@@ -299,8 +302,11 @@ def batch_to_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def interval_active_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join has a row per period and month by definition, so its query counts them."""
     joined = J.interval_active_join(silver(spark, sf_dir), spine(spark))
-    return joined.select("month", "siret", SPEC.sector, prefix(SPEC.area).alias("department"), "start_at", "end_at")
+    return joined.groupBy("month", SPEC.sector, prefix(SPEC.area).alias("department")).agg(
+        F.count("*").alias("n"), F.count_distinct("siret").alias("entities"), F.min("start_at").alias("first_start")
+    )
 
 
 @query
@@ -334,8 +340,15 @@ def max_treated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everything = S.scd2_initial(stock(spark, sf_dir), history(spark, sf_dir), B.LOAD_DATE, keep_collapsed=True)
-    return S.expected_rows(stock(spark, sf_dir), everything)
+    """The whole stock as it is, and with counters that are missing, no numbers, or too high."""
+    whole = stock(spark, sf_dir)
+    everything = S.scd2_initial(whole, history(spark, sf_dir), B.LOAD_DATE, keep_collapsed=True)
+    k, n = F.col("siret").cast("bigint"), F.col(SPEC.period_count)
+    spoilt = F.when(k % 10 == 1, F.lit(None)).when(k % 10 == 2, "two").when(k % 10 == 3, (n.cast("int") + 1).cast("string"))
+    bad = whole.withColumn(SPEC.period_count, F.when(k % 10 <= 3, F.when(k % 10 > 0, spoilt).otherwise(n)).otherwise(n))
+    return S.expected_rows(whole, everything).withColumn("table", F.lit("stock")).unionByName(
+        S.expected_rows(bad, everything).withColumn("table", F.lit("spoilt"))
+    )
 
 
 @query
@@ -532,7 +545,7 @@ def fn_null_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per month over the months the orders span, without the last one, 0 included."""
     orders = B.table(spark, sf_dir, "orders")
-    first, last = orders.agg(F.min(as_date("o_orderdate")), F.max(as_date("o_orderdate"))).first()
+    first, last = orders.agg(F.min(as_date("o_orderdate")), F.max(as_date("o_orderdate"))).first()  # one row
     per_month = orders.groupBy(month_floor("o_orderdate").alias("month_start")).agg(F.count("*").alias("n"))
     months = T.calendar_spine(spark, first, last)
     return months.join(per_month, "month_start", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -621,14 +634,13 @@ def scd2_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.scd2_apply(silver(spark, sf_dir), scd2_target(spark, sf_dir))
+    return S.scd2_apply(silver(spark, sf_dir), scd2_target(spark, sf_dir), B.change_batch(spark, sf_dir))
 
 
 @query
 def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thirty daily batches onto an empty history."""
-    empty = silver(spark, sf_dir).filter(F.lit(False))
-    return replay.scd2_replay(empty, delta(spark, sf_dir))
+    """Thirty daily batches onto the whole history."""
+    return replay.scd2_replay(silver(spark, sf_dir), delta(spark, sf_dir))
 
 
 @query
@@ -721,4 +733,21 @@ def publish_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         {activity: [trends]},
         new_path(spark, "published"),
     )
-    return done.select(F.substring_index("model", "_", 1).alias("model"), "status", "n_rows")
+    states = done.select(F.substring_index("model", "_", 1).alias("model"), "status", "n_rows")
+    # what was published, as one list of entries
+    entries = [
+        spark.table(activity).select(
+            F.lit("activity").alias("model"),
+            F.concat_ws("|", F.col("month").cast("string"), "ape_code", "department").alias("entry"),
+            F.concat_ws("|", "nb_active", F.coalesce(F.col("net_growth").cast("string"), F.lit("-"))).alias("content"),
+        ),
+        spark.table(trends).select(
+            F.lit("trends").alias("model"),
+            F.concat_ws("|", F.col("month").cast("string"), "ape_code", "department").alias("entry"),
+            F.concat_ws("|", "nb_active", "nb_creations", "nb_closures", "nb_reopenings").alias("content"),
+        ),
+        spark.table(snapshot).select(
+            F.lit("snapshot").alias("model"), F.col("siret").alias("entry"), F.col("start_at").cast("string").alias("content")
+        ),
+    ]
+    return entries[0].unionByName(entries[1]).unionByName(entries[2]).join(states, "model")

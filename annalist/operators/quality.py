@@ -66,6 +66,30 @@ def check_no_overlap(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFr
     return _report(spans.agg(bad.alias("bad")), {"no_overlap": "bad"})
 
 
+def check_history(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
+    """What must hold of any history before it is published, in one aggregation per entity and start.
+
+    Every row has a key and a start, no period ends before it starts, no two share a start or overlap, and no
+    entity has two open periods.
+    """
+    spans = scd.groupBy(spec.key, spec.start).agg(
+        F.max(F.coalesce(F.col(spec.end), F.lit("9999-12-31").cast("date"))).alias("until"),
+        F.count("*").alias("n"),
+        F.count_if(F.col(spec.end).isNull()).alias("open"),
+        F.count_if(_backwards(spec)).alias("backwards"),
+    )
+    entity = Window.partitionBy(spec.key).orderBy(spec.start)
+    earlier = entity.rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumns({"covered": F.max("until").over(earlier), "opened": F.sum("open").over(entity)})
+    totals = spans.agg(
+        F.sum(F.when(F.col(spec.key).isNull() | F.col(spec.start).isNull(), F.col("n"))).alias("keys"),
+        F.sum("backwards").alias("intervals"),
+        F.count_if((F.col("n") > 1) | F.coalesce(F.col("covered") > F.col(spec.start), F.lit(False))).alias("no_overlap"),
+        F.count_if((F.col("open") > 0) & (F.col("opened") > 1)).alias("one_open"),
+    )
+    return _report(totals, {c: c for c in totals.columns})
+
+
 def _per_entity(spec: TableSpec, *sides: tuple[DataFrame, Mapping[str, Column]]) -> DataFrame:
     """Sum, per entity, of what the rows of each side contribute.
 
@@ -85,7 +109,8 @@ def _target_counts(spec: TableSpec) -> dict[str, Column]:
 
 def _joined_counts() -> dict[str, Column]:
     opened = F.col("has_significant_change") & ~F.coalesce(F.col("in_place"), F.lit(False))
-    return {"joined": F.lit(1), "added": opened | F.col("is_new")}
+    adds = (opened | F.col("is_new")) & F.col("usable")
+    return {"joined": F.lit(1), "added": adds, "unusable": ~F.col("usable")}
 
 
 _NOT_COVERED = "batch > 0 AND open <> 1"
@@ -120,7 +145,11 @@ def check_row_balance(
 def integrity_report(
     target: DataFrame, batch: DataFrame, history: DataFrame, joined: DataFrame, spec: TableSpec = ESTABLISHMENTS
 ) -> DataFrame:
-    """All checks on a batch's target from one aggregation."""
+    """All checks on a batch's target from one aggregation.
+
+    ``usable`` counts records without a key or a date, or dated before the open row that they would end; they
+    change nothing in the target, and their batch must not be applied.
+    """
     per_entity = _per_entity(
         spec,
         (target, _target_counts(spec)),
@@ -131,6 +160,7 @@ def integrity_report(
     totals = per_entity.agg(
         F.count_if(F.col("batch") > 1).alias("batch_unique"),
         F.sum(F.abs(F.col("joined") - F.col("batch"))).alias("no_fanout"),
+        F.sum("unusable").alias("usable"),
         F.sum("backwards").alias("intervals"),
         F.count_if(F.expr(_NOT_COVERED)).alias("open_coverage"),
         F.expr(_UNBALANCED).alias("row_balance"),

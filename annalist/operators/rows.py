@@ -40,7 +40,7 @@ def active_period(df: DataFrame, arr: str, end: str, name: str = "active_period"
 
 def flatten_nested(df: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
     """Nested delta records as flat, typed rows carrying the period that is still open."""
-    with_period = active_period(df, "periodesEtablissement", spec.effective_to)
+    with_period = active_period(df, spec.nested_periods, spec.effective_to)
     from_period = [*spec.source_tracked, spec.effective_from]
     from_address = [c for c in spec.fixed if c != spec.created_on]
     top_level = [spec.created_on, spec.treated_at, *[c for c in spec.tracked if c not in from_period]]
@@ -51,7 +51,7 @@ def flatten_nested(df: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame
     return with_period.select(
         spec.key,
         *[typed(c, c) for c in top_level],
-        *[typed(f"adresseEtablissement.{c}", c) for c in from_address],
+        *[typed(f"{spec.nested_address}.{c}", c) for c in from_address],
         *[typed(f"active_period.{c}", c) for c in from_period],
         *[c for c in (spec.batch_date,) if c in df.columns],
     )
@@ -72,8 +72,11 @@ def open_rows(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
 
 
 def state_as_of(scd: DataFrame, date: dt.date | Column | str, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
-    """The version of every entity valid on a day; a period holds from its start, not its end."""
-    day = as_date(date)
+    """The version of every entity valid on a day; a period holds from its start, not its end.
+
+    The day is a date, a column, or text that holds a date.
+    """
+    day = F.lit(date).cast("date") if isinstance(date, str) else as_date(date)
     return scd.filter((F.col(spec.start) <= day) & (F.col(spec.end).isNull() | (F.col(spec.end) > day)))
 
 

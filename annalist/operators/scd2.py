@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.functions import as_date, differs
-from annalist.operators.joins import batch_to_history, enrich_history, merge_upsert
+from annalist.operators.joins import batch_to_history, enrich_history
 from annalist.operators.rows import conditional_overwrite, single_period
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
@@ -84,14 +84,26 @@ def drop_collapsed(scd: DataFrame, cap: DataFrame, spec: TableSpec = ESTABLISHME
 
 
 def expected_rows(stock: DataFrame, scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
-    """One row ``(expected, actual, ok)``: the sum of the period counters and the rows there are."""
-    counted = stock.select(F.col(spec.period_count).try_cast("bigint").alias("expected"), F.lit(0).alias("actual"))
-    present = scd.select(F.lit(0).cast("bigint").alias("expected"), F.lit(1).alias("actual"))
-    both = counted.unionByName(present).agg(
+    """One row ``(expected, actual, n_bad, ok)``: the sum of the period counters, the rows there are, and the
+    entities for which the two differ. One without a usable counter (NULL, below 1, no number) differs.
+    """
+    counter = F.col(spec.period_count).try_cast("bigint")
+    counted = stock.select(spec.key, counter.alias("expected"), F.lit(0).alias("actual"), F.lit(1).alias("listed"))
+    present = scd.select(
+        spec.key, F.lit(0).cast("bigint").alias("expected"), F.lit(1).alias("actual"), F.lit(0).alias("listed")
+    )
+    entities = counted.unionByName(present).groupBy(spec.key).agg(
+        F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"),
+        F.sum("actual").alias("actual"),
+        F.count_if((F.col("listed") == 1) & ~F.coalesce(F.col("expected") >= 1, F.lit(False))).alias("unusable"),
+    )
+    differs_ = (F.col("expected") != F.col("actual")) | (F.col("unusable") > 0)
+    both = entities.agg(
         F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"),
         F.coalesce(F.sum("actual"), F.lit(0)).alias("actual"),
+        F.count_if(differs_).alias("n_bad"),
     )
-    return both.withColumn("ok", F.col("expected") == F.col("actual"))
+    return both.withColumn("ok", F.col("n_bad") == 0)
 
 
 # --- change detection: expressions on an incoming record and the open row ---------------
@@ -174,8 +186,14 @@ def detect_changes(
     flagged = detect_significant(joined, spec.tracked, null_safe, spec)
     flagged = detect_new(detect_fixed(flagged, spec.fixed, null_safe, spec), spec)
     flagged = change_boundary(flagged, mode, spec)
-    same_day = F.col("boundary") == F.col(CURRENT)[spec.start]
-    return flagged.withColumn("in_place", F.col("has_significant_change") & same_day)
+    boundary, since = F.col("boundary"), F.col(CURRENT)[spec.start]
+    early = F.coalesce(F.col("has_significant_change") & (boundary < since), F.lit(False))
+    return flagged.withColumns(
+        {
+            "in_place": F.col("has_significant_change") & (boundary == since),
+            "usable": F.col(spec.key).isNotNull() & boundary.isNotNull() & ~early,
+        }
+    )
 
 
 # --- the effect of one batch ----------------------------------------------------------
@@ -215,12 +233,21 @@ def reconcile(
         F.coalesce(of_open_row(boundary_date(incoming, current, spec, mode)), later).alias("boundary"),
         of_open_row(current[spec.start]).alias("open_since"),
         F.max(current[spec.start]).over(entity).alias("last_start"),
+        F.max(current[spec.end]).over(entity).alias("last_end"),
     )
+    # a record without a key or date, or dated before what it would end or follow, changes nothing;
+    # the checks on the batch report it
+    early = F.when(F.col("is_new"), F.col("boundary") < F.col("last_end")).otherwise(
+        F.col("has_significant_change") & (F.col("boundary") < F.col("open_since"))
+    )
+    usable = F.col(spec.key).isNotNull() & F.col("boundary").isNotNull() & ~F.coalesce(early, F.lit(False))
     # an unseen entity is inserted once, next to the last of its closed rows if it has any
     return flagged.select(
-        *[c for c in flagged.columns if c not in ("open_since", "last_start")],
+        *[c for c in flagged.columns if c not in ("open_since", "last_start", "last_end", "is_new")],
+        F.col("is_new"),
+        usable.alias("usable"),
         (F.col("has_significant_change") & (F.col("boundary") == F.col("open_since"))).alias("in_place"),
-        (F.col("is_new") & current[spec.start].eqNullSafe(F.col("last_start"))).alias("inserts"),
+        (F.col("is_new") & usable & current[spec.start].eqNullSafe(F.col("last_start"))).alias("inserts"),
     )
 
 
@@ -286,7 +313,7 @@ def _fresh(spec: TableSpec, batch_date: dt.date) -> Column:
     return _row(spec, fresh_values(spec, F.col(INCOMING), F.col("boundary"), as_date(batch_date)))
 
 
-_CLOSES = "is_open AND has_significant_change"
+_CLOSES = "is_open AND has_significant_change AND usable"
 
 
 def scd2_close(joined: DataFrame, batch_date: dt.date, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
@@ -335,7 +362,15 @@ def scd2_target(
     return joined.select(F.explode(rows).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
 
 
-def scd2_apply(scd: DataFrame, target: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """The table with a batch's target merged in."""
-    keys = list(keys) if keys else [ESTABLISHMENTS.key, ESTABLISHMENTS.start]
-    return merge_upsert(scd, target, keys)
+def scd2_apply(
+    scd: DataFrame, target: DataFrame, batch: DataFrame | None = None, spec: TableSpec = ESTABLISHMENTS
+) -> DataFrame:
+    """The table with a batch's target merged in.
+
+    The target holds all periods of its entities, so their old ones make way by key, and a history
+    bucketed by key stays in place. The entities come from the ``batch``, which spares a second
+    evaluation of the target; without it, from the target.
+    """
+    entities = (target if batch is None else batch).select(spec.key).distinct()
+    untouched = scd.join(entities, spec.key, "left_anti")
+    return untouched.select(*scd.columns).unionByName(target.select(*scd.columns))

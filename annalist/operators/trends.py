@@ -111,12 +111,12 @@ def _month_events(
 
 def nb_active(
     scd: DataFrame,
+    bounds: tuple[int, int],
     dims: Mapping[str, Column] | None = None,
-    bounds: tuple[int, int] = (0, 0),
     spec: TableSpec = ESTABLISHMENTS,
     disjoint: bool = False,
 ) -> DataFrame:
-    """Distinct entities active on each month start, for groups that have any."""
+    """Distinct entities active on each month start within the bounds, for groups that have any."""
     dims = dims or default_dims(spec)
     names = list(dims)
     changes = _active_changes(active_ranges(scd, bounds, dims, spec, disjoint), names, bounds[1])

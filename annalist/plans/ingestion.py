@@ -8,25 +8,27 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.operators.joins import history_semi
-from annalist.operators.quality import IntegrityError, check_no_overlap
+from annalist.operators.joins import affected_history, history_semi
+from annalist.operators.quality import IntegrityError, check_history
 from annalist.operators.rows import drop_null_key, multi_period_keys, region_filter
 from annalist.operators.scd2 import drop_collapsed, expected_rows, max_treated, scd2_initial
 from annalist.plans.publish import change_note, publish, read_note
 from annalist.plans.replay import replay
+from annalist.session import materialize, new_path, write_parquet
 from annalist.sources.files import (
+    comment_columns,
     ingest_nested_json,
     nested_delta_schema,
     scan_projected,
     scan_typed,
     stage_parquet,
 )
-from annalist.sources.queue import ack_in_table, append_to_queue, next_cursor, pending_batches, read_batch
+from annalist.sources.queue import ack_files, append_to_queue, next_cursor, queued_files, read_files
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
 Reader = Callable[[DataFrame], DataFrame]
 
-#: note on a published history: batches that are in it but still in the queue
+#: note on a published history: where the files are listed that are in it but still in the queue
 TO_ACKNOWLEDGE = "annalist.to_acknowledge"
 
 
@@ -50,6 +52,10 @@ def prepare_sources(
     return stock, stage_parquet(periods, f"{root}/history")
 
 
+#: columns of the queue for lines that are no JSON, and for fields the registry does not know
+CORRUPT, EXTRA = "_corrupt_record", "_extra"
+
+
 def enqueue_batch(
     lines: DataFrame,
     queue_table: str,
@@ -57,12 +63,31 @@ def enqueue_batch(
     cursor: dt.datetime,
     spec: TableSpec = ESTABLISHMENTS,
     path: str | None = None,
+    max_corrupt: float = 0.0,
+    cursor_name: str | None = None,
+    root: str | None = None,
 ) -> DataFrame:
-    """Parse a batch of JSON lines, append it to the queue, and give the cursor after it."""
-    batch = ingest_nested_json(lines, nested_delta_schema(spec), batch_date)
-    append_to_queue(batch, queue_table, path)
-    stored = read_batch(lines.sparkSession.table(queue_table), batch_date)
-    return next_cursor(stored, spec.treated_at, cursor)
+    """Parse a batch of JSON lines, append it to the queue, and give the cursor after it.
+
+    Nothing is lost on the way: fields that the registry does not know stay in the queue as text, and lines that are no
+    JSON go to the table ``<queue>_rejected``. If their share is above ``max_corrupt`` the batch
+    fails before anything is written. With ``cursor_name`` and ``root`` the cursor is published as well.
+    """
+    parsed = ingest_nested_json(lines, nested_delta_schema(spec), batch_date, CORRUPT, EXTRA)
+    parsed = materialize(parsed, "batch")
+    is_corrupt = F.col(CORRUPT).isNotNull()
+    n, bad = parsed.agg(F.count("*"), F.count_if(is_corrupt)).first()
+    if bad > max_corrupt * n:
+        raise IntegrityError(f"{bad} of {n} lines are no JSON")
+    if bad:
+        rejected = parsed.filter(is_corrupt).select(CORRUPT, "batch_date")
+        append_to_queue(rejected, f"{queue_table}_rejected", f"{path}_rejected" if path else None)
+    good = parsed.filter(~is_corrupt).drop(CORRUPT)
+    append_to_queue(good, queue_table, path)
+    after = next_cursor(good, spec.treated_at, cursor)
+    if cursor_name and root:
+        publish(after, cursor_name, root)
+    return after
 
 
 def first_load(
@@ -82,11 +107,14 @@ def first_load(
     every_period = scd2_initial(stock, history, batch_date, spec, keep_collapsed=True)
     counts = expected_rows(stock, every_period, spec).first()  # reads the keys only
     if not counts["ok"]:
-        raise IntegrityError(f"expected {counts['expected']} periods, found {counts['actual']}")
+        raise IntegrityError(
+            f"expected {counts['expected']} periods, found {counts['actual']}; {counts['n_bad']} entities differ"
+        )
     loaded = drop_collapsed(every_period, max_treated(stock, spec.treated_at), spec)
     if buckets is not None:
         loaded = loaded.repartition(buckets, spec.key)
-    return publish(loaded, name, root, lambda df: check_no_overlap(df, spec), _by_key(buckets, spec))
+    described = comment_columns(loaded, spec)
+    return publish(described, name, root, lambda df: check_history(df, spec), _by_key(buckets, spec))
 
 
 def _by_key(buckets: int | None, spec: TableSpec) -> tuple[int, str] | None:
@@ -104,35 +132,44 @@ def apply_pending(
 ) -> dt.date | None:
     """Apply the queued batches to the published history and take them off the queue.
 
-    Gives the batch at which it stopped, if any; it and the later ones stay queued. The
-    snapshot notes which batches it took in, in the same step that makes it current. So a
-    run that dies before it has acknowledged them is finished by the next one, which
+    Gives the batch at which it stopped, if any; it and the later ones stay queued. The files of the queue
+    are listed once; just these are read, and just these acknowledged, so rows that arrive
+    meanwhile wait for the next run. The snapshot notes which files it took in, in the same step that makes
+    it current. So a run that dies before it has acknowledged them is finished by the next one, which
     does not apply them again.
 
+    Before the switch the stored snapshot is checked for the entities that changed; if a check fails, the
+    history and the queue stay as they were.
+
     ``reader`` turns the queue's rows into flat records, such as ``flatten_nested`` for a
     queue of nested ones.
     """
     _acknowledge(spark, name, queue_table)
-    queue = spark.table(queue_table)
-    batches = [r[0] for r in pending_batches(queue).collect()]
-    if not batches:
+    files = materialize(queued_files(spark, queue_table), "queue-files")
+    if files.isEmpty():
         return None
+    queue = read_files(spark, queue_table, files)
     records = reader(queue) if reader else queue
     result = replay(spark.table(name), records, spec, buckets=buckets)
-    applied = [b for b in batches if result.halted_on is None or b < result.halted_on]
-    if applied:
-        notes = {TO_ACKNOWLEDGE: ",".join(b.isoformat() for b in applied)}
-        publish(result.history, name, root, buckets=_by_key(buckets, spec), notes=notes)
+    halted_on = result.halted_on
+    applied = files if halted_on is None else files.filter(F.col(spec.batch_date) < F.lit(halted_on))
+    if not applied.isEmpty():
+        noted = new_path(spark, "applied-files")
+        write_parquet(applied, noted)
+
+        def check(df: DataFrame) -> DataFrame:
+            return check_history(affected_history(df, result.touched, spec.key), spec)
+
+        publish(result.history, name, root, check, _by_key(buckets, spec), {TO_ACKNOWLEDGE: noted})
         _acknowledge(spark, name, queue_table)
-    return result.halted_on
+    return halted_on
 
 
 def _acknowledge(spark: SparkSession, name: str, queue_table: str) -> None:
     """Take off the queue what the published snapshot says it took in."""
     noted = read_note(spark, name, TO_ACKNOWLEDGE)
-    for batch in noted.split(",") if noted else []:
-        ack_in_table(spark, queue_table, dt.date.fromisoformat(batch))
     if noted:
+        ack_files(spark, queue_table, spark.read.parquet(noted))
         change_note(spark, name, TO_ACKNOWLEDGE, "")
 
 

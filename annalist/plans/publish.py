@@ -40,20 +40,34 @@ def write_snapshot(df: DataFrame, name: str, root: str, buckets: tuple[int, str]
 
 
 def switch_to(spark: SparkSession, name: str, source: str, notes: Mapping[str, str] | None = None) -> None:
-    """Point the published name at a snapshot; the notes change in the same step."""
-    properties = ", ".join(f"'{k}' = '{v}'" for k, v in (notes or {}).items())
+    """Point the published name at a snapshot; the notes change in the same step, others stay."""
+    kept = read_notes(spark, name) if spark.catalog.tableExists(name) else {}
+    properties = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in (kept | dict(notes or {})).items())
     with_notes = f"TBLPROPERTIES ({properties}) " if properties else ""
     spark.sql(f"CREATE OR REPLACE VIEW {name} {with_notes}AS SELECT * FROM {source}")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+#: what the names of notes begin with
+NOTE = "annalist."
+
+
+def read_notes(spark: SparkSession, name: str) -> dict[str, str]:
+    """The notes left with the published snapshot."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key").startswith(NOTE)).collect()
+    return {r["key"]: r["value"] for r in found}
+
+
 def read_note(spark: SparkSession, name: str, key: str) -> str:
     """A note left with the published snapshot, empty if there is none."""
-    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).first()
-    return found["value"] if found else ""
+    return read_notes(spark, name).get(key, "")
 
 
 def change_note(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('{key}' = '{value}')")
+    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({_quoted(key)} = {_quoted(value)})")
 
 
 def publish(

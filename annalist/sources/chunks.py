@@ -43,7 +43,11 @@ def plan_range_chunks(
         done = fits if done is None else done.unionByName(fits)
         if counted.get["left"] == 0:
             break
-        seconds = materialize(_cut(seconds.join(spans.filter(too_big), [part, "lo", "hi"]), cap), "chunk-seconds")
+        big = spans.filter(too_big).withColumnsRenamed({part: "_part", "lo": "_lo", "hi": "_hi"})
+        # rows without a part are a part of their own
+        same = F.col(part).eqNullSafe(F.col("_part")) & (F.col("lo") == F.col("_lo")) & (F.col("hi") == F.col("_hi"))
+        joined = seconds.join(big, same).drop("_part", "_lo", "_hi")
+        seconds = materialize(_cut(joined, cap), "chunk-seconds")
     return done.select(part, second_at("lo").alias("lo"), second_at("hi").alias("hi"), F.col("total").alias("n"))
 
 

@@ -85,20 +85,36 @@ def nested_delta_schema(spec: TableSpec) -> T.StructType:
             T.StructField(spec.created_on, text),
             T.StructField(spec.treated_at, text),
             *[T.StructField(c, spec.column(c).dtype) for c in flat],
-            T.StructField("adresseEtablissement", T.StructType([T.StructField(c, text) for c in address])),
+            T.StructField(spec.nested_address, T.StructType([T.StructField(c, text) for c in address])),
             T.StructField(
-                "periodesEtablissement",
+                spec.nested_periods,
                 T.ArrayType(T.StructType([T.StructField(c, text) for c in period])),
             ),
         ]
     )
 
 
-def ingest_nested_json(raw: DataFrame, schema: T.StructType, batch_date: dt.date | F.Column | str) -> DataFrame:
+def ingest_nested_json(
+    raw: DataFrame,
+    schema: T.StructType,
+    batch_date: dt.date | F.Column | str,
+    corrupt: str | None = None,
+    extra: str | None = None,
+) -> DataFrame:
     """Parse JSON lines (column ``value``) and tag them with their batch.
 
-    Lines that are not JSON give a record of NULLs, as the permissive file reader does.
+    Lines that are not JSON give a record of NULLs, as the permissive file reader does; with ``corrupt``, the
+    name of a column more, they are kept there. ``extra`` names a column that keeps the top-level fields the schema
+    does not know, by name, as text.
     """
-    return raw.select(
-        F.from_json("value", schema).alias("record"), as_date(batch_date).alias("batch_date")
-    ).select("record.*", "batch_date")
+    fields, options = schema, {}
+    if corrupt:
+        fields = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        options = {"columnNameOfCorruptRecord": corrupt}
+    columns = [F.from_json("value", fields, options).alias("record"), as_date(batch_date).alias("batch_date")]
+    if extra:
+        known = [F.lit(f.name) for f in schema.fields]
+        every = F.from_json("value", "map<string, string>")
+        rest = F.map_filter(every, lambda k, _: ~k.isin(*known))
+        columns.append(F.when(F.size(rest) > 0, rest).alias(extra))
+    return raw.select(*columns).select("record.*", "batch_date", *([extra] if extra else []))

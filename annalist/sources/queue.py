@@ -73,5 +73,25 @@ def ack_in_table(spark: SparkSession, table: str, batch_date: dt.date) -> None:
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH} = DATE'{batch_date.isoformat()}')")
 
 
+def queued_files(spark: SparkSession, table: str) -> DataFrame:
+    """Rows ``(file, batch_date)``: the files the queue consists of now."""
+    return spark.table(table).select(F.col("_metadata.file_path").alias("file"), BATCH).distinct()
+
+
+def read_files(spark: SparkSession, table: str, files: DataFrame) -> DataFrame:
+    """The queue's rows in the listed files only, whatever has arrived since."""
+    rows = spark.table(table).withColumn("_file", F.col("_metadata.file_path"))
+    return rows.join(files.select(F.col("file").alias("_file")), "_file", "left_semi").drop("_file")
+
+
+def ack_files(spark: SparkSession, table: str, files: DataFrame) -> None:
+    """Take the listed files off the queue. Rows that came later, to the same batch too, stay in it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for row in files.select("file").distinct().toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["file"]))
+        path.getFileSystem(conf).delete(path, False)
+    spark.catalog.refreshTable(table)
+
+
 def _date(batch_date: dt.date | str | Column) -> Column:
     return F.lit(batch_date).cast("date") if isinstance(batch_date, str) else as_date(batch_date)

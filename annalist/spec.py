@@ -47,6 +47,9 @@ class TableSpec:
     batch_date: str = "batch_date"
     active_state: str = "A"
     closed_state: str = "F"
+    #: names of the address struct and of the array of periods in nested records
+    nested_address: str = "adresseEtablissement"
+    nested_periods: str = "periodesEtablissement"
 
     def _names(self, *roles: str) -> list[str]:
         return [c.name for c in self.columns if c.role in roles]
@@ -132,6 +135,3 @@ ESTABLISHMENTS = TableSpec(
     sector="activitePrincipaleEtablissement",
     area="codeCommuneEtablissement",
 )
-
-# Area codes of the default region.
-DEFAULT_REGION = ("01", "03", "07", "15", "26", "38", "42", "43", "63", "69", "73", "74")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from annalist.operators.quality import IntegrityError
+from annalist.operators.joins import affected_history
+from annalist.operators.quality import IntegrityError, check_history
 from annalist.plans.publish import publish, read_note
 from annalist.plans.replay import replay
 from annalist.spec import ESTABLISHMENTS, TableSpec
@@ -44,9 +45,16 @@ def replay_stream(
         taken = noted.split(",") if noted and noted_run == this_run else []
         todo = micro_batch.filter(~F.col(spec.batch_date).cast("string").isin(taken))
         result = replay(session.table(name), todo, spec, buckets=buckets)
-        taken += [r[0].isoformat() for r in result.applied(todo, spec).collect()]
-        by_key = None if buckets is None else (buckets, spec.key)
-        publish(result.history, name, root, buckets=by_key, notes={TAKEN_IN: f"{this_run}={','.join(sorted(taken))}"})
+        applied = [r[0].isoformat() for r in result.applied(todo, spec).collect()]
+        if applied:
+            taken += applied
+            by_key = None if buckets is None else (buckets, spec.key)
+            notes = {TAKEN_IN: f"{this_run}={','.join(sorted(taken))}"}
+
+            def check(df: DataFrame) -> DataFrame:
+                return check_history(affected_history(df, result.touched, spec.key), spec)
+
+            publish(result.history, name, root, check, by_key, notes)
         if result.halted_on is not None:
             raise IntegrityError(f"stopped at batch {result.halted_on}")
 

@@ -134,7 +134,7 @@ def test_crash_between_switch_and_acknowledgement(spark, sources, batch, monkeyp
         raise RuntimeError("lost the driver")
 
     with monkeypatch.context() as patch:
-        patch.setattr(ingestion, "ack_in_table", dies)
+        patch.setattr(ingestion, "ack_files", dies)
         with pytest.raises(RuntimeError):
             ingestion.apply_pending(spark, name, root, queued, SMALL, buckets)
     expected = [("s1", "2001-08-01"), ("s2", "2001-09-01"), ("s3", None)]
@@ -248,3 +248,64 @@ def test_stream_stops_at_a_bad_batch_and_keeps_what_came_before(spark, sources,
         with pytest.raises(Exception, match="2001-10-02"):
             stream.awaitTermination(300)
         assert rows(spark.table(name).filter("id = 'a'"), "sector", "end_at") == expected
+
+
+def test_rows_that_arrive_during_a_run_stay_queued(spark, sources, batch, monkeypatch):
+    """To the same batch or to a later one: they are not acknowledged unread, and not applied twice."""
+    stock, periods = sources
+    root, name, queued = new_path(spark, "p"), "late_history", "late_queue"
+    ingestion.first_load(stock, periods, LOADED, name, root, SMALL)
+    queue.append_to_queue(batch({"id": "a", "sector": "s2", "on": "2001-08-01", "batch": "2001-08-02"}), queued)
+    fold = ingestion.replay
+
+    def meanwhile(*args, **kwargs):
+        done = fold(*args, **kwargs)
+        queue.append_to_queue(batch({"id": "late", "on": "2001-08-01", "batch": "2001-08-02"}), queued)
+        queue.append_to_queue(batch({"id": "a", "sector": "s3", "on": "2001-09-01", "batch": "2001-09-02"}), queued)
+        return done
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingestion, "replay", meanwhile)
+        assert ingestion.apply_pending(spark, name, root, queued, SMALL) is None
+    assert rows(spark.table(queued), "id", "batch_date") == [("a", "2001-09-02"), ("late", "2001-08-02")]
+    assert ("late",) not in rows(spark.table(name), "id")
+    assert ingestion.apply_pending(spark, name, root, queued, SMALL) is None
+    assert spark.table(queued).isEmpty()
+    assert rows(spark.table(name).filter("id in ('a', 'late')"), "id", "sector", "end_at") == [
+        ("a", "s1", "2001-08-01"),
+        ("a", "s2", "2001-09-01"),
+        ("a", "s3", None),
+        ("late", "s1", None),
+    ]
+
+
+def test_a_history_that_fails_its_checks_is_not_published(spark, sources, batch, monkeypatch):
+    stock, periods = sources
+    root, name, queued = new_path(spark, "p"), "checked_history", "checked_queue"
+    ingestion.first_load(stock, periods, LOADED, name, root, SMALL)
+    queue.append_to_queue(batch({"id": "a", "sector": "s2", "on": "2001-08-01", "batch": "2001-08-02"}), queued)
+    fold, before = ingestion.replay, rows(spark.table(name))
+
+    def doubled(*args, **kwargs):
+        done = fold(*args, **kwargs)
+        return type(done)(done.history.unionByName(done.history), done.halted_on, done.touched)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingestion, "replay", doubled)
+        with pytest.raises(IntegrityError, match="no_overlap"):
+            ingestion.apply_pending(spark, name, root, queued, SMALL)
+    assert rows(spark.table(name)) == before and spark.table(queued).count() == 1
+
+
+def test_broken_lines_and_unknown_fields_are_kept(spark):
+    good = json.dumps({"siret": "1", "dateDernierTraitementEtablissement": "2001-08-01T10:00:00", "newField": {"x": 1}})
+    raw = spark.createDataFrame([(good,), ("{broken",), ("no json",)], "value string")
+    args = ("kept_queue", dt.date(2001, 8, 2), dt.datetime(2001, 6, 1))
+    with pytest.raises(IntegrityError, match="2 of 3"):
+        ingestion.enqueue_batch(raw, *args)
+    assert not spark.catalog.tableExists("kept_queue")
+    root = new_path(spark, "cursor")
+    ingestion.enqueue_batch(raw, *args, max_corrupt=0.7, cursor_name="kept_cursor", root=root)
+    assert spark.table("kept_queue").select("siret", "_extra").first() == ("1", {"newField": '{"x":1}'})
+    assert rows(spark.table("kept_queue_rejected"), "_corrupt_record") == [("no json",), ("{broken",)]
+    assert spark.table("kept_cursor").first()[0] == dt.datetime(2001, 8, 1, 10, 0, 1)

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from annalist.operators import scd2 as S
+from annalist.operators.quality import IntegrityError
 from annalist.plans.replay import replay, scd2_replay
 from annalist.session import materialize
 from annalist.sources.queue import pending_batches, read_batch
@@ -19,7 +20,7 @@ def one_by_one(scd, queue, **options):
     for row in pending_batches(queue).collect():
         batch = read_batch(queue, row[0]).drop("batch_date").dropDuplicates()
         target = S.scd2_target(batch, scd, row[0], SMALL, **options)
-        scd = materialize(S.scd2_apply(scd, target, [SMALL.key, SMALL.start]), "step")
+        scd = materialize(S.scd2_apply(scd, target, spec=SMALL), "step")
     return scd
 
 
@@ -133,3 +134,68 @@ def test_fold_equals_one_by_one(history, batch, batches, null_safe, mode):
     assert rows(result.history) == rows(one_by_one(scd, queue, null_safe=null_safe, mode=mode))
     open_rows = result.history.filter("end_at IS NULL").groupBy("id").count()
     assert open_rows.filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        {"id": "a", "sector": "s9", "on": None},  # a known entity, no date
+        {"id": "n", "on": None},  # an unseen one
+        {"id": None, "on": "2003-02-01"},  # no key
+        {"id": "c", "on": "2000-06-01"},  # reopens on a day that a closed period covers
+    ],
+)
+def test_a_record_that_cannot_be_placed_stops_its_batch(history, batch, record):
+    scd = history(
+        {"id": "a", "start_at": "2000-01-01", "end_at": "2001-01-01"},
+        {"id": "a", "start_at": "2001-01-01"},
+        {"id": "b", "start_at": "2001-01-01"},
+        {"id": "c", "start_at": "2000-01-01", "end_at": "2001-01-01"},
+    )
+    queue = batch(
+        {"id": "b", "sector": "s2", "on": "2003-01-01", "batch": "2003-01-02"},
+        record | {"batch": "2003-02-02"},
+        {"id": "b", "sector": "s3", "on": "2003-03-01", "batch": "2003-03-02"},
+    )
+    result = replay(scd, queue, SMALL)
+    assert result.halted_on == dt.date(2003, 2, 2)
+    assert rows(result.history, "id", "sector", "start_at", "end_at") == [
+        ("a", "s1", "2000-01-01", "2001-01-01"),
+        ("a", "s1", "2001-01-01", None),
+        ("b", "s1", "2001-01-01", "2003-01-01"),
+        ("b", "s2", "2003-01-01", None),
+        ("c", "s1", "2000-01-01", "2001-01-01"),
+    ]
+
+
+def test_a_record_without_a_batch_date_is_an_error(history, batch):
+    queue = batch({"id": "a", "on": "2003-01-01", "batch": "2003-01-02"}, {"id": "b", "on": "2003-01-01"})
+    with pytest.raises(IntegrityError, match="without a batch date"):
+        replay(history({"id": "a", "start_at": "2001-01-01"}), queue, SMALL)
+
+
+def test_closed_periods_take_corrected_values_only(history, batch):
+    """A fixed change reaches the periods that were closed by then; without one they stay as they are."""
+    scd = history(
+        {"id": "a", "start_at": "2000-01-01", "end_at": "2001-01-01"},
+        {"id": "a", "start_at": "2001-01-01"},
+        {"id": "b", "area": "01009", "start_at": "2000-01-01", "end_at": "2001-01-01"},
+        {"id": "b", "start_at": "2001-01-01"},
+    )
+    queue = batch(
+        {"id": "a", "sector": "s2", "on": "2003-01-01", "batch": "2003-01-02"},
+        {"id": "a", "sector": "s2", "area": "01002", "on": "2003-02-01", "batch": "2003-02-02"},
+        {"id": "a", "sector": "s3", "area": "01002", "on": "2003-03-01", "batch": "2003-03-02"},
+        {"id": "b", "sector": "s2", "on": "2003-01-01", "batch": "2003-01-02"},
+    )
+    for buckets in (None, 3):
+        done = replay(scd, queue, SMALL, buckets=buckets).history
+        assert rows(done, "id", "area", "sector", "start_at") == [
+            ("a", "01002", "s1", "2000-01-01"),
+            ("a", "01002", "s1", "2001-01-01"),
+            ("a", "01002", "s2", "2003-01-01"),
+            ("a", "01002", "s3", "2003-03-01"),
+            ("b", "01001", "s1", "2001-01-01"),
+            ("b", "01001", "s2", "2003-01-01"),
+            ("b", "01009", "s1", "2000-01-01"),
+        ]

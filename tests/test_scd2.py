@@ -42,7 +42,7 @@ def test_change_on_the_start_day_replaces_the_open_row(history, batch):
     new = batch({"id": "a", "sector": "s2", "on": "2003-01-01"})
     done = target(new, scd)
     assert rows(done, *SHOW) == [("a", "A", "s2", "01001", "2003-01-01", None)]
-    applied = S.scd2_apply(scd, done, [SMALL.key, SMALL.start])
+    applied = S.scd2_apply(scd, done, spec=SMALL)
     assert rows(applied, *SHOW) == rows(done, *SHOW)
     assert set(report(done, new, scd).values()) == {0}
 
@@ -94,7 +94,7 @@ def test_unseen_entity_and_entity_with_closed_rows_only(history, batch):
         ("b", "F", "s1", "01001", "2000-01-01", "2001-01-01"),
     ]
     assert set(report(done, new, scd).values()) == {0}
-    applied = S.scd2_apply(scd, done, [SMALL.key, SMALL.start])
+    applied = S.scd2_apply(scd, done, spec=SMALL)
     assert applied.count() == 5 and ("c", "2000-01-01") in rows(applied, "id", "start_at")
 
 
@@ -114,13 +114,25 @@ def test_boundary_modes(history, batch):
         target(new, scd, mode="other")
 
 
-def test_boundary_before_the_open_start_fails_the_interval_check(history, batch):
+def test_boundary_before_the_open_start_changes_nothing_and_is_reported(history, batch):
     scd = history({"id": "a", "start_at": "2003-01-10"})
     new = batch({"id": "a", "sector": "s2", "on": "2003-01-05"})
     bad = report(target(new, scd), new, scd)
-    assert bad["intervals"] == 1
-    with pytest.raises(Q.IntegrityError, match="intervals: 1"):
-        Q.require_ok(Q.check_intervals(target(new, scd), SMALL))
+    assert bad["usable"] == 1 and bad["intervals"] == 0
+    assert target(new, scd).select("start_at", "end_at", "sector").collect() == scd.select("start_at", "end_at", "sector").collect()
+    backwards = history({"id": "a", "start_at": "2003-01-10", "end_at": "2003-01-05"})
+    for check in (Q.check_intervals, Q.check_history):
+        with pytest.raises(Q.IntegrityError, match="intervals: 1"):
+            Q.require_ok(check(backwards, SMALL))
+
+
+def test_record_without_dates_or_on_a_used_day_changes_nothing_and_is_reported(history, batch):
+    scd = history({"id": "a", "start_at": "2001-01-01"}, {"id": "b", "start_at": "2000-01-01", "end_at": "2001-01-01"})
+    new = batch({"id": "a", "sector": "s2", "on": None}, {"id": "b", "on": "2000-01-01"})
+    done = target(new, scd)
+    assert done.count() == 2 and done.filter("start_at is null").isEmpty()
+    bad = report(done, new, scd)
+    assert bad["usable"] == 1 and bad["open_coverage"] == 1
 
 
 def test_checks_see_missing_and_doubled_rows(history, batch):
