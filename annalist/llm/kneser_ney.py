@@ -190,7 +190,7 @@ def train(docs: DataFrame) -> Model:
     ship(spark)
     docs = docs.select("text")
     n_docs, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    parts = partitions_for(spark, size // 6, 1_500_000)
+    parts = partitions_for(spark, size // 6, 3_000_000)
     folder = new_path(spark, "language-model")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,15 +222,22 @@ def train(docs: DataFrame) -> Model:
         own = int(c.sum())
         rows = [(part, None, file, [len(key), len(first), own, *_of_counts(c)])]
         second, before = np.unique(w, return_counts=True)
-        before = before.astype("<u4")
-        rows += [(p, second[i].tobytes() + before[i].tobytes(), None, None) for p, i in split_by(part_of(second, parts))]
+        for p, i in split_by(part_of(second, parts)):
+            one, more = i[before[i] == 1], i[before[i] > 1]
+            # most words follow one word only here, which needs no number
+            head = np.array([len(one)], "<u4").tobytes()
+            rows.append((p, head + second[one].tobytes() + second[more].tobytes() + before[more].astype("<u4").tobytes(), None, None))
         return _table(rows)
 
     def add_words(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        blobs = [(x, len(x) // 12) for x in table.column("packed").to_pylist()]
-        w = np.concatenate([np.frombuffer(x, U64, n) for x, n in blobs])
-        n = np.concatenate([np.frombuffer(x, "<u4", k, 8 * k) for x, k in blobs]).astype(np.int64)
+        got = []
+        for x in table.column("packed").to_pylist():
+            one = int(np.frombuffer(x, "<u4", 1)[0])
+            more = (len(x) - 4 - 8 * one) // 12
+            ones = np.ones(one, "<u4")
+            got.append((np.frombuffer(x, U64, one + more, 4), np.r_[ones, np.frombuffer(x, "<u4", more, 4 + 8 * (one + more))]))
+        w, n = (np.concatenate([g[k] for g in got]) for k in (0, 1))
         w, at = np.unique(w, return_inverse=True)
         n = np.bincount(at, n, len(w)).astype(np.int64)
         file = write_arrays(folder, f"words-{part}", [w, n.astype("<u4")])
