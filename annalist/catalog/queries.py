@@ -712,9 +712,7 @@ def check_row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch, scd = B.change_batch(spark, sf_dir), silver(spark, sf_dir)
-    joined = S.detect_changes(J.batch_vs_open(batch, scd))
-    return Q.integrity_report(scd2_target(spark, sf_dir), batch, J.affected_history(scd, batch), joined)
+    return S.batch_report(B.change_batch(spark, sf_dir), silver(spark, sf_dir), B.CHANGE_DATE)
 
 
 @query

@@ -20,7 +20,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def _report(totals: DataFrame, checks: Mapping[str, str]) -> DataFrame:
+def report(totals: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     """One row per check from a single row of totals."""
     rows = F.array(
         *[
@@ -33,18 +33,18 @@ def _report(totals: DataFrame, checks: Mapping[str, str]) -> DataFrame:
 
 def check_unique(df: DataFrame, keys: Sequence[str], name: str = "unique") -> DataFrame:
     """No key occurs twice."""
-    return _report(duplicate_keys(df, keys).agg(F.count("*").alias("bad")), {name: "bad"})
+    return report(duplicate_keys(df, keys).agg(F.count("*").alias("bad")), {name: "bad"})
 
 
 def check_no_fanout(joined: DataFrame, batch: DataFrame) -> DataFrame:
     """The join has as many rows as the batch. Both are counted in one pass."""
     signs = joined.select(F.lit(1).alias("n")).unionByName(batch.select(F.lit(-1).alias("n")))
-    return _report(signs.agg(F.abs(F.sum("n")).alias("bad")), {"no_fanout": "bad"})
+    return report(signs.agg(F.abs(F.sum("n")).alias("bad")), {"no_fanout": "bad"})
 
 
 def check_intervals(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
     """No period ends before it starts."""
-    return _report(scd.agg(F.count_if(_backwards(spec)).alias("bad")), {"intervals": "bad"})
+    return report(scd.agg(F.count_if(_backwards(spec)).alias("bad")), {"intervals": "bad"})
 
 
 def _backwards(spec: TableSpec) -> Column:
@@ -63,7 +63,7 @@ def check_no_overlap(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFr
     earlier = Window.partitionBy(spec.key).orderBy(spec.start).rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("covered", F.max("until").over(earlier))
     bad = F.count_if((F.col("n") > 1) | F.coalesce(F.col("covered") > F.col(spec.start), F.lit(False)))
-    return _report(spans.agg(bad.alias("bad")), {"no_overlap": "bad"})
+    return report(spans.agg(bad.alias("bad")), {"no_overlap": "bad"})
 
 
 def check_history(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
@@ -87,7 +87,7 @@ def check_history(scd: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame
         F.count_if((F.col("n") > 1) | F.coalesce(F.col("covered") > F.col(spec.start), F.lit(False))).alias("no_overlap"),
         F.count_if((F.col("open") > 0) & (F.col("opened") > 1)).alias("one_open"),
     )
-    return _report(totals, {c: c for c in totals.columns})
+    return report(totals, {c: c for c in totals.columns})
 
 
 def _per_entity(spec: TableSpec, *sides: tuple[DataFrame, Mapping[str, Column]]) -> DataFrame:
@@ -120,7 +120,7 @@ _UNBALANCED = "sum(abs(target - history - added))"
 def check_open_coverage(target: DataFrame, batch: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
     """Every batch entity has exactly one open row in the target."""
     per_entity = _per_entity(spec, (target, {"open": F.col(spec.end).isNull()}), (batch, {"batch": F.lit(1)}))
-    return _report(per_entity.agg(F.count_if(F.expr(_NOT_COVERED)).alias("bad")), {"open_coverage": "bad"})
+    return report(per_entity.agg(F.count_if(F.expr(_NOT_COVERED)).alias("bad")), {"open_coverage": "bad"})
 
 
 def check_row_balance(
@@ -139,7 +139,7 @@ def check_row_balance(
         (history, {"history": F.lit(1)}),
         (joined, _joined_counts()),
     ).filter("batch > 0 OR target > 0")
-    return _report(per_entity.agg(F.expr(_UNBALANCED).alias("bad")), {"row_balance": "bad"})
+    return report(per_entity.agg(F.expr(_UNBALANCED).alias("bad")), {"row_balance": "bad"})
 
 
 def integrity_report(
@@ -165,7 +165,7 @@ def integrity_report(
         F.count_if(F.expr(_NOT_COVERED)).alias("open_coverage"),
         F.expr(_UNBALANCED).alias("row_balance"),
     )
-    return _report(totals, {c: c for c in totals.columns})
+    return report(totals, {c: c for c in totals.columns})
 
 
 def require_ok(report: DataFrame) -> None:

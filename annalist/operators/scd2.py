@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from annalist.functions import as_date, differs
 from annalist.operators.joins import batch_to_history, enrich_history
+from annalist.operators.quality import report
 from annalist.operators.rows import conditional_overwrite, single_period
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
@@ -248,6 +249,7 @@ def reconcile(
         usable.alias("usable"),
         (F.col("has_significant_change") & (F.col("boundary") == F.col("open_since"))).alias("in_place"),
         (F.col("is_new") & usable & current[spec.start].eqNullSafe(F.col("last_start"))).alias("inserts"),
+        current[spec.start].eqNullSafe(F.col("last_start")).alias("at_last"),
     )
 
 
@@ -355,11 +357,56 @@ def scd2_target(
     entity's record opens. A change on the day the open row started takes its place.
     """
     joined = reconcile(batch, scd, spec, null_safe, mode)
+    rows = _after(spec, batch_date)
+    return joined.select(F.explode(rows).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
+
+
+def _after(spec: TableSpec, batch_date: dt.date) -> Column:
+    """The period of a reconciled row as it stands afterwards, and the one that the record opens; NULL if there is none."""
     closes = F.expr(_CLOSES)
-    existing = _existing(spec, batch_date, closes)
     stays = F.col(CURRENT)[spec.start].isNotNull() & ~(closes & F.col("in_place"))
-    rows = F.array(F.when(stays, existing), F.when(closes | F.col("inserts"), _fresh(spec, batch_date)))
-    return joined.select(F.explode(rows).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
+    return F.array(
+        F.when(stays, _existing(spec, batch_date, closes)), F.when(closes | F.col("inserts"), _fresh(spec, batch_date))
+    )
+
+
+def batch_report(
+    batch: DataFrame,
+    scd: DataFrame,
+    batch_date: dt.date,
+    spec: TableSpec = ESTABLISHMENTS,
+    null_safe: bool = False,
+    mode: str = GREATEST,
+) -> DataFrame:
+    """The checks of ``integrity_report`` on the target that a batch gives, from one evaluation of it.
+
+    Each reconciled row yields its target rows with its flags, and all are counted per entity where the
+    windows have left them, so the table is read once and nothing is shuffled again.
+    """
+    joined = reconcile(batch, scd, spec, null_safe, mode)
+    row, once = F.col("r"), F.col("pos") == 0
+    each = joined.select("*", F.posexplode(_after(spec, batch_date)).alias("pos", "r"))
+    opens = (F.col("has_significant_change") & ~F.coalesce("in_place", F.lit(False))) | F.col("is_new")
+    record = once & F.col("at_last")  # one row for each copy of an entity's record
+    entities = each.groupBy(spec.key).agg(
+        F.count_if(record).alias("batch"),
+        F.count_if(record & ~F.col("usable")).alias("unusable"),
+        F.count_if(record & opens & F.col("usable")).alias("added"),
+        F.count_if(once & F.col("is_open")).alias("met_open"),
+        F.count_if(once & F.col(CURRENT)[spec.start].isNotNull()).alias("met"),
+        F.count_if(row.isNotNull()).alias("target"),
+        F.count_if(row.isNotNull() & row[spec.end].isNull()).alias("open"),
+        F.count_if(row[spec.start] > row[spec.end]).alias("backwards"),
+    )
+    totals = entities.agg(
+        F.count_if(F.col("batch") > 1).alias("batch_unique"),
+        F.sum(F.greatest("met_open", "batch") - F.col("batch")).alias("no_fanout"),
+        F.sum("unusable").alias("usable"),
+        F.sum("backwards").alias("intervals"),
+        F.count_if(F.col("open") != 1).alias("open_coverage"),
+        F.sum(F.abs(F.col("target") - F.col("met") / F.col("batch") - F.col("added"))).alias("row_balance"),
+    )
+    return report(totals, {c: c for c in totals.columns})
 
 
 def scd2_apply(

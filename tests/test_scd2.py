@@ -24,6 +24,22 @@ def report(target_df, batch, scd):
     return {r["check"]: r["n_bad"] for r in found.collect()}
 
 
+def test_report_from_one_evaluation_equals_the_separate_one(history, batch):
+    scd = history(
+        {"id": "a", "start_at": "2000-01-01", "end_at": "2001-01-01"},
+        {"id": "a", "start_at": "2001-01-01"},
+        {"id": "b", "start_at": "2001-01-01"},
+        {"id": "c", "start_at": "2000-01-01", "end_at": "2001-01-01"},
+    )
+    for new in (
+        batch({"id": "a", "sector": "s2", "on": "2003-01-01"}, {"id": "c", "on": "2003-01-01"}, {"id": "d", "on": "2003-01-01"}),
+        batch({"id": "b", "sector": "s2", "on": "2000-01-01"}, {"id": "a", "sector": "s2", "on": None}),
+        batch({"id": "b", "sector": "s2", "on": "2001-01-01"}),
+    ):
+        found = {r["check"]: r["n_bad"] for r in S.batch_report(new, scd, B, SMALL).collect()}
+        assert found == report(target(new, scd), new, scd)
+
+
 def test_null_on_either_side_is_no_change_unless_null_safe(history, batch):
     scd = history({"id": "a", "size": None, "start_at": "2002-01-01"}, {"id": "b", "start_at": "2002-01-01"})
     new = batch({"id": "a", "size": "2", "on": "2003-01-01"}, {"id": "b", "size": None, "on": "2003-01-01"})
