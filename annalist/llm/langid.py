@@ -199,6 +199,25 @@ class _Words(dict):
         return k
 
 
+class _Judge:
+    """A model in a task: the verdict on a text."""
+
+    def __init__(self, model: Model | None):
+        self.model, self.words = model, _Words(model) if model else None
+
+    def __call__(self, text: str | None) -> tuple[str, float, bool]:
+        model, words = self.model, self.words
+        if model is None or not letters(text):
+            return UNDETERMINED, 0.0, True
+        if len(words) > CACHE_WORDS:
+            words.clear()
+        found = text.split()
+        at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+        total = words.rows[at].sum(0)
+        p = model.confidence(total[:-1] / total[-1] + model.bias)
+        return model.labels[int(p.argmax())], float(p.max()), bool(p.max() < model.threshold)
+
+
 def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows (doc_id, lang_pred, score, rejected), one per row of ``docs``.
 
@@ -212,33 +231,32 @@ def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", tex
     shared = spark.sparkContext.broadcast(model)  # BUCKETS rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        words = _Words(model) if model else None
+        judge = _Judge(shared.value)
         for batch in batches:
-            names, scores, rejected = [], [], []
-            for text in batch.column("text").to_pylist():
-                if model is None or not letters(text):
-                    names.append(UNDETERMINED)
-                    scores.append(0.0)
-                    rejected.append(True)
-                    continue
-                if len(words) > CACHE_WORDS:
-                    words.clear()
-                found = text.split()
-                at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-                total = words.rows[at].sum(0)
-                p = model.confidence(total[:-1] / total[-1] + model.bias)
-                names.append(model.labels[int(p.argmax())])
-                scores.append(float(p.max()))
-                rejected.append(bool(p.max() < model.threshold))
+            columns = list(zip(*map(judge, batch.column("text").to_pylist()), strict=True)) or [[]] * 3
+            kinds = (pa.string(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+                [batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
                 ["doc_id", "lang_pred", "score", "rejected"],
             )
 
     return docs.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`predict` does not reject, with all their columns, in one pass."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _Judge(shared.value)
+        for batch in batches:
+            at = batch.schema.get_field_index(text_column)
+            yield batch.filter(pa.array([not judge(t)[2] for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null ids are in fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds, F.lit(0))

@@ -266,6 +266,11 @@ def test_language_id(spark, corpus):
     und = {r.doc_id for r in other if r.lang_pred == "und"}
     assert und == {500, 501, 502, None, 504} and all(r.rejected for r in other if r.lang_pred == "und")
     assert {r.lang_pred for r in other} <= {"en", "fr", "und"} and len(other) == len(corpus)
+    kept = langid.accepted(table(spark, corpus), model)
+    assert kept.columns == table(spark, []).columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        (i, t) for i, t in corpus if i not in {r.doc_id for r in other if r.rejected}
+    ) + Counter((i, t) for i, t in corpus if i is None and t is not None)
     nothing = langid.fit(docs.filter("lang = 'xx'"))
     assert nothing is None and {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
     assert langid.predict(docs.limit(0), model).count() == 0
