@@ -122,9 +122,11 @@ def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]], targ
     top, right = p.max(1), p.argmax(1) == y
     order = np.argsort(-top, kind="stable")
     accuracy = np.cumsum(right[order]) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero(accuracy >= target)
+    # equal confidences are accepted or rejected together
+    ends = np.r_[top[order][1:] != top[order][:-1], True]
+    good = np.flatnonzero((accuracy >= target) & ends)
     if not len(good):
-        model.threshold = float(top.max())
+        model.threshold = float(np.nextafter(top.max(), 2))
     elif good[-1] + 1 < len(y):
         model.threshold = float(top[order][good[-1]])
     return model
