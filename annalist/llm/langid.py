@@ -18,11 +18,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.words import ship, with_columns
+from annalist.llm.words import U64, mix, ship, with_columns
 from annalist.session import materialize
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 15, 16, 6, 0.5
@@ -35,30 +34,36 @@ CACHE_WORDS = 200_000
 _LETTER = regex.compile(r"\p{L}")
 
 
-def subwords(word: str) -> np.ndarray:
-    """Buckets of the word with its ends marked, and of its character 1- to 4-grams."""
-    w = f"<{word.lower()}>"
-    grams = [w, *(w[i : i + n] for n in (1, 2, 3, 4) for i in range(len(w) - n + 1))]
-    return np.fromiter((xxhash.xxh3_64_intdigest(g) & (BUCKETS - 1) for g in grams), np.int64, len(grams))
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word with its ends marked, and of its character 1- to 4-grams; with the word's number."""
+    marked = [f"<{w.lower()}>" for w in words]
+    points = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(U64)
+    lengths = np.array([len(w) for w in marked])
+    starts = np.cumsum(lengths) - lengths
+    word = np.repeat(np.arange(len(words)), lengths)
+    with np.errstate(over="ignore"):
+        at = (np.arange(len(points)) - starts[word] + 5).astype(U64)
+        owners, found = [np.arange(len(words))], [mix(np.add.reduceat(mix(points + (at << U64(32))), starts))]
+        h = np.zeros(len(points), U64)
+        for n in range(1, 5):
+            h = mix(h[: len(points) - n + 1] * U64(31) + points[n - 1 :] + U64(n))
+            inside = word[: len(h)] == word[n - 1 :]
+            owners.append(word[: len(h)][inside])
+            found.append(h[inside])
+    return np.concatenate(owners), (np.concatenate(found) & U64(BUCKETS - 1)).astype(np.int64)
 
 
 def letters(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
-def features(text: str, known: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text and their shares."""
-    known = {} if known is None else known
     counts: dict[str, int] = {}
     for w in text.split():
         counts[w] = counts.get(w, 0) + 1
-    total = np.zeros(BUCKETS)
-    for w, n in counts.items():
-        if w not in known:
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-            known[w] = subwords(w)
-        np.add.at(total, known[w], n)
+    owner, bucket = subwords(list(counts))
+    total = np.bincount(bucket, np.array(list(counts.values()))[owner], BUCKETS)
     at = np.flatnonzero(total)
     return at, total[at] / total.sum()
 
@@ -155,13 +160,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, target: float = TARGET) -> Model
     labelled = docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null and doc_id is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
         for batch in batches:
             out = []
             columns = (batch.column(k).to_pylist() for k in ("text", "lang", "r"))
             for text, lang, rank in zip(*columns, strict=True):
                 if letters(text):
-                    at, share = features(text, known)
+                    at, share = features(text)
                     out.append((lang, rank, at.astype("<i4").tobytes(), share.astype("<f4").tobytes()))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
@@ -191,33 +195,48 @@ class _Words(dict):
         super().__init__()
         self.model, self.rows = model, np.zeros((1024, len(model.labels) + 1))
 
-    def __missing__(self, word: str) -> int:
-        k = len(self)
-        if k == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        at = subwords(word)
-        self.rows[k, :-1], self.rows[k, -1] = self.model.scores[at].sum(0), len(at)
-        self[word] = k
-        return k
+    def learn(self, words: list[str]) -> None:
+        """Rows for new words, all at once."""
+        first = len(self)
+        if first + len(words) > len(self.rows):
+            self.rows = np.concatenate([self.rows[:first], np.zeros((first + 2 * len(words), self.rows.shape[1]))])
+        owner, bucket = subwords(words)
+        for k in range(len(self.model.labels)):
+            self.rows[first : first + len(words), k] = np.bincount(owner, self.model.scores[bucket, k], len(words))
+        self.rows[first : first + len(words), -1] = np.bincount(owner, minlength=len(words))
+        self.update(zip(words, range(first, first + len(words)), strict=True))
+
+
+#: texts that are judged together
+GROUP = 256
 
 
 class _Judge:
-    """A model in a task: the verdict on a text."""
+    """A model in a task: the verdicts on texts."""
 
     def __init__(self, model: Model | None):
         self.model, self.words = model, _Words(model) if model else None
 
-    def __call__(self, text: str | None) -> tuple[str, float, bool]:
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        return [v for k in range(0, len(texts), GROUP) for v in self._group(texts[k : k + GROUP])]
+
+    def _group(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         model, words = self.model, self.words
-        if model is None or not letters(text):
-            return UNDETERMINED, 0.0, True
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        found = text.split()
-        at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-        total = words.rows[at].sum(0)
-        p = model.confidence(total[:-1] / total[-1] + model.bias)
-        return model.labels[int(p.argmax())], float(p.max()), bool(p.max() < model.threshold)
+        split = [t.split() if model and letters(t) else None for t in texts]
+        if words is not None:
+            if len(words) > CACHE_WORDS:
+                words.clear()
+            if new := list({w for s in split if s for w in s if w not in words}):
+                words.learn(new)
+        out = []
+        for found in split:
+            if found is None:
+                out.append((UNDETERMINED, 0.0, True))
+                continue
+            total = words.rows[np.fromiter(map(words.__getitem__, found), np.int64, len(found))].sum(0)
+            p = model.confidence(total[:-1] / total[-1] + model.bias)
+            out.append((model.labels[int(p.argmax())], float(p.max()), bool(p.max() < model.threshold)))
+        return out
 
 
 def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -235,7 +254,7 @@ def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _Judge(shared.value)
         for batch in batches:
-            columns = list(zip(*map(judge, batch.column("text").to_pylist()), strict=True)) or [[]] * 3
+            columns = list(zip(*judge(batch.column("text").to_pylist()), strict=True)) or [[]] * 3
             kinds = (pa.string(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
@@ -254,7 +273,7 @@ def accepted(docs: DataFrame, model: Model | None, text_column: str = "text") ->
         judge = _Judge(shared.value)
         for batch in batches:
             at = batch.schema.get_field_index(text_column)
-            yield batch.filter(pa.array([not judge(t)[2] for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([not v[2] for v in judge(batch.column(at).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
