@@ -180,7 +180,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, target: float = TARGET) -> Model
     if not labels:
         return None
     ready = [
-        (np.frombuffer(r["at"], "<i4"), np.frombuffer(r["share"], "<f4").astype(float), labels.index(r["lang"]))
+        (np.frombuffer(r["at"], "<i4"), np.frombuffer(r["share"], "<f4"), labels.index(r["lang"]))
         for r in got
     ]
     held = [r["r"] % 5 == 0 for r in got]
