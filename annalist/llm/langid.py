@@ -144,7 +144,8 @@ def _sample(labelled: DataFrame, size: int) -> DataFrame:
     # twice the share that is needed goes on, so that no window holds all rows of a language
     counts = hashed.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), 2.0 * F.lit(size) / F.col("n") + 20 / F.col("n"))
-    low = hashed.join(counts, "lang").filter((F.pmod(F.col("p.h"), F.lit(1_000_003)) / 1_000_003.0) < share)
+    # one row per language, as many as the model has labels
+    low = hashed.join(F.broadcast(counts), "lang").filter((F.pmod(F.col("p.h"), F.lit(1_000_003)) / 1_000_003.0) < share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("p"))
     chosen = low.withColumn("r", rank).filter(F.col("r") <= size).select("lang", F.col("p.doc_id").alias("doc_id"), "r")
     # bounded by ``size`` and the number of languages
