@@ -3,20 +3,21 @@
 Suffixes are kept at minimiser positions only: the least hash among every ``WINDOW`` neighbouring runs of
 ``RUN`` words. The choice depends on the words alone, so both copies of a passage of ``LEAST`` words
 keep a suffix at the same place. Two such suffixes match over r words to the right and l words to the left;
-r + l >= 50 means that r >= 25, or l >= 25 and r >= 10. So there are two sorted arrays, one
-ordered by what follows and one by what precedes; only suffixes whose first 25 words there occur in several documents are
-sorted, with just the words that a match of 50 can need. Neighbours are compared and the match is
-extended to both sides; a longer passage is the union of the matches at its suffixes.
-
-What a document shares with one of a smaller id is removed, so the first copy of each passage stays. A suffix is
-compared with a few neighbours, not with all of its key, so words at the edge of a passage that only a
-distant row would add can be left; the tests hold this below one per cent.
-A passage in very many documents is sorted in chunks first; what survives there meets in a second sort.
+r + l >= 50 means that r >= 25, or l >= 25 and r >= 10. So there are two sorted arrays of keys, one of
+what follows and one of what precedes, and only suffixes whose 25 words there occur in several documents go on.
+
+Each of these is sorted once for every split of 50 words into what precedes and what follows, as far as it is the
+minimiser of those 50 words: entries (hash of the 50 words, document). Equal entries meet whatever lies around
+them, so every 50 words that two documents share are found; a longer passage is the union of its splits.
+
+What a document shares with one of a smaller id is removed, so the first copy of each passage stays.
+The splits of a key that very many suffixes have are not gathered: tasks add up the smallest and largest document
+of each, which are written to sorted files, and every suffix looks its own splits up. Both ways find the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annalist.llm.shards import map_arrays, write_arrays
 from annalist.llm.words import (
     U64,
     byte_texts,
@@ -40,15 +42,16 @@ from annalist.llm.words import (
     with_columns,
     words_of,
 )
-from annalist.session import materialize
+from annalist.session import materialize, new_path
 
 LEAST, RUN, HALF = 50, 10, 25
 WINDOW = LEAST - RUN + 1
-FAR = LEAST - RUN  # a suffix lies at most so many words after the start of a shared passage
-#: suffixes with one key that are sorted together in the first round
+#: suffixes with one key that are gathered in one task; those of a commoner key are looked up
 CHUNK = 4096
-#: rows of a group that are compared at a time
-PIECE = 16384
+#: splits that a task packs, adds up or looks up at a time
+SPLITS = 1_000_000
+#: splits of a suffix in the mean, to choose the number of parts
+_MEAN = LEAST // 4
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _WORD = regex.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
@@ -83,19 +86,16 @@ def minimisers(h: np.ndarray, rolling: Rolling) -> np.ndarray:
     return np.unique(np.arange(len(view)) + view.argmin(1))
 
 
-def _keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Position, side (0: what follows, 1: what precedes) and key of every kept suffix."""
+def _keys(h: np.ndarray) -> np.ndarray:
+    """Keys of every kept suffix: of what follows and of what precedes."""
     rolling = Rolling(h)
     p = minimisers(h, rolling)
     right, left = p[p + HALF <= len(h)], p[p >= HALF]
-    place = np.r_[right, left]
-    side = np.r_[np.zeros(len(right), np.int64), np.ones(len(left), np.int64)]
-    key = np.r_[rolling(right, HALF), mix(rolling(left - HALF, HALF + RUN) + U64(1))]
-    return place, side, key
+    return np.r_[rolling(right, HALF), mix(rolling(left - HALF, HALF + RUN) + U64(1))]
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, sig, packed): packed keys and places of the suffixes of a text."""
+    """Rows (doc_id, n, sig, packed): packed keys of the suffixes of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,8 +107,7 @@ def _scan(docs: DataFrame) -> DataFrame:
                 if len(h) < LEAST:
                     packed.append(b"")
                     continue
-                place, side, key = _keys(h)
-                packed.append(key.tobytes() + (place * 2 + side).astype("<i4").tobytes())
+                packed.append(_keys(h).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(packed, pa.binary())],
                 ["doc_id", "n", "sig", "packed"],
@@ -118,203 +117,246 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def _shared_keys(reps: DataFrame, parts: int) -> DataFrame:
-    """Rows (doc_id, at, key, m): suffixes whose key occurs in several documents, m times."""
+    """Rows (doc_id, key, m): suffixes whose key occurs in several documents, m times."""
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = batch.column("packed").to_pylist()
-            counts = [len(x) // 12 for x in packed]
+            counts = [len(x) // 8 for x in packed]
             if not sum(counts):
                 continue
             key = np.concatenate([np.frombuffer(x, U64, c) for x, c in zip(packed, counts, strict=True)])
-            at = np.concatenate([np.frombuffer(x, "<i4", c, 8 * c) for x, c in zip(packed, counts, strict=True)])
             doc = np.repeat(batch.column("doc_id").to_numpy(), counts)
-            got = [(p, key[i].tobytes() + doc[i].tobytes() + at[i].tobytes()) for p, i in split_by(part_of(key, parts))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["part", "packed"]
-            )
+            yield _blobs((p, key[i].tobytes() + doc[i].tobytes()) for p, i in split_by(part_of(key, parts)))
 
     def meet(table: pa.Table) -> pa.Table:
-        blobs = [(x, len(x) // 20) for x in table.column("packed").to_pylist()]
+        blobs = [(x, len(x) // 16) for x in table.column("packed").to_pylist()]
         key = np.concatenate([np.frombuffer(x, U64, c) for x, c in blobs])
         doc = np.concatenate([np.frombuffer(x, np.int64, c, 8 * c) for x, c in blobs])
-        at = np.concatenate([np.frombuffer(x, "<i4", c, 16 * c) for x, c in blobs])
         order = np.lexsort((doc, key))
-        key, doc, at = key[order], doc[order], at[order]
+        key, doc = key[order], doc[order]
         starts, lengths = runs(key)
         several = doc[starts] != doc[starts + lengths - 1]
         keep, m = np.repeat(several, lengths), np.repeat(lengths, lengths)
-        return pa.table({"doc_id": doc[keep], "at": at[keep], "key": key[keep].view(np.int64), "m": m[keep]})
+        return pa.table({"doc_id": doc[keep], "key": key[keep].view(np.int64), "m": m[keep]})
 
     scattered = reps.mapInArrow(scatter, "part int, packed binary")
-    return scattered.groupBy("part").applyInArrow(meet, "doc_id long, at int, key long, m long")
+    return scattered.groupBy("part").applyInArrow(meet, "doc_id long, key long, m long")
 
 
-_ROWS = (
-    "side int, key long, chunk int, chunks int, a binary, b binary, n_a int, n_b int, doc_id long, pos int"
-)
-_GROUP = ["side", "key", "chunk"]
+def _blobs(got: Iterable[tuple[int, bytes]]) -> pa.RecordBatch:
+    got = list(got)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["part", "packed"]
+    )
+
+
+def _splits(h: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Suffixes of a text whose key is among the sorted ``known``: index of the key, start of the first split and
+    number of splits of each; and the hashes of all their splits.
 
+    Each 50 words belong to their own minimiser, under the key of the side that holds 25 of them.
+    """
+    if len(h) < LEAST:
+        return None
+    rolling = Rolling(h)
+    g = rolling(np.arange(len(h) - RUN + 1), RUN)
+    view = np.lib.stride_tricks.sliding_window_view(g, WINDOW)
+    behind = view.argmin(1)
+    start = np.arange(len(view))
+    first, n = runs((start + behind) * 2 + (behind > LEAST - HALF))
+    place = first + behind[first]
+    key = np.where(
+        behind[first] > LEAST - HALF,
+        mix(rolling(np.maximum(place - HALF, 0), HALF + RUN) + U64(1)),
+        rolling(np.minimum(place, len(h) - HALF), HALF),
+    )
+    at = np.searchsorted(known, key)
+    at[at == len(known)] = 0
+    hit = known[at] == key
+    first, n, at = first[hit], n[hit], at[hit]
+    return at, first, n, rolling(_steps(first, n), LEAST)
+
+
+def _steps(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each row, n numbers each."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first start and number of splits of the packed suffixes, and the hashes of the splits."""
+    out = []
+    for x in blobs:
+        r = int(np.frombuffer(x, "<u4", 1)[0])
+        k = (len(x) - 4 - 13 * r) // 8
+        out.append(
+            (
+                np.frombuffer(x, np.int64, r, 4),
+                np.frombuffer(x, "<i4", r, 4 + 8 * r),
+                np.frombuffer(x, np.uint8, r, 4 + 12 * r),
+                np.frombuffer(x, U64, k, 4 + 13 * r),
+            )
+        )
+    doc, first, n, split = (np.concatenate([o[k] for o in out]) for k in range(4))
+    return doc, first.astype(np.int64), n.astype(np.int64), split
 
-def _words_at(h: np.ndarray, place: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words at place + steps as 32 bits each, and how many lie within the text."""
-    at = place[:, None] + steps[None, :]
-    inside = (at >= 0) & (at < len(h))
-    return np.where(inside, h[np.clip(at, 0, len(h) - 1)], 0).astype(">u4"), inside.sum(1)
 
+def _packed_splits(chosen: DataFrame, parts: int) -> DataFrame:
+    """Rows (hot, part, packed) of rows (doc_id, text, chosen array<struct<key, m>>), parts by ranges of the key."""
 
-def _suffixes(chosen: DataFrame) -> DataFrame:
-    """The words around each chosen suffix; rows (doc_id, text, chosen array<struct<at, key, m>>)."""
+    def pack(got: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, m, doc, first, n, split = (np.concatenate([g[k] for g in got]) for k in range(6))
+        ends = np.cumsum(n)
+        for hot in (False, True):
+            mine = np.flatnonzero((m > CHUNK) == hot)
+            if not len(mine):
+                continue
+            blobs = _blobs(
+                (
+                    p,
+                    np.array([len(i)], "<u4").tobytes()
+                    + doc[i].tobytes()
+                    + first[i].astype("<i4").tobytes()
+                    + n[i].astype(np.uint8).tobytes()
+                    + split[_steps(ends[i] - n[i], n[i])].tobytes(),
+                )
+                for p, i in ((p, mine[j]) for p, j in split_by(part_of(key[mine], parts)))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(blobs), hot)), *blobs.columns], ["hot", "part", "packed"]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, size = [], 0
         for batch in batches:
-            for doc_id, text, chosen in zip(
-                batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), batch.column("chosen").to_pylist(), strict=True
-            ):
-                h = hash_words(words_of(text)) >> U64(32)
-                at = np.array([c["at"] for c in chosen])
-                for side in (0, 1):
-                    mine = np.flatnonzero(at % 2 == side)
-                    mine = mine[at[mine] // 2 < len(h)]
-                    if not len(mine):
-                        continue
-                    pos = at[mine] // 2
-                    if side == 0:
-                        a, n_a = _words_at(h, pos, np.arange(HALF, LEAST))
-                        b, n_b = _words_at(h, pos, np.arange(-1, -HALF - 1, -1))
-                    else:
-                        a, n_a = _words_at(h, pos, np.arange(-HALF - 1, -FAR - 1, -1))
-                        b, n_b = _words_at(h, pos, np.arange(RUN, HALF))
-                    chunks = [-(-chosen[i]["m"] // CHUNK) for i in mine]
-                    mixed = int(mix(np.array([doc_id], np.int64).view(U64))[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(mine), side), pa.int32()),
-                            pa.array([chosen[i]["key"] for i in mine], pa.int64()),
-                            pa.array([mixed % c for c in chunks], pa.int32()),
-                            pa.array(chunks, pa.int32()),
-                            pa.array([x.tobytes() for x in a], pa.binary()),
-                            pa.array([x.tobytes() for x in b], pa.binary()),
-                            pa.array(n_a, pa.int32()),
-                            pa.array(n_b, pa.int32()),
-                            pa.array(np.full(len(mine), doc_id), pa.int64()),
-                            pa.array(pos, pa.int32()),
-                        ],
-                        [f.split()[0] for f in _ROWS.split(", ")],
-                    )
-
-    return chosen.mapInArrow(run, _ROWS)
-
-
-def _common(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    """Length of the common start of each row."""
-    if not len(x):
-        return np.empty(0, np.int64)
-    same = x == y
-    n = np.where(same.all(1), x.shape[1], same.argmin(1))
-    return np.minimum(n, np.minimum(nx, ny))
-
-
-class _Sorted:
-    """Neighbouring suffixes of one key, in order."""
-
-    def __init__(self, t: pa.Table):
-        self.side = t.column("side")[0].as_py()
-        self.base = (HALF, 0) if self.side == 0 else (HALF, RUN)
-        self.a = np.frombuffer(b"".join(t.column("a").to_pylist()), ">u4").reshape(len(t), -1)
-        self.b = np.frombuffer(b"".join(t.column("b").to_pylist()), ">u4").reshape(len(t), -1)
-        self.n_a, self.n_b = t.column("n_a").to_numpy(), t.column("n_b").to_numpy()
-        self.doc, self.pos = t.column("doc_id").to_numpy(), t.column("pos").to_numpy()
-
-    def match(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How far rows i and j agree along the sorted side and along the other."""
-        return (
-            self.base[0] + _common(self.a[i], self.a[j], self.n_a[i], self.n_a[j]),
-            self.base[1] + _common(self.b[i], self.b[j], self.n_b[i], self.n_b[j]),
-        )
+            lists = batch.column("chosen")
+            cuts = lists.offsets.to_numpy()
+            keys = lists.values.field("key").to_numpy().view(U64)
+            often = lists.values.field("m").to_numpy()
+            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True)):
+                known, where = np.unique(keys[cuts[i] : cuts[i + 1]], return_index=True)
+                found = _splits(hash_words(words_of(text)), known)
+                if found is None or not len(found[0]):
+                    continue
+                at, first, n, split = found
+                m = often[cuts[i] : cuts[i + 1]][where]
+                got.append((known[at], m[at], np.full(len(at), doc_id, np.int64), first, n, split))
+                size += len(split)
+                if size >= SPLITS:
+                    yield from pack(got)
+                    got, size = [], 0
+        if got:
+            yield from pack(got)
 
-    def spans(self, rows: np.ndarray, along: np.ndarray, other: np.ndarray, keeper: np.ndarray) -> list[np.ndarray]:
-        right, left = (along, other) if self.side == 0 else (other, along)
-        cut = [self.doc[rows], self.pos[rows] - left, self.pos[rows] + right, self.doc[keeper], np.ones(len(rows))]
-        kept = [self.doc[keeper], self.pos[keeper] - left, self.pos[keeper] + right, self.doc[keeper], np.zeros(len(rows))]
-        return [np.r_[x, y].astype(np.int64) for x, y in zip(cut, kept, strict=True)]
-
-    def compare(self) -> tuple[list[list[np.ndarray]], np.ndarray, list[int]]:
-        """Spans to cut, which rows have no smaller partner, and the first copy and last row of the open chain.
-
-        Each row is held against the nearest rows of a smaller document before and after it, which
-        agree with it the furthest along the sorted side, and against the first copy in its chain of neighbours.
-        """
-        n = len(self.doc)
-        along, other = self.match(np.arange(n - 1), np.arange(1, n))
-        joined = along + other >= LEAST
-        first = np.empty(n, np.int64)
-        for s, length in zip(*runs(np.cumsum(np.r_[0, ~joined])), strict=True):
-            rows = np.arange(s, s + length)
-            first[rows] = rows[np.lexsort((self.pos[rows], self.doc[rows]))[0]]
-        free, out = np.ones(n, bool), []
-        for partner in (first, _nearest_smaller(self.doc), n - 1 - _nearest_smaller(self.doc[::-1])[::-1]):
-            i = np.flatnonzero((partner >= 0) & (partner < n))
-            i = i[self.doc[partner[i]] < self.doc[i]]
-            along, other = self.match(i, partner[i])
-            good = along + other >= LEAST
-            out.append(self.spans(i[good], along[good], other[good], partner[i[good]]))
-            free[i[good]] = False
-        return out, free, sorted({int(first[-1]), n - 1})
-
-
-def _nearest_smaller(doc: np.ndarray) -> np.ndarray:
-    """For each row the nearest one before it with a smaller value; -1 if there is none."""
-    out, stack = np.full(len(doc), -1), []
-    for i, d in enumerate(doc.tolist()):
-        while stack and stack[-1][0] >= d:
-            stack.pop()
-        if stack:
-            out[i] = stack[-1][1]
-        stack.append((d, i))
-    return out
+    return chosen.mapInArrow(run, "hot boolean, part int, packed binary")
 
 
 _SPANS = "doc_id long, start long, stop long, first_doc_id long, removed long"
 
 
-def _neighbours(rows: DataFrame, again: bool) -> DataFrame:
-    """Compare rows sorted within their group. ``again``: the rows that a split group still holds."""
+def _spans(doc: np.ndarray, first: np.ndarray, n: np.ndarray, least: np.ndarray, most: np.ndarray) -> pa.Table:
+    """Passages of suffixes whose splits occur in documents from ``least`` to ``most``."""
+    row = np.repeat(np.arange(len(n)), n)
+    start, own = _steps(first, n), doc[row]
+    out = []
+    for removed, flag in ((1, least < own), (0, most > own)):
+        i = np.flatnonzero(flag)
+        if not len(i):
+            continue
+        begins = np.flatnonzero(np.r_[True, (np.diff(i) > 1) | (np.diff(row[i]) > 0)])
+        ends = np.r_[begins[1:], len(i)] - 1
+        keeper = np.minimum.reduceat(least[i], begins) if removed else own[i[begins]]
+        out.append((own[i[begins]], start[i[begins]], start[i[ends]] + LEAST, keeper, np.full(len(begins), removed)))
+    names = [f.split()[0] for f in _SPANS.split(", ")]
+    columns = [np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64) for k in range(len(names))]
+    return pa.table([pa.array(c.astype(np.int64)) for c in columns], names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            while len(t) > 1:
-                piece, more = t.slice(0, PIECE), t.slice(PIECE)
-                out, free, open_ = _Sorted(piece).compare()
-                if again:
-                    split = piece.column("chunks").to_numpy() > 1
-                    keep = piece.filter(pa.array(free & split))
-                    yield from keep.combine_chunks().to_batches()
-                elif out:
-                    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in _SPANS.split(", ")])
-                t = pa.concat_tables([piece.take(open_), more]) if len(more) else more
-            if again and len(t) == 1 and t.column("chunks")[0].as_py() > 1:
-                yield from t.combine_chunks().to_batches()
 
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = t if rest is None else pa.concat_tables([rest, t])
-            changed = np.zeros(max(len(t) - 1, 0), bool)
-            for k in _GROUP:
-                v = t.column(k).to_numpy()
-                changed |= v[1:] != v[:-1]
-            cuts = [0, *(np.flatnonzero(changed) + 1).tolist()]
-            for s, e in zip(cuts, cuts[1:], strict=False):
-                yield from done(t.slice(s, e - s))
-            rest = t.slice(cuts[-1])
-        if rest is not None:
-            yield from done(rest)
-
-    ordered = rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "a", "b", "doc_id", "pos")
-    return ordered.mapInArrow(run, _ROWS if again else _SPANS)
+def _extremes(split: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct splits with their smallest and largest document, and the index of each entry among them."""
+    kinds, at = np.unique(split, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    starts, _ = runs(at[order])
+    return kinds, np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts), at
+
+
+def _gathered(packed: DataFrame) -> DataFrame:
+    """Spans of suffixes with a key that at most CHUNK suffixes have."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        doc, first, n, split = _unpack(table.column("packed").to_pylist())
+        own = np.repeat(doc, n)
+        _, least, most, at = _extremes(split, own, own)
+        return _spans(doc, first, n, least[at], most[at])
+
+    return packed.select("part", "packed").groupBy("part").applyInArrow(meet, _SPANS)
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Unpacked blobs, about SPLITS splits at a time."""
+    got, size = [], 0
+    for batch in batches:
+        for x in batch.column("packed").to_pylist():
+            got.append(x)
+            size += len(x) // 8
+            if size >= SPLITS:
+                yield _unpack(got)
+                got, size = [], 0
+    if got:
+        yield _unpack(got)
+
+
+def _looked_up(packed: DataFrame, parts: int) -> DataFrame:
+    """Spans of suffixes with a commoner key; no task holds them all."""
+    spark = packed.sparkSession
+    folder = new_path(spark, "splits")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, _, n, split in _several(batches):
+            own = np.repeat(doc, n)
+            kinds, least, most, _ = _extremes(split, own, own)
+            yield _blobs(
+                (p, kinds[i].tobytes() + least[i].tobytes() + most[i].tobytes()) for p, i in split_by(part_of(kinds, parts))
+            )
+
+    def write(table: pa.Table) -> pa.Table:
+        blobs = [(x, len(x) // 24) for x in table.column("packed").to_pylist()]
+        split, least, most = (
+            np.concatenate([np.frombuffer(x, kind, c, 8 * c * k) for x, c in blobs])
+            for k, kind in enumerate((U64, np.int64, np.int64))
+        )
+        kinds, least, most, _ = _extremes(split, least, most)
+        held = least < most
+        part = table.column("part")[0].as_py()
+        file = write_arrays(folder, f"splits-{part}", [kinds[held], least[held], most[held]])
+        return pa.table({"part": pa.array([part], pa.int32()), "file": [file], "n": pa.array([int(held.sum())], pa.int64())})
+
+    added = packed.mapInArrow(add, "part int, packed binary").groupBy("part").applyInArrow(write, "part int, file string, n long")
+    # one short row per file
+    files = spark.sparkContext.broadcast({r["part"]: (r["file"], r["n"]) for r in materialize(added, "files").collect()})
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, first, n, split in _several(batches):
+            own = np.repeat(doc, n)
+            kinds, at = np.unique(split, return_inverse=True)
+            place = np.full(len(kinds), -1)
+            low, high, seen = [], [], 0
+            for part, i in split_by(part_of(kinds, parts)):
+                file, size = files.value[part]
+                known, least, most = map_arrays(file, [("<u8", size), ("<i8", size), ("<i8", size)])
+                where = np.searchsorted(known, kinds[i])
+                where[where == size] = 0
+                hit = known[where] == kinds[i] if size else np.zeros(len(i), bool)
+                place[i[hit]] = seen + np.arange(hit.sum())
+                low.append(least[where[hit]])
+                high.append(most[where[hit]])
+                seen += int(hit.sum())
+            place = place[at]
+            low, high = np.r_[np.concatenate(low), 0], np.r_[np.concatenate(high), 0]
+            shared = place >= 0
+            yield from _spans(doc, first, n, np.where(shared, low[place], own), np.where(shared, high[place], own)).to_batches()
+
+    return packed.mapInArrow(find, _SPANS)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -346,12 +388,16 @@ def shared_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # equal texts are one text in the arrays
     classes = scanned.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.max("n").alias("n"))
     reps = scanned.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("packed").alias("packed"))
-    total = scanned.agg((F.sum(F.length("packed")) / 12).cast("long")).first()[0] or 0
+    total = scanned.agg((F.sum(F.length("packed")) / 8).cast("long")).first()[0] or 0
     keys = _shared_keys(reps.select("doc_id", "packed"), partitions_for(spark, total))
-    chosen = materialize(keys, "keys").groupBy("doc_id").agg(F.collect_list(F.struct("at", "key", "m")).alias("chosen"))
-    rows = materialize(_suffixes(keep_likely(docs, chosen).join(chosen, "doc_id")), "sorted")
-    left = materialize(_neighbours(rows.filter("chunks > 1"), again=True), "left").withColumn("chunk", F.lit(-1))
-    found = _neighbours(rows, again=False).unionByName(_neighbours(left.select(*[f.split()[0] for f in _ROWS.split(", ")]), again=False))
+    keys = materialize(keys, "keys")
+    shared, hot = keys.agg(F.count("*"), F.count(F.when(F.col("m") > CHUNK, 1))).first()
+    chosen = keys.groupBy("doc_id").agg(F.collect_list(F.struct("key", "m")).alias("chosen"))
+    parts = partitions_for(spark, shared * _MEAN)
+    packed = materialize(_packed_splits(keep_likely(docs, chosen).join(chosen, "doc_id"), parts), "splits")
+    found = _gathered(packed.filter("not hot"))
+    if hot:
+        found = found.unionByName(_looked_up(packed.filter("hot"), partitions_for(spark, hot * _MEAN)))
     copied = classes.filter("rep != last")
     copies = (
         scanned.select("doc_id", "sig")

@@ -119,6 +119,38 @@ def test_split_keys_give_the_same_passages(spark, corpus, monkeypatch):
     assert {d for d, *_ in after} == {d for d, *_ in before}
 
 
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_passages_between_distant_rows(spark, monkeypatch, chunk):
+    """Two documents share U before a common T, and V after it, in the midst of many that share T alone."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    docs = []
+    for k in range(40):  # each of them with other lengths and another minimiser
+        shared, u, v = text(26 + k % 24), text(10 + k % 15 + 14), text(30)
+        for j in range(14):
+            before = u if j in (3, 9) else text(25)
+            docs.append([*text(20), *before, *shared, *(v if j in (5, 9, 12) else text(25)), *text(20)])
+    rng.shuffle(docs)
+    docs = [(i, w) for i, w in enumerate(docs)]
+    held = defaultdict(set)
+    for i, w in docs:
+        for j in range(len(w) - 49):
+            held[tuple(w[j : j + 50])].add(i)
+    got, want = {True: set(), False: set()}, {True: set(), False: set()}
+    for r in suffix_dedup.shared_passages(table(spark, [(i, " ".join(w)) for i, w in docs])).collect():
+        got[r.removed] |= {(r.doc_id, p) for p in range(r.start_word, r.stop_word)}
+    for i, w in docs:
+        for j in range(len(w) - 49):
+            ids = held[tuple(w[j : j + 50])]
+            if min(ids) < i:
+                want[True] |= {(i, p) for p in range(j, j + 50)}
+            if max(ids) > i:
+                want[False] |= {(i, p) for p in range(j, j + 50)}
+    assert got[True] == want[True] and want[True]
+    assert got[False] <= want[False] and want[False] - got[False] <= want[True]
+
+
 def brute_tiles(a, b, least):
     free_a, free_b, out = [True] * len(a), [True] * len(b), 0
     while True:
