@@ -202,7 +202,8 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 def _packed_splits(chosen: DataFrame, parts: int) -> DataFrame:
-    """Rows (hot, part, packed) of rows (doc_id, text, chosen array<struct<key, m>>), parts by ranges of the key."""
+    """Rows (hot, part, packed) of rows (doc_id, text, chosen array<struct<key, m>>), parts by ranges of the key
+    where suffixes are gathered."""
 
     def pack(got: list[tuple]) -> Iterator[pa.RecordBatch]:
         key, m, doc, first, n, split = (np.concatenate([g[k] for g in got]) for k in range(6))
@@ -220,7 +221,8 @@ def _packed_splits(chosen: DataFrame, parts: int) -> DataFrame:
                     + n[i].astype(np.uint8).tobytes()
                     + split[_steps(ends[i] - n[i], n[i])].tobytes(),
                 )
-                for p, i in ((p, mine[j]) for p, j in split_by(part_of(key[mine], parts)))
+                # looked up, no key needs to meet others: suffixes stay in the order of their text
+                for p, i in ([(0, mine)] if hot else [(p, mine[j]) for p, j in split_by(part_of(key[mine], parts))])
             )
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(blobs), hot)), *blobs.columns], ["hot", "part", "packed"]
@@ -255,7 +257,8 @@ _SPANS = "doc_id long, start long, stop long, first_doc_id long, removed long"
 
 
 def _spans(doc: np.ndarray, first: np.ndarray, n: np.ndarray, least: np.ndarray, most: np.ndarray) -> pa.Table:
-    """Passages of suffixes whose splits occur in documents from ``least`` to ``most``."""
+    """Passages of suffixes whose splits occur in documents from ``least`` to ``most``; those of suffixes that
+    follow each other are one."""
     row = np.repeat(np.arange(len(n)), n)
     start, own = _steps(first, n), doc[row]
     out = []
@@ -263,7 +266,7 @@ def _spans(doc: np.ndarray, first: np.ndarray, n: np.ndarray, least: np.ndarray,
         i = np.flatnonzero(flag)
         if not len(i):
             continue
-        begins = np.flatnonzero(np.r_[True, (np.diff(i) > 1) | (np.diff(row[i]) > 0)])
+        begins = np.flatnonzero(np.r_[True, (np.diff(start[i]) != 1) | (np.diff(own[i]) != 0)])
         ends = np.r_[begins[1:], len(i)] - 1
         keeper = np.minimum.reduceat(least[i], begins) if removed else own[i[begins]]
         out.append((own[i[begins]], start[i[begins]], start[i[ends]] + LEAST, keeper, np.full(len(begins), removed)))

@@ -151,6 +151,21 @@ def test_passages_between_distant_rows(spark, monkeypatch, chunk):
     assert got[False] <= want[False] and want[False] - got[False] <= want[True]
 
 
+def test_passages_do_not_depend_on_the_size_of_a_key(spark, monkeypatch):
+    """60 words in many documents, of which some share 15 more: the same rows whether they are gathered or looked up."""
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, more = text(60), text(15)
+    docs = [(i, " ".join([*text(30), *passage, *(more if i in (17, 41) else text(15)), *text(30)])) for i in range(60)]
+    found = []
+    for chunk in (4096, 4):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        found.append(sorted(tuple(r) for r in suffix_dedup.shared_passages(table(spark, docs)).collect()))
+    assert found[0] == found[1]
+    assert {r[0]: r[1:5] for r in found[0] if r[5]} == {i: (30, 105 if i == 41 else 90, 75 if i == 41 else 60, 0) for i in range(1, 60)}
+    assert [r[0] for r in found[0] if not r[5]] == [0, 17]
+
+
 def brute_tiles(a, b, least):
     free_a, free_b, out = [True] * len(a), [True] * len(b), 0
     while True:
