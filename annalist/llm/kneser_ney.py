@@ -1,7 +1,8 @@
 """Interpolated modified Kneser-Ney language model over word pairs.
 
 Counting is a Spark job: tasks count their pairs, the counts are added up by ranges of the hash of the
-first word, and what is known of a word as a second word is added up by ranges of its own hash. Each range
+pair, so that the pairs of a common word are dealt over all ranges, and what is known of a word as a first and as a
+second word is added up from the sums of these ranges by ranges of its own hash. Each range
 becomes a file of sorted hash arrays in the shared folder; scoring tasks map these files and look up
 sorted hashes, so no model is held in memory and no table is broadcast but the list of files.
 
@@ -96,8 +97,8 @@ class Level:
 @dataclass
 class Model:
     parts: int
-    pairs: dict[int, tuple[str, int, int]]  # range: file, number of pairs, number of first words
-    words: dict[int, tuple[str, int]]
+    pairs: dict[int, tuple[str, int]]  # range: file, number of pairs
+    words: dict[int, tuple[str, int, int]]  # range: file, number of first words, number of second words
     high: Level
     low: Level
     low_left: float  # weight of the uniform distribution
@@ -120,11 +121,11 @@ class Reader:
         if (kind, part) not in self.maps:
             m = self.model
             if kind == "pairs" and part in m.pairs:
-                file, n, k = m.pairs[part]
-                found = map_arrays(file, [("<u8", n), ("<u4", n), ("<u8", k), ("<i8", 4 * k)])
-            elif kind == "words" and part in m.words:
-                file, n = m.words[part]
+                file, n = m.pairs[part]
                 found = map_arrays(file, [("<u8", n), ("<u4", n)])
+            elif kind == "words" and part in m.words:
+                file, k, n = m.words[part]
+                found = map_arrays(file, [("<u8", k), ("<i8", 4 * k), ("<u8", n), ("<u4", n)])
             else:
                 found = None
             self.maps[kind, part] = found
@@ -140,7 +141,7 @@ class Reader:
         """Training count of each pair."""
         key, at = np.unique(pair_hash(v, w), return_index=True)
         out = np.zeros(len(key), np.int64)
-        for part, i in split_by(part_of(v[at], self.model.parts)):
+        for part, i in split_by(part_of(key, self.model.parts)):
             if shard := self._shard("pairs", part):
                 where, hit = self._find(shard[0], key[i])
                 out[i[hit]] = shard[1][where[hit]]
@@ -150,12 +151,13 @@ class Reader:
         """Of each word: (c, N1, N2, N3+) as a first word, and the number of different words before it."""
         first, before = np.zeros((len(h), 4), np.int64), np.zeros(len(h), np.int64)
         for part, i in split_by(part_of(h, self.model.parts)):
-            if shard := self._shard("pairs", part):
-                where, hit = self._find(shard[2], h[i])
-                first[i[hit]] = shard[3].reshape(-1, 4)[where[hit]]
             if shard := self._shard("words", part):
-                where, hit = self._find(shard[0], h[i])
-                before[i[hit]] = shard[1][where[hit]]
+                if len(shard[0]):
+                    where, hit = self._find(shard[0], h[i])
+                    first[i[hit]] = shard[1].reshape(-1, 4)[where[hit]]
+                if len(shard[2]):
+                    where, hit = self._find(shard[2], h[i])
+                    before[i[hit]] = shard[3][where[hit]]
         return first, before
 
     def log10(self, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +202,7 @@ def train(docs: DataFrame) -> Model:
             v, w = v[at], w[at]
             order = np.argsort(v, kind="stable")  # equal first words stand together and compress
             v, w, c = v[order], w[order], c[order].astype("<u4")
-            got = [(p, v[i].tobytes() + w[i].tobytes() + c[i].tobytes()) for p, i in split_by(part_of(v, parts))]
+            got = [(p, v[i].tobytes() + w[i].tobytes() + c[i].tobytes()) for p, i in split_by(part_of(pair_hash(v, w), parts))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["part", "packed"]
             )
@@ -216,32 +218,47 @@ def train(docs: DataFrame) -> Model:
         starts, _ = runs(key[order])
         c = np.add.reduceat(c[order], starts)
         v, w, key = v[order][starts], w[order][starts], key[order][starts]
+        file = write_arrays(folder, f"pairs-{part}", [key, c.astype("<u4")])
+        rows = [(part, None, file, [len(key), int(c.sum()), *_of_counts(c)])]
         first, at = np.unique(v, return_inverse=True)
         stats = np.stack([np.bincount(at, x, len(first)) for x in (c, c == 1, c == 2, c > 2)], 1).astype("<i8")
-        file = write_arrays(folder, f"pairs-{part}", [key, c.astype("<u4"), first, stats.ravel()])
-        own = int(c.sum())
-        rows = [(part, None, file, [len(key), len(first), own, *_of_counts(c)])]
         second, before = np.unique(w, return_counts=True)
-        for p, i in split_by(part_of(second, parts)):
-            one, more = i[before[i] == 1], i[before[i] > 1]
-            # most words follow one word only here, which needs no number
-            head = np.array([len(one)], "<u4").tobytes()
-            rows.append((p, head + second[one].tobytes() + second[more].tobytes() + before[more].astype("<u4").tobytes(), None, None))
+        # most words stand before and after one word only here, which needs no number
+        sides = [
+            (first, stats[:, 0] > 1, stats),
+            (second, before > 1, before.astype("<u4")),
+        ]
+        for side, (word, several, numbers) in enumerate(sides):
+            for p, i in split_by(part_of(word, parts)):
+                one, more = i[~several[i]], i[several[i]]
+                head = np.array([side, len(one), len(more)], "<u4").tobytes()
+                rows.append((p, head + word[one].tobytes() + word[more].tobytes() + numbers[more].tobytes(), None, None))
         return _table(rows)
 
     def add_words(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        got = []
+        words, numbers = ([], []), ([], [])
         for x in table.column("packed").to_pylist():
-            one = int(np.frombuffer(x, "<u4", 1)[0])
-            more = (len(x) - 4 - 8 * one) // 12
-            ones = np.ones(one, "<u4")
-            got.append((np.frombuffer(x, U64, one + more, 4), np.r_[ones, np.frombuffer(x, "<u4", more, 4 + 8 * (one + more))]))
-        w, n = (np.concatenate([g[k] for g in got]) for k in (0, 1))
-        w, at = np.unique(w, return_inverse=True)
-        n = np.bincount(at, n, len(w)).astype(np.int64)
-        file = write_arrays(folder, f"words-{part}", [w, n.astype("<u4")])
-        return _table([(part, None, file, [len(w), int(n.sum()), *_of_counts(n), int((n > 2).sum())])])
+            side, one, more = np.frombuffer(x, "<u4", 3).tolist()
+            at = 12 + 8 * (one + more)
+            words[side].append(np.frombuffer(x, U64, one + more, 12))
+            if side:
+                numbers[1].append(np.r_[np.ones(one, np.int64), np.frombuffer(x, "<u4", more, at)])
+            else:
+                single = np.tile(np.array([1, 1, 0, 0]), (one, 1))
+                numbers[0].append(np.r_[single, np.frombuffer(x, "<i8", 4 * more, at).reshape(-1, 4)])
+        empty = np.empty(0, U64)
+        v, at = np.unique(np.concatenate([empty, *words[0]]), return_inverse=True)
+        stats = np.zeros((len(v), 4), "<i8")
+        if len(v):
+            held = np.concatenate(numbers[0])
+            stats = np.stack([np.bincount(at, held[:, k], len(v)) for k in range(4)], 1).astype("<i8")
+        w, at = np.unique(np.concatenate([empty, *words[1]]), return_inverse=True)
+        n = np.zeros(0, np.int64)
+        if len(w):
+            n = np.bincount(at, np.concatenate(numbers[1]), len(w)).astype(np.int64)
+        file = write_arrays(folder, f"words-{part}", [v, stats.ravel(), w, n.astype("<u4")])
+        return _table([(part, None, file, [len(v), len(w), int(n.sum()), *_of_counts(n), int((n > 2).sum())])])
 
     kinds = "part int, packed binary, file string, info array<long>"
     counted = docs.mapInArrow(count, "part int, packed binary").groupBy("part").applyInArrow(add_pairs, kinds)
@@ -251,19 +268,19 @@ def train(docs: DataFrame) -> Model:
     # one short row per file
     pairs = counted.filter("file is not null").select("part", "file", "info").collect()
     words = added.select("part", "file", "info").collect()
-    n = [sum(r["info"][k] for r in pairs) for k in range(7)]
-    k = [sum(r["info"][k] for r in words) for k in range(7)]
-    high, low = Level.of(n[2], n[3:7]), Level.of(k[1], k[2:6])
+    n = [sum(r["info"][k] for r in pairs) for k in range(6)]
+    k = [sum(r["info"][k] for r in words) for k in range(1, 8)]
+    high, low = Level.of(n[1], n[2:6]), Level.of(k[1], k[2:6])
     left = (low.discounts[0] * k[2] + low.discounts[1] * k[3] + low.discounts[2] * k[6]) / k[1] if k[1] else 1.0
     return Model(
         parts,
-        {r["part"]: (r["file"], r["info"][0], r["info"][1]) for r in pairs},
-        {r["part"]: (r["file"], r["info"][0]) for r in words},
+        {r["part"]: (r["file"], r["info"][0]) for r in pairs},
+        {r["part"]: (r["file"], r["info"][0], r["info"][1]) for r in words},
         high,
         low,
         left,
         n_docs,
-        n[2],
+        n[1],
         k[0],
     )
 

@@ -245,6 +245,17 @@ def test_language_model(spark, corpus):
     assert kneser_ney.score(docs, nothing, held).agg(F.sum("n_known")).first()[0] == 0
 
 
+def test_pairs_of_one_first_word_are_dealt_over_the_ranges(spark):
+    docs = table(spark, [(i, f"hot w{i}" + " hot again" * (i % 3)) for i in range(3000)])
+    model = kneser_ney.train(docs)
+    sizes = [p[1] for p in model.pairs.values()]
+    assert sum(sizes) == 1 + 3000 + 1 + 2000 + 1 + 1000 + 1  # begin, hot, again; w and again before hot and the end
+    assert max(sizes) < 1.5 * sum(sizes) / model.parts
+    first, before = model.open().word(kneser_ney.hash_words([b"hot", b"again", b"w1"]))
+    assert first.tolist() == [[6000, 3000, 0, 1], [3000, 0, 0, 2], [1, 1, 0, 0]]
+    assert before.tolist() == [2002, 1, 1]
+
+
 def test_sharding(spark, corpus, tmp_path):
     docs = table(spark, corpus)
     got = interleave(docs, "source", ["doc_id", "text"], 7)
