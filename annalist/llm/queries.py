@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annalist.llm import repair_sql
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -124,6 +126,17 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, kneser_ney.train(docs.filter(~held_out)), held_out)
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damages the conversations and repairs them."""
+    from annalist.llm import repair
+
+    return repair.repair_report(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+_SQL["op11_conversation_repair"] = repair_sql.DUCKDB
+
+
 #: what the tools of the conversations take: argument, kind, required
 TOOLS = {
     "search": [("query", "string", True), ("limit", "integer", False)],
