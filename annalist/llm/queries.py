@@ -137,6 +137,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SQL["op11_conversation_repair"] = repair_sql.DUCKDB
 
 
+@query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.main_text import main_text
+
+    found = main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
+
+
 #: what the tools of the conversations take: argument, kind, required
 TOOLS = {
     "search": [("query", "string", True), ("limit", "integer", False)],
