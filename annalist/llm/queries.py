@@ -145,6 +145,48 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
 
 
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annalist.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), least=10, share=50, top=2000)
+
+
+_SQL["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), counted AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, min(w[i:i + size - 1]) AS ws, count(*) AS f
+    FROM places, (VALUES (1), (2), (3)) sizes(size) WHERE i + size - 1 <= len(w) GROUP BY ALL
+    HAVING size = 1 OR f >= 10
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT * FROM counted WHERE size > 1 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.f AS a, x.size AS k, x.f AS l, y.f AS r,
+        (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+    FROM candidates c JOIN counted x ON x.lang = c.lang AND x.size < c.size AND x.phrase = array_to_string(c.ws[:x.size], ' ')
+    JOIN counted y ON y.lang = c.lang AND y.size = c.size - x.size AND y.phrase = array_to_string(c.ws[x.size + 1:], ' ')
+), least_cut AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts
+), kept AS (
+    SELECT * FROM least_cut s WHERE nth = 1 AND NOT EXISTS (
+        SELECT 1 FROM candidates c WHERE c.lang = s.lang AND s.size = 2 AND c.size = 3 AND 100 * c.f >= 50 * s.a
+        AND (array_to_string(c.ws[1:2], ' ') = s.phrase OR array_to_string(c.ws[2:3], ' ') = s.phrase))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+    a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 #: what the tools of the conversations take: argument, kind, required
 TOOLS = {
     "search": [("query", "string", True), ("limit", "integer", False)],
