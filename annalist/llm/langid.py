@@ -5,9 +5,10 @@ mean of its words' subwords; a linear softmax reads off the language. Trained by
 gradient descent in numpy on a bounded sample of labelled rows. As the layers are linear,
 scoring needs one row of class scores per bucket, and per distinct word their sum.
 
-The temperature is fitted on rows that were not trained on, and a text is rejected if its
-confidence is below the smallest threshold at which the accepted ones of these rows are right
-often enough; if all of them are, only texts without a letter are rejected.
+The temperature is fitted on rows that were not trained on. A text is rejected if its confidence is below what
+nearly all rightly predicted ones of these rows reach in its language, and if the model rather doubts its answer; wrong
+labels among the rows lower the confidence, but never decide alone. Where a language has no such row, or the
+model no label, only texts without a letter are rejected.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ from annalist.session import materialize
 BUCKETS, DIM, EPOCHS, RATE = 1 << 15, 16, 6, 0.5
 #: most labelled rows that a model is trained and calibrated on, for each language
 SAMPLE = 1500
-TARGET = 0.98
+#: share of rightly predicted rows that may lie below the threshold of their language
+QUANTILE = 0.005
+#: an answer with at least this calibrated probability is accepted in any case
+SURE = 0.5
 UNDETERMINED = "und"
 #: distinct words a worker remembers; the memory of the cache, not a limit on the texts
 CACHE_WORDS = 200_000
@@ -74,7 +78,11 @@ class Model:
     scores: np.ndarray  # bucket x language, embeddings times the linear layer
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    #: by language; a confidence below it is rejected
+    thresholds: np.ndarray | None = None
+
+    def rejects(self, label: int, confidence: float) -> bool:
+        return self.thresholds is not None and confidence < self.thresholds[label]
 
     def confidence(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -109,8 +117,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], labels: list[str], see
     return Model(labels, table @ layer, bias)
 
 
-def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]], target: float = TARGET) -> Model:
-    """Temperature by likelihood; threshold by the accuracy of what stays accepted."""
+def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]], quantile: float = QUANTILE) -> Model:
+    """Temperature by likelihood; thresholds by the confidence of the rows that are predicted rightly."""
+    model.thresholds = np.zeros(len(model.labels))
     if not rows:
         return model
     logits = np.stack([share @ model.scores[at] + model.bias for at, share, _ in rows])
@@ -124,16 +133,10 @@ def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]], targ
             best = (loss, t)
     model.temperature = float(best[1])
     p = model.confidence(logits)
-    top, right = p.max(1), p.argmax(1) == y
-    order = np.argsort(-top, kind="stable")
-    accuracy = np.cumsum(right[order]) / np.arange(1, len(y) + 1)
-    # equal confidences are accepted or rejected together
-    ends = np.r_[top[order][1:] != top[order][:-1], True]
-    good = np.flatnonzero((accuracy >= target) & ends)
-    if not len(good):
-        model.threshold = float(np.nextafter(top.max(), 2))
-    elif good[-1] + 1 < len(y):
-        model.threshold = float(top[order][good[-1]])
+    top, label = p.max(1), p.argmax(1)
+    for k in np.unique(label[label == y]):
+        right = top[(label == k) & (y == k)]
+        model.thresholds[k] = min(SURE, float(np.quantile(right, quantile, method="lower")))
     return model
 
 
@@ -152,7 +155,7 @@ def _sample(labelled: DataFrame, size: int) -> DataFrame:
     return labelled.join(F.broadcast(chosen), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, target: float = TARGET) -> Model | None:
+def fit(docs: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE) -> Model | None:
     """Train on rows (doc_id, text, lang); None if no row has a language and a letter.
 
     At most ``sample`` rows of each language are used, every fifth of them for calibration.
@@ -186,7 +189,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, target: float = TARGET) -> Model
     ]
     held = [r["r"] % 5 == 0 for r in got]
     model = train([x for x, h in zip(ready, held, strict=True) if not h] or ready, labels)
-    return calibrate(model, [x for x, h in zip(ready, held, strict=True) if h], target)
+    return calibrate(model, [x for x, h in zip(ready, held, strict=True) if h], quantile)
 
 
 class _Words(dict):
@@ -223,7 +226,7 @@ class _Judge:
 
     def _group(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         model, words = self.model, self.words
-        split = [t.split() if model and letters(t) else None for t in texts]
+        split = [t.split() if letters(t) else None for t in texts]
         if words is not None:
             if len(words) > CACHE_WORDS:
                 words.clear()
@@ -231,20 +234,20 @@ class _Judge:
                 words.learn(new)
         out = []
         for found in split:
-            if found is None:
-                out.append((UNDETERMINED, 0.0, True))
+            if found is None or words is None:
+                out.append((UNDETERMINED, 0.0, found is None))
                 continue
             total = words.rows[np.fromiter(map(words.__getitem__, found), np.int64, len(found))].sum(0)
             p = model.confidence(total[:-1] / total[-1] + model.bias)
-            out.append((model.labels[int(p.argmax())], float(p.max()), bool(p.max() < model.threshold)))
+            out.append((model.labels[int(p.argmax())], float(p.max()), model.rejects(int(p.argmax()), float(p.max()))))
         return out
 
 
 def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows (doc_id, lang_pred, score, rejected), one per row of ``docs``.
 
-    Null texts and texts without a letter are ``und`` with score 0 and rejected, as is all
-    without a model. Whole texts are read; other columns are ignored.
+    Null texts and texts without a letter are ``und`` with score 0 and rejected. Without a model, which no label
+    leaves, the other texts are ``und`` as well, but not rejected. Whole texts are read; other columns are ignored.
     """
     spark = docs.sparkSession
     ship(spark)

@@ -330,7 +330,7 @@ def test_language_id(spark, corpus):
         (i, t) for i, t in corpus if i not in {r.doc_id for r in other if r.rejected}
     ) + Counter((i, t) for i, t in corpus if i is None and t is not None)
     nothing = langid.fit(docs.filter("lang = 'xx'"))
-    assert nothing is None and {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
+    assert nothing is None and {(r.lang_pred, r.rejected) for r in langid.predict(docs, nothing).collect()} == {("und", False)}
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
@@ -339,10 +339,33 @@ def test_rejection_is_calibrated():
     model.scores[:10, 0] = np.linspace(0.2, 4, 10)
     row = lambda k, y: (np.array([k]), np.array([1.0]), y)
     right = [row(k, 0) for k in range(3, 10)] * 20
-    assert langid.calibrate(model, right, 0.9).threshold == 0
-    wrong = langid.calibrate(model, right + [row(0, 1)] * 40, 0.98)
-    p = wrong.confidence(np.stack([model.scores[0], model.scores[3]])).max(1)
-    assert p[0] < wrong.threshold <= p[1]
+    assert langid.calibrate(model, []).thresholds.tolist() == [0, 0]
+    assert langid.calibrate(model, right).thresholds.tolist() == [langid.SURE, 0]
+    three = langid.Model(["a", "b", "c"], np.zeros((langid.BUCKETS, 3)), np.zeros(3))
+    three.scores[:10, 0] = np.linspace(0.05, 0.5, 10)
+    doubtful = langid.calibrate(three, [row(k, 0) for k in range(3, 10)] * 3 + [row(k, 1) for k in range(3, 10)] * 2)
+    p = doubtful.confidence(np.stack([doubtful.scores[k] for k in range(10)])).max(1)
+    assert [doubtful.rejects(0, x) for x in p] == [True] * 3 + [False] * 7
+    assert not doubtful.rejects(1, 0.0)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.2])
+def test_wrong_labels_reject_no_clean_text(spark, share):
+    rng = random.Random(8)
+    words = {"aa": "kan der het een van niet", "bb": "lui pour les avec dans une", "cc": "she with from have they were"}
+    rows = []
+    for i in range(1500):
+        true = rng.choice(sorted(words))
+        said = rng.choice([x for x in words if x != true]) if rng.random() < share else true
+        rows.append((i, " ".join(rng.choices(words[true].split(), k=rng.randint(3, 9))), said))
+    docs = spark.createDataFrame([*rows, (1500, "123 .", "aa"), (1501, None, "bb")], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.accepted(docs, langid.fit(docs)).collect()}
+    assert len(kept) >= 0.99 * 1500 and not kept & {1500, 1501}
+
+
+def test_without_labels_texts_with_letters_stay(spark):
+    docs = spark.createDataFrame([(1, "a text", None), (2, "12", None), (3, None, "en")], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.accepted(docs, langid.fit(docs)).collect()] == [1]
 
 
 def test_encoder_equals_tokenizer():
