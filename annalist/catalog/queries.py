@@ -15,9 +15,10 @@ from annalist.operators import joins as J
 from annalist.operators import quality as Q
 from annalist.operators import rows as R
 from annalist.operators import scd2 as S
+from annalist.operators import trend_sums as D
 from annalist.operators import trends as T
 from annalist.plans import ingestion, publish, replay
-from annalist.session import new_path
+from annalist.session import materialize, new_path
 from annalist.sources import chunks, files, queue
 from annalist.spec import ESTABLISHMENTS as SPEC
 
@@ -390,6 +391,16 @@ def sector_trends_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.sector_trends(silver(spark, sf_dir), B.SPINE_START, B.SPINE_END, transitions_only=True)
 
 
+@query
+def differential_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published sums, changed by what a batch did to the entities in it, read as trends."""
+    batch, before = B.change_batch(spark, sf_dir), silver(spark, sf_dir)
+    after = materialize(S.scd2_apply(before, S.scd2_target(batch, before, B.CHANGE_DATE), batch), "after")
+    published = materialize(D.trend_sums(before), "sums")
+    change = D.trend_changes(before, after, batch.select(SPEC.key))
+    return D.trends_from_sums(D.add_sums(published, change), B.SPINE_START, B.SPINE_END)
+
+
 # --- windows, scores, order, set operations ---------------------------------------------
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -201,7 +202,12 @@ def sector_trends(
         grouped = grouped.filter(column.isNotNull())
     active = _active_changes(active_ranges(grouped, bounds, dims, spec, disjoint), names, bounds[1])
     events = _month_events(grouped, bounds, dims, spec, transitions_only)
-    stacked = active.unionByName(events, allowMissingColumns=True).unionByName(zeros, allowMissingColumns=True)
+    return complete_months([active, events, zeros], names)
+
+
+def complete_months(parts: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
+    """Trends from stacked rows ``(names, at)`` with some of the measures each; ``nb_active`` is a change that is added up."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     monthly = stacked.groupBy(*names, "at").agg(
         *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES]
     )
