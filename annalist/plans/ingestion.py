@@ -12,8 +12,9 @@ from annalist.operators.joins import affected_history, history_semi
 from annalist.operators.quality import IntegrityError, check_history
 from annalist.operators.rows import drop_null_key, multi_period_keys, region_filter
 from annalist.operators.scd2 import drop_collapsed, expected_rows, max_treated, scd2_initial
-from annalist.plans.publish import change_note, publish, read_note
+from annalist.plans.publish import publish
 from annalist.plans.replay import replay
+from annalist.plans.versions import Conflict, exists, newest_number, read_note, show_newest, write_text
 from annalist.session import materialize, new_path, write_parquet
 from annalist.sources.files import (
     comment_columns,
@@ -104,6 +105,7 @@ def first_load(
     With ``buckets`` it is bucketed by key, which this one shuffle pays for: later batches
     then leave the table in place.
     """
+    base = newest_number(stock.sparkSession, name, root)
     every_period = scd2_initial(stock, history, batch_date, spec, keep_collapsed=True)
     counts = expected_rows(stock, every_period, spec).first()  # reads the keys only
     if not counts["ok"]:
@@ -114,13 +116,17 @@ def first_load(
     if buckets is not None:
         loaded = loaded.repartition(buckets, spec.key)
     described = comment_columns(loaded, spec)
-    return publish(described, name, root, lambda df: check_history(df, spec), _by_key(buckets, spec))
+    return publish(described, name, root, lambda df: check_history(df, spec), _by_key(buckets, spec), base=base)
 
 
 def _by_key(buckets: int | None, spec: TableSpec) -> tuple[int, str] | None:
     return None if buckets is None else (buckets, spec.key)
 
 
+#: how often a run starts again because another one has published
+ATTEMPTS = 5
+
+
 def apply_pending(
     spark: SparkSession,
     name: str,
@@ -136,7 +142,8 @@ def apply_pending(
     are listed once; just these are read, and just these acknowledged, so rows that arrive
     meanwhile wait for the next run. The snapshot notes which files it took in, in the same step that makes
     it current. So a run that dies before it has acknowledged them is finished by the next one, which
-    does not apply them again.
+    does not apply them again. A run that finds another one's version in the place of the one it read
+    starts again, with what is queued then.
 
     Before the switch the stored snapshot is checked for the entities that changed; if a check fails, the
     history and the queue stay as they were.
@@ -144,13 +151,32 @@ def apply_pending(
     ``reader`` turns the queue's rows into flat records, such as ``flatten_nested`` for a
     queue of nested ones.
     """
+    for left in range(ATTEMPTS - 1, -1, -1):
+        try:
+            return _apply_once(spark, name, root, queue_table, spec, buckets, reader)
+        except Conflict:
+            if not left:
+                raise
+    return None
+
+
+def _apply_once(
+    spark: SparkSession,
+    name: str,
+    root: str,
+    queue_table: str,
+    spec: TableSpec,
+    buckets: int | None,
+    reader: Reader | None,
+) -> dt.date | None:
+    base = show_newest(spark, name, root)
     _acknowledge(spark, name, queue_table)
     files = materialize(queued_files(spark, queue_table), "queue-files")
     if files.isEmpty():
         return None
     queue = read_files(spark, queue_table, files)
     records = reader(queue) if reader else queue
-    result = replay(spark.table(name), records, spec, buckets=buckets)
+    result = replay(spark.sql(base.query), records, spec, buckets=buckets)
     halted_on = result.halted_on
     applied = files if halted_on is None else files.filter(F.col(spec.batch_date) < F.lit(halted_on))
     if not applied.isEmpty():
@@ -160,17 +186,17 @@ def apply_pending(
         def check(df: DataFrame) -> DataFrame:
             return check_history(affected_history(df, result.touched, spec.key), spec)
 
-        publish(result.history, name, root, check, _by_key(buckets, spec), {TO_ACKNOWLEDGE: noted})
+        publish(result.history, name, root, check, _by_key(buckets, spec), {TO_ACKNOWLEDGE: noted}, base.number)
         _acknowledge(spark, name, queue_table)
     return halted_on
 
 
 def _acknowledge(spark: SparkSession, name: str, queue_table: str) -> None:
-    """Take off the queue what the published snapshot says it took in."""
+    """Take off the queue what the published snapshot says it took in; a mark beside the list says that it is done."""
     noted = read_note(spark, name, TO_ACKNOWLEDGE)
-    if noted:
+    if noted and not exists(spark, f"{noted}-done"):
         ack_files(spark, queue_table, spark.read.parquet(noted))
-        change_note(spark, name, TO_ACKNOWLEDGE, "")
+        write_text(spark, f"{noted}-done", "")
 
 
 def bootstrap_or_incremental(
@@ -186,8 +212,11 @@ def bootstrap_or_incremental(
     reader: Reader | None = None,
 ) -> DataFrame:
     """Load the history if it does not exist yet, then always apply what is queued."""
-    if not spark.catalog.tableExists(name):
-        first_load(stock, history, batch_date, name, root, spec, buckets)
+    if not newest_number(spark, name, root):
+        try:
+            first_load(stock, history, batch_date, name, root, spec, buckets)
+        except Conflict:  # another run has loaded it
+            pass
     apply_pending(spark, name, root, queue_table, spec, buckets, reader)
     return spark.table(name)
 

@@ -2,7 +2,8 @@
 
 A published table is a view on a parquet folder that nothing writes to again. Replacing
 the view switches readers over at once; until then they see the previous snapshot, so a
-failed run leaves nothing to restore.
+failed run leaves nothing to restore. Who read a version and publishes what follows from it names that version; if another
+run has published meanwhile, nothing is switched (``versions``).
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from collections.abc import Callable, Mapping, Sequence
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from annalist.operators.quality import require_ok
+from annalist.plans.versions import Conflict, commit, newest_number
 from annalist.session import write_parquet
 
 Model = Callable[..., DataFrame]
@@ -39,37 +40,6 @@ def write_snapshot(df: DataFrame, name: str, root: str, buckets: tuple[int, str]
     return table
 
 
-def switch_to(spark: SparkSession, name: str, source: str, notes: Mapping[str, str] | None = None) -> None:
-    """Point the published name at a snapshot; the notes change in the same step, others stay."""
-    kept = read_notes(spark, name) if spark.catalog.tableExists(name) else {}
-    properties = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in (kept | dict(notes or {})).items())
-    with_notes = f"TBLPROPERTIES ({properties}) " if properties else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} {with_notes}AS SELECT * FROM {source}")
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-#: what the names of notes begin with
-NOTE = "annalist."
-
-
-def read_notes(spark: SparkSession, name: str) -> dict[str, str]:
-    """The notes left with the published snapshot."""
-    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key").startswith(NOTE)).collect()
-    return {r["key"]: r["value"] for r in found}
-
-
-def read_note(spark: SparkSession, name: str, key: str) -> str:
-    """A note left with the published snapshot, empty if there is none."""
-    return read_notes(spark, name).get(key, "")
-
-
-def change_note(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({_quoted(key)} = {_quoted(value)})")
-
-
 def publish(
     df: DataFrame,
     name: str,
@@ -77,11 +47,13 @@ def publish(
     check: Check | None = None,
     buckets: tuple[int, str] | None = None,
     notes: Mapping[str, str] | None = None,
+    base: int | None = None,
 ) -> int:
     """Write, check and switch one table; gives its number of rows.
 
     Check and count read the stored snapshot, so nothing is computed twice, and a task
-    that ran again after a loss is not counted twice.
+    that ran again after a loss is not counted twice. With ``base``, the number of the version that ``df`` was made
+    from, a version published since then is a :class:`Conflict`.
     """
     spark = df.sparkSession
     source = write_snapshot(df, name, root, buckets)
@@ -89,7 +61,7 @@ def publish(
     if check is not None:
         require_ok(check(stored))
     rows = stored.count()  # from the file footers
-    switch_to(spark, name, source, notes)
+    commit(spark, name, root, f"SELECT * FROM {source}", notes, base)
     return rows
 
 
@@ -99,11 +71,13 @@ def publish_models(
     deps: Mapping[str, Sequence[str]],
     root: str,
     checks: Mapping[str, Check] | None = None,
+    attempts: int = 3,
 ) -> DataFrame:
     """Build models after the models they read; gives ``(model, status, n_rows, error)``.
 
     A model is called with the published tables it depends on. One that fails keeps its
-    previous snapshot, or stays absent; models that read it are skipped, others go on.
+    previous snapshot, or stays absent; models that read it are skipped, others go on. A model that another
+    run publishes meanwhile is built again, from what its inputs are then.
     """
     checks = checks or {}
     status: dict[str, tuple[str, int | None, str | None]] = {}
@@ -113,8 +87,15 @@ def publish_models(
             status[name] = (SKIPPED, None, None)
             continue
         try:
-            inputs = [spark.table(d) for d in deps.get(name, ())]
-            rows = publish(models[name](*inputs), name, root, checks.get(name))
+            for left in range(attempts - 1, -1, -1):
+                base = newest_number(spark, name, root)
+                inputs = [spark.table(d) for d in deps.get(name, ())]
+                try:
+                    rows = publish(models[name](*inputs), name, root, checks.get(name), base=base)
+                    break
+                except Conflict:
+                    if not left:
+                        raise
             status[name] = (PUBLISHED, rows, None)
         except Exception as error:  # the model's own fault; the others must still be built
             status[name] = (FAILED, None, str(error))

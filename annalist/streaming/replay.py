@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from annalist.operators.joins import affected_history
 from annalist.operators.quality import IntegrityError, check_history
-from annalist.plans.publish import publish, read_note
+from annalist.plans.publish import publish
 from annalist.plans.replay import replay
+from annalist.plans.versions import read_note, show_newest
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
 
@@ -34,17 +35,19 @@ def replay_stream(
     the cursor and the acknowledgement. All new files form one micro-batch, in which the
     batches are folded in date order. When a batch fails, those before it are applied
     and the query stops with an error. A micro-batch that did not finish is run again;
-    the snapshot notes which of its batches are in already, and those are left out.
+    the snapshot notes which of its batches are in already, and those are left out. If another run publishes
+    meanwhile, the micro-batch fails with a ``Conflict`` and is run again like any that did not finish.
     """
     incoming = spark.readStream.schema(schema).parquet(queue_path)
 
     def apply(micro_batch: DataFrame, number: int) -> None:
         session = micro_batch.sparkSession
+        base = show_newest(session, name, root)
         this_run = f"{checkpoint}#{number}"
         noted_run, _, noted = read_note(session, name, TAKEN_IN).partition("=")
         taken = noted.split(",") if noted and noted_run == this_run else []
         todo = micro_batch.filter(~F.col(spec.batch_date).cast("string").isin(taken))
-        result = replay(session.table(name), todo, spec, buckets=buckets)
+        result = replay(session.sql(base.query), todo, spec, buckets=buckets)
         applied = [r[0].isoformat() for r in result.applied(todo, spec).collect()]
         if applied:
             taken += applied
@@ -54,7 +57,7 @@ def replay_stream(
             def check(df: DataFrame) -> DataFrame:
                 return check_history(affected_history(df, result.touched, spec.key), spec)
 
-            publish(result.history, name, root, check, by_key, notes)
+            publish(result.history, name, root, check, by_key, notes, base.number)
         if result.halted_on is not None:
             raise IntegrityError(f"stopped at batch {result.halted_on}")
 

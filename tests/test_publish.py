@@ -9,7 +9,7 @@ from test_scd2 import load, stock_row  # noqa: F401
 
 from annalist.operators.quality import IntegrityError, check_intervals
 from annalist.operators.rows import flatten_nested
-from annalist.plans import ingestion, publish
+from annalist.plans import ingestion, publish, versions
 from annalist.session import new_path
 from annalist.sources import queue
 from annalist.sources.files import read_text_columns
@@ -309,3 +309,99 @@ def test_broken_lines_and_unknown_fields_are_kept(spark):
     assert spark.table("kept_queue").select("siret", "_extra").first() == ("1", {"newField": '{"x":1}'})
     assert rows(spark.table("kept_queue_rejected"), "_corrupt_record") == [("no json",), ("{broken",)]
     assert spark.table("kept_cursor").first()[0] == dt.datetime(2001, 8, 1, 10, 0, 1)
+
+
+def test_who_publishes_second_from_the_same_version_fails(spark):
+    """Two frames read from one snapshot, each with one row more."""
+    root, name = new_path(spark, "p"), "switched"
+    assert publish.publish(spark.range(2), name, root, notes={f"{versions.NOTE}a": "1"}) == 2
+    base = versions.newest(spark, name, root)
+    first, second = (spark.sql(base.query).union(spark.range(i, i + 1)) for i in (10, 20))
+    publish.publish(first, name, root, base=base.number)
+    with pytest.raises(versions.Conflict, match="version 1 was read, but version 2"):
+        publish.publish(second, name, root, base=base.number)
+    assert rows(spark.table(name)) == [(0,), (1,), (10,)]
+    assert versions.read_note(spark, name, f"{versions.NOTE}a") == "1"  # notes stay
+    assert publish.publish(second, name, root) == 3  # without a base it takes the place
+    assert versions.newest_number(spark, name, root) == 3
+
+
+def test_names_are_taken_once(spark):
+    """Of many runs that want one number, one gets it, on a local path and by a rename."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    root, name = new_path(spark, "p"), "raced"
+    versions.commit(spark, name, root, "SELECT 0 AS who")
+
+    def run(who):
+        try:
+            return versions.commit(spark, name, root, f"SELECT {who} AS who", base=1)
+        except versions.Conflict:
+            return None
+
+    with ThreadPoolExecutor(6) as pool:
+        won = [w for w in pool.map(run, range(1, 7)) if w]
+    assert won == [2]
+    assert spark.table(name).first()[0] in range(1, 7)
+
+
+def test_a_rename_does_not_overwrite(spark, monkeypatch):
+    """What stores without links do."""
+    monkeypatch.setattr(versions, "_link", versions._rename)
+    root, name = new_path(spark, "p"), "renamed"
+    assert versions.commit(spark, name, root, "SELECT 1 AS v", base=0) == 1
+    with pytest.raises(versions.Conflict):
+        versions.commit(spark, name, root, "SELECT 2 AS v", base=0)
+    assert versions.commit(spark, name, root, "SELECT 3 AS v", base=1) == 2 and spark.table(name).first()[0] == 3
+
+
+def test_a_switch_that_did_not_happen_is_made_up_for(spark, monkeypatch):
+    root, name = new_path(spark, "p"), "late_switch"
+    versions.commit(spark, name, root, "SELECT 1 AS v")
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "show_newest", lambda *_: None)  # dies between the two steps
+        versions.commit(spark, name, root, "SELECT 2 AS v", {f"{versions.NOTE}n": "it's\\"}, base=1)
+    assert spark.table(name).first()[0] == 1
+    assert versions.show_newest(spark, name, root).number == 2
+    assert spark.table(name).first()[0] == 2 and versions.read_note(spark, name, f"{versions.NOTE}n") == "it's\\"
+
+
+def test_overlapping_runs_lose_no_batch(spark, sources, batch, monkeypatch):
+    """While one run folds, another one publishes: the first starts again, and both batches are in, once."""
+    stock, periods = sources
+    root, name, queued = new_path(spark, "p"), "two_runs", "two_runs_queue"
+    ingestion.first_load(stock, periods, LOADED, name, root, SMALL)
+    queue.append_to_queue(batch({"id": "a", "sector": "s2", "on": "2001-08-01", "batch": "2001-08-02"}), queued)
+    fold, calls = ingestion.replay, []
+
+    def meanwhile(*args, **kwargs):
+        done = fold(*args, **kwargs)
+        calls.append(1)
+        if len(calls) == 1:
+            queue.append_to_queue(batch({"id": "new", "on": "2001-08-01", "batch": "2001-08-03"}), queued)
+            assert ingestion.apply_pending(spark, name, root, queued, SMALL) is None
+        return done
+
+    monkeypatch.setattr(ingestion, "replay", meanwhile)
+    assert ingestion.apply_pending(spark, name, root, queued, SMALL) is None
+    assert len(calls) == 2  # the second attempt found the queue empty
+    assert spark.table(queued).isEmpty()
+    assert rows(spark.table(name).filter("id IN ('a', 'new')"), "id", "sector", "end_at") == [
+        ("a", "s1", "2001-08-01"),
+        ("a", "s2", None),
+        ("new", "s1", None),
+    ]
+
+
+def test_a_model_published_meanwhile_is_built_again(spark):
+    root, built = new_path(spark, "models"), []
+
+    def model():
+        built.append(1)
+        if len(built) == 1:
+            publish.publish(spark.range(7), "m_twice", root)
+        return spark.range(len(built))
+
+    done = publish.publish_models(spark, {"m_twice": model}, {}, root)
+    assert status(done) == {"m_twice": ("published", 2)} and len(built) == 2
+    assert versions.newest_number(spark, "m_twice", root) == 2
