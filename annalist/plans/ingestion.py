@@ -14,6 +14,7 @@ from annalist.operators.rows import drop_null_key, multi_period_keys, region_fil
 from annalist.operators.scd2 import drop_collapsed, expected_rows, max_treated, scd2_initial
 from annalist.plans.publish import publish
 from annalist.plans.replay import replay
+from annalist.plans.tiers import publish_applied, publish_tiers
 from annalist.plans.versions import Conflict, exists, newest_number, read_note, show_newest, write_text
 from annalist.session import materialize, new_path, write_parquet
 from annalist.sources.files import (
@@ -99,11 +100,13 @@ def first_load(
     root: str,
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
+    tiered: bool = False,
 ) -> int:
     """Publish the first history table; fails when a period of the stock is missing.
 
     With ``buckets`` it is bucketed by key, which this one shuffle pays for: later batches
-    then leave the table in place.
+    then leave the table in place. With ``tiered`` closed and open periods lie apart (``tiers``), and a later batch writes
+    what it changes only.
     """
     base = newest_number(stock.sparkSession, name, root)
     every_period = scd2_initial(stock, history, batch_date, spec, keep_collapsed=True)
@@ -113,6 +116,8 @@ def first_load(
             f"expected {counts['expected']} periods, found {counts['actual']}; {counts['n_bad']} entities differ"
         )
     loaded = drop_collapsed(every_period, max_treated(stock, spec.treated_at), spec)
+    if tiered:
+        return publish_tiers(loaded, name, root, spec, buckets, base=base)
     if buckets is not None:
         loaded = loaded.repartition(buckets, spec.key)
     described = comment_columns(loaded, spec)
@@ -176,12 +181,18 @@ def _apply_once(
         return None
     queue = read_files(spark, queue_table, files)
     records = reader(queue) if reader else queue
+    if base.layout:
+
+        def note(halted_on: dt.date | None) -> dict[str, str]:
+            return {TO_ACKNOWLEDGE: _noted(spark, files, halted_on, spec)}
+
+        done = publish_applied(spark, name, root, base, records, spec, buckets, note)
+        _acknowledge(spark, name, queue_table)
+        return done.halted_on
     result = replay(spark.sql(base.query), records, spec, buckets=buckets)
     halted_on = result.halted_on
-    applied = files if halted_on is None else files.filter(F.col(spec.batch_date) < F.lit(halted_on))
-    if not applied.isEmpty():
-        noted = new_path(spark, "applied-files")
-        write_parquet(applied, noted)
+    if halted_on is None or not files.filter(F.col(spec.batch_date) < F.lit(halted_on)).isEmpty():
+        noted = _noted(spark, files, halted_on, spec)
 
         def check(df: DataFrame) -> DataFrame:
             return check_history(affected_history(df, result.touched, spec.key), spec)
@@ -191,6 +202,14 @@ def _apply_once(
     return halted_on
 
 
+def _noted(spark: SparkSession, files: DataFrame, halted_on: dt.date | None, spec: TableSpec) -> str:
+    """Where the files of the applied batches are listed."""
+    applied = files if halted_on is None else files.filter(F.col(spec.batch_date) < F.lit(halted_on))
+    path = new_path(spark, "applied-files")
+    write_parquet(applied, path)
+    return path
+
+
 def _acknowledge(spark: SparkSession, name: str, queue_table: str) -> None:
     """Take off the queue what the published snapshot says it took in; a mark beside the list says that it is done."""
     noted = read_note(spark, name, TO_ACKNOWLEDGE)
@@ -210,11 +229,15 @@ def bootstrap_or_incremental(
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
     reader: Reader | None = None,
+    tiered: bool = False,
 ) -> DataFrame:
-    """Load the history if it does not exist yet, then always apply what is queued."""
+    """Load the history if it does not exist yet, then always apply what is queued.
+
+    ``tiered`` says how it is loaded; later runs go by what they find.
+    """
     if not newest_number(spark, name, root):
         try:
-            first_load(stock, history, batch_date, name, root, spec, buckets)
+            first_load(stock, history, batch_date, name, root, spec, buckets, tiered)
         except Conflict:  # another run has loaded it
             pass
     apply_pending(spark, name, root, queue_table, spec, buckets, reader)

@@ -137,21 +137,15 @@ def fold_batches(
     Equal records, and equal open periods, are combined before the shuffle. What is then gathered per
     entity is one record per batch; of its closed periods only their number and last end.
     """
-    values = [*spec.attributes, spec.effective_from, spec.treated_at]
-    records = (
-        queue.groupBy(spec.key, spec.batch_date)
-        .agg(F.min(F.struct(*values)).alias("low"), F.max(F.struct(*values)).alias("high"))
-        .select(
-            spec.key,
-            F.struct(
-                spec.batch_date, "low.*", (_conflict("low", "high") | F.col(spec.key).isNull()).alias("conflict")
-            ).alias("record"),
-        )
-    )
+    return fold_entities(_held(scd, queue, spec), queue, spec, null_safe, mode)
+
+
+def _held(scd: DataFrame, queue: DataFrame, spec: TableSpec) -> DataFrame:
+    """What the fold needs of an entity's periods, from all of them: ``open, ended, n_open, broken``."""
     names = [c for c in spec.history_columns if c != spec.key]
     whole = F.struct(*[F.col(c).cast(spec.column(c).dtype).alias(c) for c in names])
     is_open = F.col(spec.end).isNull()
-    periods = (
+    return (
         affected_history(scd, queue, spec.key)
         .groupBy(spec.key, spec.start)
         .agg(
@@ -164,8 +158,32 @@ def fold_batches(
             spec.key, "open", "ended", "n_open", ((F.col("copies") > 1) | F.col(spec.start).isNull()).alias("broken")
         )
     )
+
+
+def fold_entities(
+    held: DataFrame,
+    queue: DataFrame,
+    spec: TableSpec = ESTABLISHMENTS,
+    null_safe: bool = False,
+    mode: str = GREATEST,
+) -> DataFrame:
+    """:func:`fold_batches` on what is held of the entities: rows ``open, ended, n_open, broken`` by key.
+
+    Gives ``ended`` as well, the day the last closed period ended.
+    """
+    values = [*spec.attributes, spec.effective_from, spec.treated_at]
+    records = (
+        queue.groupBy(spec.key, spec.batch_date)
+        .agg(F.min(F.struct(*values)).alias("low"), F.max(F.struct(*values)).alias("high"))
+        .select(
+            spec.key,
+            F.struct(
+                spec.batch_date, "low.*", (_conflict("low", "high") | F.col(spec.key).isNull()).alias("conflict")
+            ).alias("record"),
+        )
+    )
     entities = (
-        records.unionByName(periods, allowMissingColumns=True)
+        records.unionByName(held, allowMissingColumns=True)
         .groupBy(spec.key)
         .agg(
             F.sort_array(F.collect_list("record")).alias("records"),
@@ -189,12 +207,29 @@ def fold_batches(
         begin,
         _step(spec, null_safe, mode),
         lambda state: F.struct(
-            _opened(spec, state).alias("periods"), state["fixed"].alias("fixed"), state["failed_on"].alias("failed_on")
+            _opened(spec, state).alias("periods"),
+            state["fixed"].alias("fixed"),
+            state["ended"].alias("ended"),
+            state["failed_on"].alias("failed_on"),
         ),
     )
     return entities.select(spec.key, folded.alias("after")).select(spec.key, "after.*")
 
 
+def fold_until_failure(
+    fold: Callable[[DataFrame], DataFrame], queue: DataFrame, spec: TableSpec = ESTABLISHMENTS
+) -> tuple[DataFrame, dt.date | None, DataFrame]:
+    """The stored fold of the batches before the first that fails, that batch, and the records folded."""
+    if not queue.filter(F.col(spec.batch_date).isNull()).isEmpty():
+        raise IntegrityError("the queue holds records without a batch date")
+    folded = materialize(fold(queue), "replay")
+    halted_on = folded.agg(F.min("failed_on")).first()[0]
+    if halted_on is not None:
+        queue = queue.filter(F.col(spec.batch_date) < F.lit(halted_on))
+        folded = materialize(fold(queue), "replay")
+    return folded, halted_on, queue
+
+
 #: folded entities per bucket up to which a hash table of them is built
 HASHED = 1_000_000
 
@@ -220,14 +255,9 @@ def replay(
     stays where it is: the folded entities are brought to its buckets, and the result
     is partitioned alike, ready to be written as buckets again.
     """
-    dated = F.col(spec.batch_date).isNotNull()
-    if not queue.filter(~dated).isEmpty():
-        raise IntegrityError("the queue holds records without a batch date")
-    folded = materialize(fold_batches(scd, queue, spec, null_safe, mode), "replay")
-    halted_on = folded.agg(F.min("failed_on")).first()[0]
-    if halted_on is not None:
-        queue = queue.filter(F.col(spec.batch_date) < F.lit(halted_on))
-        folded = materialize(fold_batches(scd, queue, spec, null_safe, mode), "replay")
+    folded, halted_on, _ = fold_until_failure(
+        lambda records: fold_batches(scd, records, spec, null_safe, mode), queue, spec
+    )
     effects = folded.select(spec.key, F.lit(True).alias("_folded"), F.col("fixed").alias("_fixed"))
     if buckets is not None:
         folded = folded.repartition(buckets, spec.key)

@@ -33,6 +33,8 @@ class Version:
     #: the SELECT that the view consists of
     query: str = ""
     notes: Mapping[str, str] = field(default_factory=dict)
+    #: the tables that the query reads, if they have parts of their own (``tiers``)
+    layout: Mapping | None = None
 
 
 #: what there is before anything was published
@@ -123,7 +125,13 @@ def newest(spark: SparkSession, name: str, root: str) -> Version:
 
 
 def commit(
-    spark: SparkSession, name: str, root: str, query: str, notes: Mapping[str, str] | None = None, base: int | None = None
+    spark: SparkSession,
+    name: str,
+    root: str,
+    query: str,
+    notes: Mapping[str, str] | None = None,
+    base: int | None = None,
+    layout: Mapping | None = None,
 ) -> int:
     """Make a query the next version, and switch the view; gives the version's number.
 
@@ -133,7 +141,8 @@ def commit(
     while True:
         before = newest(spark, name, root) if base is None else read_version(spark, name, root, base)
         written = f"{_folder(name, root)}/_{uuid.uuid4().hex}"
-        write_text(spark, written, json.dumps({"query": query, "notes": {**before.notes, **(notes or {})}}))
+        content = {"query": query, "notes": {**before.notes, **(notes or {})}, "layout": layout}
+        write_text(spark, written, json.dumps(content))
         taken = _take_name(spark, written, f"{_folder(name, root)}/{before.number + 1:012d}")
         files, where = _files(spark, written)
         files.delete(where, False)  # it has its name by now, or is not wanted

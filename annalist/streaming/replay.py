@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from annalist.operators.joins import affected_history
 from annalist.operators.quality import IntegrityError, check_history
 from annalist.plans.publish import publish
 from annalist.plans.replay import replay
+from annalist.plans.tiers import publish_applied
 from annalist.plans.versions import read_note, show_newest
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
@@ -47,17 +50,29 @@ def replay_stream(
         noted_run, _, noted = read_note(session, name, TAKEN_IN).partition("=")
         taken = noted.split(",") if noted and noted_run == this_run else []
         todo = micro_batch.filter(~F.col(spec.batch_date).cast("string").isin(taken))
+        by_key = None if buckets is None else (buckets, spec.key)
+
+        def notes(applied: list[str]) -> dict[str, str]:
+            return {TAKEN_IN: f"{this_run}={','.join(sorted([*taken, *applied]))}"}
+
+        def before(halted_on: dt.date | None) -> list[str]:
+            days = todo.select(spec.batch_date).distinct()
+            applied = days if halted_on is None else days.filter(F.col(spec.batch_date) < F.lit(halted_on))
+            return [r[0].isoformat() for r in applied.collect()]
+
+        if base.layout:
+            done = publish_applied(session, name, root, base, todo, spec, buckets, lambda day: notes(before(day)))
+            if done.halted_on is not None:
+                raise IntegrityError(f"stopped at batch {done.halted_on}")
+            return
         result = replay(session.sql(base.query), todo, spec, buckets=buckets)
-        applied = [r[0].isoformat() for r in result.applied(todo, spec).collect()]
+        applied = before(result.halted_on)
         if applied:
-            taken += applied
-            by_key = None if buckets is None else (buckets, spec.key)
-            notes = {TAKEN_IN: f"{this_run}={','.join(sorted(taken))}"}
 
             def check(df: DataFrame) -> DataFrame:
                 return check_history(affected_history(df, result.touched, spec.key), spec)
 
-            publish(result.history, name, root, check, by_key, notes, base.number)
+            publish(result.history, name, root, check, by_key, notes(applied), base.number)
         if result.halted_on is not None:
             raise IntegrityError(f"stopped at batch {result.halted_on}")
 
