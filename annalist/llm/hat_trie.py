@@ -23,7 +23,7 @@ BITS = 21
 END = 0
 MOST_WORDS = (1 << BITS) - 1
 #: entries at which a container bursts, and all together spill; they set the memory of a task, not what is counted
-BURST, SPILL = 65_536, 4_000_000
+BURST, SPILL = 65_536, 2_000_000
 #: the separator as a word; words can't hold it
 SEPARATOR = b"."
 _PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
