@@ -17,7 +17,7 @@ from annalist.operators import rows as R
 from annalist.operators import scd2 as S
 from annalist.operators import trend_sums as D
 from annalist.operators import trends as T
-from annalist.plans import ingestion, publish, replay
+from annalist.plans import ingestion, publish, replay, tiers, versions
 from annalist.session import materialize, new_path
 from annalist.sources import chunks, files, queue
 from annalist.spec import ESTABLISHMENTS as SPEC
@@ -171,10 +171,9 @@ def bootstrap_or_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         B.stock_text(spark, sf_dir), B.history_text(spark, sf_dir), B.REGION, root
     )
     lines = B.delta_json(spark, sf_dir)
-    nested = files.ingest_nested_json(lines, files.nested_delta_schema(SPEC), F.col("day"))
-    queue.append_to_queue(nested, queue_name, new_path(spark, queue_name))
+    ingestion.enqueue_batch(lines, queue_name, F.col("day"), CURSOR, path=new_path(spark, queue_name))
     return ingestion.bootstrap_or_incremental(
-        spark, name, root, present, past, queue_name, B.LOAD_DATE, buckets=8, reader=R.flatten_nested
+        spark, name, root, present, past, queue_name, B.LOAD_DATE, buckets=8, reader=R.flatten_nested, tiered=True
     )
 
 
@@ -654,6 +653,19 @@ def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.scd2_replay(silver(spark, sf_dir), delta(spark, sf_dir))
 
 
+@query
+def two_tier_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history in tiers; the batches in three runs, of which the second is followed by a merge of all its parts."""
+    name, root = B.fresh_name("tiers"), new_path(spark, "published")
+    tiers.publish_tiers(silver(spark, sf_dir), name, root, buckets=8)
+    batches, day = delta(spark, sf_dir), F.dayofmonth("batch_date")
+    for run, part in enumerate((day <= 10, (day > 10) & (day <= 20), day > 20)):
+        tiers.publish_applied(spark, name, root, versions.newest(spark, name, root), batches.filter(part), buckets=8)
+        if run == 1:
+            tiers.fold_in(spark, name, root, buckets=8, fixes=True)
+    return spark.table(name)
+
+
 @query
 def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.state_as_of(silver(spark, sf_dir), AS_OF)

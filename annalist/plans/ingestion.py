@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.operators.joins import affected_history, history_semi
@@ -61,7 +61,7 @@ CORRUPT, EXTRA = "_corrupt_record", "_extra"
 def enqueue_batch(
     lines: DataFrame,
     queue_table: str,
-    batch_date: dt.date,
+    batch_date: dt.date | Column,
     cursor: dt.datetime,
     spec: TableSpec = ESTABLISHMENTS,
     path: str | None = None,
@@ -71,6 +71,8 @@ def enqueue_batch(
 ) -> DataFrame:
     """Parse a batch of JSON lines, append it to the queue, and give the cursor after it.
 
+    ``batch_date`` may be a column of ``lines``, where these hold several batches.
+
     Nothing is lost on the way: fields that the registry does not know stay in the queue as text, and lines that are no
     JSON go to the table ``<queue>_rejected``. If their share is above ``max_corrupt`` the batch
     fails before anything is written. With ``cursor_name`` and ``root`` the cursor is published as well.
