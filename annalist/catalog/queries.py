@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from annalist.catalog import bindings as B
 from annalist.functions import add_second, as_date, month_floor, prefix
+from annalist.operators import difference as X
 from annalist.operators import joins as J
 from annalist.operators import quality as Q
 from annalist.operators import rows as R
@@ -107,6 +108,66 @@ def append_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queue.append_evolving(early, late)
 
 
+@query
+def append_evolving_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches in one queue: a struct and an array's struct gain a field, a number widens, another becomes text."""
+    events = B.table(spark, sf_dir, "events").withColumn("batch_date", F.col("ts").cast("date"))
+    early = events.filter(F.col("batch_date") < "2024-01-16").select(
+        "event_id",
+        F.struct(F.col("user_id").alias("id")).alias("who"),
+        F.array(F.struct(F.col("event_type").alias("kind"))).alias("steps"),
+        (F.col("event_id") % 100).cast("int").alias("size"),
+        (F.col("event_id") % 7).alias("code"),
+        "batch_date",
+    )
+    step = lambda kind, at: F.struct(kind.alias("kind"), at.alias("at"))
+    late = events.filter(F.col("batch_date") >= "2024-01-16").select(
+        "event_id",
+        F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name")).alias("who"),
+        F.array(step(F.col("event_type"), F.col("event_id")), step(F.lit("end"), F.lit(-1).cast("bigint"))).alias("steps"),
+        (F.col("event_id") * 1_000_000_000_000).alias("size"),
+        F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("c"), F.col("event_type"))).otherwise("12").alias("code"),
+        "batch_date",
+    )
+    name = B.fresh_name("evolving")
+    for batch in (early, late, early.filter("event_id % 10 = 0")):
+        queue.append_to_queue(batch, name, new_path(spark, name))
+    return spark.table(name).select(
+        "event_id",
+        F.col("who.id").alias("who"),
+        F.col("who.name").alias("name"),
+        F.size("steps").alias("n_steps"),
+        F.get("steps", F.lit(0))["kind"].alias("kind"),
+        F.get("steps", F.lit(0))["at"].alias("at_event"),
+        "size",
+        "code",
+        F.element_at(queue.RESCUED, "code").alias("rescued"),
+        "batch_date",
+    )
+
+
+@query
+def ingest_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delta lines with a field more in the record, in its address, and in its first period."""
+    lines = B.delta_json(spark, sf_dir)
+    more = F.regexp_replace("value", r"^\{", '{"owner":{"since":2001},')
+    more = F.regexp_replace(more, r'"adresseEtablissement":\{', '"adresseEtablissement":{"floor":"3",')
+    more = F.regexp_replace(more, r'"periodesEtablissement":\[\{', '"periodesEtablissement":[{"note":"n",')
+    found = files.ingest_nested_json(
+        lines.withColumn("value", more), files.nested_delta_schema(SPEC), F.col("day"), extra=ingestion.EXTRA
+    )
+    extra = lambda k: F.element_at(ingestion.EXTRA, k)
+    return found.select(
+        "siret",
+        "batch_date",
+        extra("owner").alias("owner"),
+        extra("adresseEtablissement.floor").alias("floor"),
+        extra("periodesEtablissement[0].note").alias("note"),
+        F.size(ingestion.EXTRA).alias("n"),
+        F.col("adresseEtablissement.codeCommuneEtablissement").alias("commune"),
+    )
+
+
 @query
 def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = B.fresh_name("silver")
@@ -321,6 +382,15 @@ def zero_filled_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.zero_filled_star_join(J.dense_grid(scd, spine(spark), T.default_dims()), measures, GROUP)
 
 
+@query
+def snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history before and after a batch."""
+    batch, before = B.change_batch(spark, sf_dir), silver(spark, sf_dir)
+    after = materialize(S.scd2_apply(before, S.scd2_target(batch, before, B.CHANGE_DATE), batch), "after")
+    found = X.snapshot_difference(before, after, [SPEC.key, SPEC.start])
+    return found.withColumn("columns", F.concat_ws(",", "columns"))
+
+
 @query
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open rows with a later closing batch as updates, and copies under other keys as inserts."""

@@ -104,8 +104,8 @@ def ingest_nested_json(
     """Parse JSON lines (column ``value``) and tag them with their batch.
 
     Lines that are not JSON give a record of NULLs, as the permissive file reader does; with ``corrupt``, the
-    name of a column more, they are kept there. ``extra`` names a column that keeps the top-level fields the schema
-    does not know, by name, as text.
+    name of a column more, they are kept there. ``extra`` names a column that keeps the fields the schema
+    does not know, as text, by name or, inside structs and arrays, by path (``address.floor``, ``periods[1].note``).
     """
     fields, options = schema, {}
     if corrupt:
@@ -113,8 +113,34 @@ def ingest_nested_json(
         options = {"columnNameOfCorruptRecord": corrupt}
     columns = [F.from_json("value", fields, options).alias("record"), as_date(batch_date).alias("batch_date")]
     if extra:
-        known = [F.lit(f.name) for f in schema.fields]
-        every = F.from_json("value", "map<string, string>")
-        rest = F.map_filter(every, lambda k, _: ~k.isin(*known))
-        columns.append(F.when(F.size(rest) > 0, rest).alias(extra))
+        rest = _unknown(F.col("value"), schema, F.lit(""))
+        columns.append(F.when(F.size(rest) > 0, F.map_from_entries(rest)).alias(extra))
     return raw.select(*columns).select("record.*", "batch_date", *([extra] if extra else []))
+
+
+_ENTRIES = "array<struct<key: string, value: string>>"
+
+
+def _unknown(text: F.Column, kind: T.DataType, path: F.Column) -> F.Column:
+    """Entries of the fields in a JSON text that a type does not know, at any depth."""
+    none = F.array().cast(_ENTRIES)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+        elements = F.from_json(text, "array<string>")
+        inside = F.transform(
+            elements, lambda e, i: _unknown(e, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))
+        )
+        return F.coalesce(F.flatten(inside), none)
+    if not isinstance(kind, T.StructType):
+        return none
+    every = F.from_json(text, "map<string, string>")
+    dot = F.when(path == "", path).otherwise(F.concat(path, F.lit(".")))
+    known = [f.name for f in kind.fields]
+    here = F.transform(
+        F.map_entries(F.map_filter(every, lambda k, _: ~k.isin(*known))),
+        lambda e: F.struct(F.concat(dot, e["key"]).alias("key"), e["value"].alias("value")),
+    )
+    parts = [F.coalesce(here, none)]
+    for f in kind.fields:
+        if isinstance(f.dataType, (T.StructType, T.ArrayType)):
+            parts.append(_unknown(every[f.name], f.dataType, F.concat(dot, F.lit(f.name))))
+    return F.concat(*parts)
