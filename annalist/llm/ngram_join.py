@@ -10,7 +10,8 @@ Rows of the incidence matrix are the distinct n-gram sets, columns are n-grams.
 3. Each cluster is ordered by size and cut into tiles of bounded weight. Only pairs of tiles whose
    sizes can reach the threshold are multiplied: overlap counts are accumulated over the rare
    columns first, pairs below the bound their sizes set are discarded, then the frequent columns are
-   added for the rest. A tile gives back degrees and a spanning forest, never all pairs.
+   added for the rest. A tile gives back degrees and a spanning forest, never all pairs. The sets lie in
+   files of the shared folder, written once; a tile reads its own, so that no shuffle copies them.
 
 Nothing is dropped or capped. In the worst case, many different sets of one size in one cluster, the
 number of tiles is quadratic in their number; their output stays linear.
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.llm.components import connected_components
+from annalist.llm.shards import Writer, read_ranges
 from annalist.llm.words import (
     U64,
+    Likely,
+    batched,
     byte_texts,
-    keep_likely,
     mix,
     part_of,
     partitions_for,
@@ -40,7 +43,7 @@ from annalist.llm.words import (
     split_by,
     with_columns,
 )
-from annalist.session import materialize
+from annalist.session import materialize, new_path
 
 SMALL = 32
 RATIO = 1.6
@@ -115,42 +118,64 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _sets(docs: DataFrame, k: int, payload: str, limit: Threshold) -> DataFrame:
-    """Rows (doc_id, n, s1, s2) with the packed set, the packed keys or nothing besides."""
-    extra = {"none": "", "keys": ", packed binary", "set": ", cluster long, packed binary"}[payload]
+def _signatures(docs: DataFrame, k: int) -> DataFrame:
+    """Rows (doc_id, n, s1, s2): size and signature of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, sigs, packed = [], [], []
+            n, sigs = [], []
             for text in byte_texts(batch.column("text")):
                 s = shingle_set(text, k)
                 n.append(len(s))
                 sigs.append(_signature(s))
-                if payload != "none":
-                    packed.append((limit.keys(s) if payload == "keys" else s).tobytes())
             columns = [batch.column("doc_id"), pa.array(n, pa.int64())]
             columns += [pa.array([x[i] for x in sigs], pa.int64()) for i in (0, 1)]
-            names = ["doc_id", "n", "s1", "s2"]
-            if payload == "set":
-                columns.append(batch.column("cluster"))
-                names.append("cluster")
-            if payload != "none":
-                columns.append(pa.array(packed, pa.binary()))
-                names.append("packed")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long" + extra)
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
 
 
-def _meetings(keyed: DataFrame, parts: int) -> DataFrame:
-    """Rows (u, v): set u has a key in common with set v, the smallest that has it."""
+_STORED = pa.schema(
+    [*[(c, pa.int64()) for c in ("doc_id", "n", "s1", "s2")], ("file", pa.string()), ("place", pa.int64())]
+)
+
+
+def _stored_sets(docs: DataFrame, k: int, likely: Likely, folder: str) -> DataFrame:
+    """Rows (doc_id, n, s1, s2, file, place): the sets themselves lie in files of the shared folder, one per task.
+
+    They are written once and read where a tile needs them, so that no shuffle copies them. A repeated task writes
+    a file of its own, and its rows name that one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Writer(folder)
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                batch = batch.filter(pa.array(likely.has(batch.column("doc_id"))))
+                for doc, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True):
+                    s = shingle_set(text, k)
+                    if len(s):
+                        yield doc, len(s), *_signature(s), out.name, out.add(s)
+
+        try:
+            yield from batched(rows(), _STORED)
+        finally:
+            out.close()
+
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, file string, place long")
+
+
+def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts: int) -> DataFrame:
+    """Rows (u, v): the set of u has a key in common with that of v, the smallest that has it; of likely documents."""
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.frombuffer(x, U64) for x in batch.column("packed").to_pylist()]
+            batch = batch.filter(pa.array(likely.has(batch.column("doc_id"))))
+            keys = [limit.keys(shingle_set(text, k)) for text in byte_texts(batch.column("text"))]
             if not keys:
                 continue
-            rep = np.repeat(batch.column("rep").to_numpy(), [len(x) for x in keys])
+            rep = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in keys])
             key = np.concatenate(keys)
             got = [(p, key[i].tobytes() + rep[i].tobytes()) for p, i in split_by(part_of(key, parts))]
             yield pa.RecordBatch.from_arrays(
@@ -168,7 +193,7 @@ def _meetings(keyed: DataFrame, parts: int) -> DataFrame:
         pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
         return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
 
-    scattered = keyed.mapInArrow(scatter, "part int, packed binary")
+    scattered = docs.mapInArrow(scatter, "part int, packed binary").repartition(parts, "part")
     return scattered.groupBy("part").applyInArrow(meet, "u long, v long").distinct()
 
 
@@ -244,13 +269,13 @@ def smallest_label(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def _products(tiles: DataFrame, limit: Threshold) -> DataFrame:
+def _products(tiles: DataFrame, limit: Threshold, folder: str) -> DataFrame:
     """Rows (u, s1, s2, v, links): a set of u is linked with ``links`` other rows, and connected with v."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n", "ascending"), ("doc_id", "ascending")])
         side, same = table.column("side").to_numpy(), table.column("i")[0] == table.column("j")[0]
-        sets = [np.frombuffer(x, U64) for x in table.column("packed").to_pylist()]
+        sets = read_ranges(folder, table.column("file").to_pylist(), table.column("place").to_numpy(), table.column("n").to_numpy())
         at_a = np.flatnonzero(side == 0)
         at_b = at_a if same else np.flatnonzero(side == 1)
         i, j = overlaps([sets[x] for x in at_a], [sets[x] for x in at_b], limit, same)
@@ -268,24 +293,43 @@ def _products(tiles: DataFrame, limit: Threshold) -> DataFrame:
     return tiles.groupBy("cluster", "i", "j").applyInArrow(run, "u long, s1 long, s2 long, v long, links long")
 
 
+def _chunks(sets: DataFrame) -> DataFrame:
+    """Add ``chunk``: the weight before a row, in the order of cluster and size, in units of a tile.
+
+    Rows are sorted by range, and each range counts on from the weight of those before it. So a
+    cluster that holds most rows is spread over many ranges.
+    """
+    keys = ["cluster", "n", "doc_id", "s1", "s2"]
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = sets.repartitionByRange(parts, *keys).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged.withColumn("_load", F.greatest("n", F.lit(200))), "ranges")
+    loads = ranged.groupBy("_range").agg(F.sum("_load").alias("_sum"))
+    before = F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = loads.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.sum("_load").over(Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+    # one row per range: bounded by the number of ranges, not by the data
+    joined = ranged.withColumn("_inside", inside).join(F.broadcast(starts), "_range")
+    chunk = F.floor((F.col("_before") + F.col("_inside") - 1) / F.lit(TILE)).cast("long")
+    return joined.withColumn("chunk", chunk).drop("_range", "_load", "_inside", "_before")
+
+
 def _tiles(sets: DataFrame, limit: Threshold) -> DataFrame:
     """Every row once for each tile that it is part of; ``side`` 0 or 1."""
-    order = Window.partitionBy("cluster").orderBy("n", "doc_id", "s1", "s2")
-    narrow = sets.select("cluster", "n", "doc_id", "s1", "s2").withColumn(
-        "chunk", F.floor((F.sum(F.greatest("n", F.lit(200))).over(order) - 1) / F.lit(TILE)).cast("long")
-    )
-    sizes = narrow.groupBy("cluster", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    rows = materialize(_chunks(sets), "chunks")
+    sizes = rows.groupBy("cluster", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a = sizes.select("cluster", F.col("chunk").alias("i"), F.col("high").alias("a_high"))
     b = sizes.select("cluster", F.col("chunk").alias("j"), F.col("low").alias("b_low"))
     pairs = a.join(b, "cluster").filter(
         (F.col("i") <= F.col("j")) & (F.col("b_low") * limit.num <= F.col("a_high") * limit.den)
     )
+    pairs = materialize(pairs.select("cluster", "i", "j"), "tiles")
     ends = F.when(F.col("i") == F.col("j"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
     places = pairs.select("cluster", "i", "j", F.explode(ends).alias("side")).withColumn(
         "chunk", F.when(F.col("side") == 0, F.col("i")).otherwise(F.col("j"))
     )
-    rows = sets.join(narrow.drop("n", "cluster"), ["doc_id", "s1", "s2"])
-    return rows.join(places, ["cluster", "chunk"])
+    # the rows are narrow, so their bytes say little about the work: a few tiles go to each task
+    tasks = partitions_for(sets.sparkSession, pairs.count(), 8)
+    return rows.join(places, ["cluster", "chunk"]).repartition(tasks, "cluster", "i", "j")
 
 
 def jaccard_components(
@@ -302,7 +346,7 @@ def jaccard_components(
     ship(spark)
     docs = with_columns(docs, doc_id=id_column, text=text_column)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = materialize(_sets(docs, k, "none", limit), "sets")
+    rows = materialize(_signatures(docs, k), "sets")
     known = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     by_set = ["n", "s1", "s2"]
     classes = materialize(
@@ -311,22 +355,17 @@ def jaccard_components(
     total = classes.agg(F.sum("n")).first()[0] or 0
 
     there = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    keyed = (
-        _sets(there, k, "keys", limit)
-        .filter("n > 0")
-        .groupBy(*by_set)
-        .agg(F.min("doc_id").alias("rep"), F.first("packed").alias("packed"))
-    )
-    clusters = connected_components(_meetings(keyed, partitions_for(spark, total // 2)))
-
-    clustered = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-    members = keep_likely(there, clustered).join(clustered, "doc_id")
-    mine = classes.withColumnRenamed("rep", "doc_id")
-    sets = materialize(
-        _sets(members, k, "set", limit).join(mine, ["doc_id", *by_set]).dropDuplicates(["doc_id", "s1", "s2"]),
-        "members",
-    )
-    linked = materialize(_products(_tiles(sets, limit), limit), "links")
+    # One row of each class is keyed, the one with its smallest id. The bitmap lets a few more through: they meet as themselves
+    # and are dropped where the members are joined with the classes.
+    first = Likely(classes.select(F.col("rep").alias("doc_id")))
+    clusters = connected_components(_meetings(there, k, limit, first, partitions_for(spark, total)))
+
+    clustered = materialize(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "clusters")
+    mine = classes.withColumnRenamed("rep", "doc_id").join(clustered, "doc_id")
+    folder = new_path(spark, "ngram-sets")
+    stored = materialize(_stored_sets(there, k, Likely(clustered), folder), "stored-sets")
+    sets = stored.join(mine, ["doc_id", *by_set]).dropDuplicates(["doc_id", "s1", "s2"])
+    linked = materialize(_products(_tiles(sets, limit), limit, folder), "links")
 
     of_row = known.select("doc_id", *by_set).join(classes, by_set).select("doc_id", "n", "s1", "s2", "rep", "weight")
     one_node = of_row.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("u"))

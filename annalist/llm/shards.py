@@ -45,3 +45,42 @@ def map_arrays(uri: str, layout: Sequence[tuple[str, int]]) -> list[np.ndarray]:
         out.append(np.memmap(path, kind, "r", at, (n,)) if n else np.empty(0, kind))
         at += n * np.dtype(kind).itemsize
     return out
+
+
+class Writer:
+    """A file that a task writes arrays of 64-bit numbers to, one behind the other. Opened with the first one."""
+
+    def __init__(self, folder: str) -> None:
+        self.name = f"{uuid.uuid4().hex}.bin"
+        self._target, self._out, self._at = f"{folder}/{self.name}", None, 0
+
+    def add(self, numbers: np.ndarray) -> int:
+        """Append; gives the place of the first number."""
+        if self._out is None:
+            files, path = _place(self._target)
+            files.create_dir(path.rpartition("/")[0], recursive=True)
+            self._out = files.open_output_stream(path)
+        at = self._at
+        self._out.write(np.ascontiguousarray(numbers).data)
+        self._at += len(numbers)
+        return at
+
+    def close(self) -> None:
+        if self._out is not None:
+            self._out.close()
+
+
+def read_ranges(folder: str, names: Sequence[str], at: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Arrays that writers have appended; each file is opened once and read in order, only where they lie."""
+    out: list[np.ndarray] = [np.empty(0, np.uint64)] * len(names)
+    opened, current = None, None
+    for i in sorted(range(len(names)), key=lambda i: (names[i], at[i])):
+        if names[i] != opened:
+            files, path = _place(f"{folder}/{names[i]}")
+            if current is not None:
+                current.close()
+            current, opened = files.open_input_file(path), names[i]
+        out[i] = np.frombuffer(current.read_at(8 * int(n[i]), 8 * int(at[i])), np.uint64)
+    if current is not None:
+        current.close()
+    return out

@@ -149,49 +149,62 @@ def part_of(h: np.ndarray, parts: int) -> np.ndarray:
 FILTER_BITS = 26
 
 
+class Likely:
+    """A bitmap of fixed size that says of an id whether it may be in ``ids``: yes for all that are, and few others.
+
+    It is put together in blocks by the tasks and goes to all of them. The more ids it holds the less it
+    tells. Null ids are not in it.
+    """
+
+    _BLOCK_BITS = 15
+
+    def __init__(self, ids: DataFrame) -> None:
+        width = self._BLOCK_BITS
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = np.unique(_place(batch.column(0)))
+                got = [(b, (at[i] & ((1 << width) - 1)).astype("<u2").tobytes()) for b, i in split_by(at >> width)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["block", "bits"]
+                )
+
+        def unite(table: pa.Table) -> pa.Table:
+            at = np.unique(np.concatenate([np.frombuffer(x, "<u2") for x in table.column("bits").to_pylist()]))
+            flags = np.zeros(1 << width, np.uint8)
+            flags[at] = 1
+            return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+        schema = "block int, bits binary"
+        blocks = ids.select("doc_id").mapInArrow(pack, schema).groupBy("block").applyInArrow(unite, schema)
+        bitmap = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+        size = (1 << width) // 8
+        for row in blocks.collect():  # 8 MB at most
+            bitmap[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+        self._shared = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    def has(self, column: pa.Array) -> np.ndarray:
+        """Which of a column's ids may be among them; for use in tasks."""
+        bits, at = self._shared.value, _place(column)
+        return ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1) & column.is_valid().to_numpy(False)
+
+
+def _place(column: pa.Array) -> np.ndarray:
+    known = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return (mix(known.view(U64)) >> U64(64 - FILTER_BITS)).astype(np.int64)
+
+
 def split_likely(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` whose doc_id may be in ``ids`` (all that are, and few others), and the rest.
 
-    A bitmap of fixed size, put together in blocks by the tasks, spares the rest the
-    shuffle of the exact join that follows. The more ids it holds the less it spares. Null ids
-    belong to the rest.
+    This spares the rest the shuffle of the exact join that follows. Null ids belong to the rest.
     """
-    block_bits = 15
-
-    def place(column: pa.Array) -> np.ndarray:
-        known = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        return (mix(known.view(U64)) >> U64(64 - FILTER_BITS)).astype(np.int64)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(place(batch.column(0)))
-            got = [(b, (at[i] & ((1 << block_bits) - 1)).astype("<u2").tobytes()) for b, i in split_by(at >> block_bits)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["block", "bits"]
-            )
-
-    def unite(table: pa.Table) -> pa.Table:
-        at = np.unique(np.concatenate([np.frombuffer(x, "<u2") for x in table.column("bits").to_pylist()]))
-        flags = np.zeros(1 << block_bits, np.uint8)
-        flags[at] = 1
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
-
-    schema = "block int, bits binary"
-    blocks = ids.select("doc_id").mapInArrow(pack, schema).groupBy("block").applyInArrow(unite, schema)
-    bitmap = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    width = (1 << block_bits) // 8
-    for row in blocks.collect():  # 8 MB at most
-        bitmap[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    likely = Likely(ids)
 
     def part(wanted: bool) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = shared.value
             for batch in batches:
-                column = batch.column("doc_id")
-                at = place(column)
-                found = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1) & column.is_valid().to_numpy(False)
-                yield batch.filter(pa.array(found == wanted))
+                yield batch.filter(pa.array(likely.has(batch.column("doc_id")) == wanted))
 
         return docs.mapInArrow(keep, docs.schema)
 
