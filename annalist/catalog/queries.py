@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from annalist.catalog import bindings as B
 from annalist.functions import add_second, as_date, month_floor, prefix
+from annalist.operators import asof as A
 from annalist.operators import difference as X
 from annalist.operators import joins as J
 from annalist.operators import quality as Q
@@ -70,6 +71,42 @@ def scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_typed(garbled, SPEC.source_columns)
 
 
+def _garbled_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("siret").cast("bigint")
+    return B.stock_text(spark, sf_dir).withColumns(
+        {
+            "dateDebut": F.when(k % 50 == 7, "n/a").otherwise(F.col("dateDebut")),
+            "etablissementSiege": F.when(k % 30 == 1, "oui").otherwise(F.col("etablissementSiege")),
+        }
+    )
+
+
+def _rescued(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stock and delta with the text of what did not cast."""
+    stock_rows = files.scan_typed(_garbled_stock(spark, sf_dir), SPEC.source_columns, queue.RESCUED)
+    nested = files.ingest_nested_json(B.delta_json(spark, sf_dir), files.nested_delta_schema(SPEC), F.col("day"))
+    treated = F.when(F.col("siret").cast("bigint") % 10 == 0, "soon").otherwise(F.col(SPEC.treated_at))
+    return stock_rows, R.flatten_nested(nested.withColumn(SPEC.treated_at, treated), rescue=queue.RESCUED)
+
+
+@query
+def rescued_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row and column of every value that did not cast, with its text."""
+    stock_rows, records = _rescued(spark, sf_dir)
+    day = F.lit(None).cast("date").alias("batch_date")
+    found = [
+        stock_rows.select("siret", day, F.explode(queue.RESCUED).alias("column", "text")),
+        records.select("siret", "batch_date", F.explode(queue.RESCUED).alias("column", "text")),
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def check_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 5 % of a column may fail to cast."""
+    return Q.check_rescued(_rescued(spark, sf_dir)[0], queue.RESCUED, 0.05)
+
+
 @query
 def scan_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_projected(
@@ -741,6 +778,21 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.state_as_of(silver(spark, sf_dir), AS_OF)
 
 
+@query
+def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the state its customer was in, up to a month before or after it."""
+    orders = B.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.lpad(F.col("o_custkey").cast("string"), 14, "0").alias("siret"),
+        F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 61 - 30).cast("int")).alias("day"),
+    )
+    found = A.as_of(orders, silver(spark, sf_dir), "day")
+    return found.select(
+        "o_orderkey", "siret", "day", F.col("period.start_at").alias("since"), F.col("period.end_at").alias("until"),
+        F.col("period.activitePrincipaleEtablissement").alias("activity"),
+    )
+
+
 # --- quality and publishing -----------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ from annalist.functions.columns import (
     month_index,
     month_number,
     prefix,
+    rescued,
     second_at,
     second_index,
     second_number,
@@ -27,6 +28,7 @@ __all__ = [
     "month_index",
     "month_number",
     "prefix",
+    "rescued",
     "second_at",
     "second_index",
     "second_number",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -94,3 +94,21 @@ def differs(new: Column, old: Column, null_safe: bool = False) -> Column:
     if null_safe:
         return ~new.eqNullSafe(old)
     return F.coalesce(new != old, F.lit(False))
+
+
+def rescued(casts: Mapping[str, tuple[Column, Column]], before: Column | None = None) -> Column:
+    """Map from each name whose text did not cast to that text; NULL if all did.
+
+    ``casts`` holds, by name, the value as it came and as it was cast. What ``before`` holds stays.
+    """
+    missed = [
+        F.when(raw.isNotNull() & typed.isNull(), F.struct(F.lit(name).alias("key"), raw.cast("string").alias("value")))
+        for name, (raw, typed) in casts.items()
+    ]
+    found = F.map_from_entries(F.array_compact(F.array(*missed)))
+    if before is not None:
+        none = F.create_map().cast("map<string,string>")
+        # a name in both keeps what was rescued first
+        kept = F.coalesce(before, none)
+        found = F.map_concat(F.map_filter(found, lambda k, _: ~F.map_contains_key(kept, k)), kept)
+    return F.when(F.size(found) > 0, found)

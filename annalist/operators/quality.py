@@ -168,6 +168,18 @@ def integrity_report(
     return report(totals, {c: c for c in totals.columns})
 
 
+def check_rescued(df: DataFrame, rescue: str, share: float = 0.0) -> DataFrame:
+    """Per column, the rows whose value did not cast; not ok where they are more than the share of all rows.
+
+    One row per column that has any, as ``(check, n_bad, ok)``, ``check`` being ``rescued:`` and the column.
+    """
+    counts = df.select(F.explode(F.map_keys(rescue)).alias("_c")).groupBy("_c").agg(F.count("*").alias("n_bad"))
+    total = df.agg(F.count("*")).scalar()
+    return counts.select(
+        F.concat(F.lit("rescued:"), "_c").alias("check"), "n_bad", (F.col("n_bad") <= F.lit(share) * total).alias("ok")
+    )
+
+
 def require_ok(report: DataFrame) -> None:
     """Raise when a check failed. A report has one row per check, so it is small."""
     bad = [f"{r['check']}: {r['n_bad']}" for r in report.filter(~F.col("ok")).collect()]

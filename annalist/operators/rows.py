@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annalist.functions import as_date, has_prefix, prefix
+from annalist.functions import as_date, has_prefix, prefix, rescued
 from annalist.spec import ESTABLISHMENTS, TableSpec
 
 
@@ -38,22 +38,28 @@ def active_period(df: DataFrame, arr: str, end: str, name: str = "active_period"
     return df.withColumn(name, F.get(still_open, F.lit(0)))
 
 
-def flatten_nested(df: DataFrame, spec: TableSpec = ESTABLISHMENTS) -> DataFrame:
-    """Nested delta records as flat, typed rows carrying the period that is still open."""
+def flatten_nested(df: DataFrame, spec: TableSpec = ESTABLISHMENTS, rescue: str | None = None) -> DataFrame:
+    """Nested delta records as flat, typed rows carrying the period that is still open.
+
+    ``rescue`` names a column that keeps the text of values that did not cast, by column; one that the records have already
+    is added to.
+    """
     with_period = active_period(df, spec.nested_periods, spec.effective_to)
     from_period = [*spec.source_tracked, spec.effective_from]
     from_address = [c for c in spec.fixed if c != spec.created_on]
     top_level = [spec.created_on, spec.treated_at, *[c for c in spec.tracked if c not in from_period]]
-
-    def typed(source: str, name: str) -> Column:
-        return F.col(source).try_cast(spec.column(name).dtype).alias(name)
-
+    sources = {c: c for c in top_level}
+    sources |= {c: f"{spec.nested_address}.{c}" for c in from_address} | {c: f"active_period.{c}" for c in from_period}
+    typed = {c: F.col(source).try_cast(spec.column(c).dtype) for c, source in sources.items()}
+    kept = []
+    if rescue:
+        before = F.col(rescue) if rescue in df.columns else None
+        kept.append(rescued({c: (F.col(sources[c]), v) for c, v in typed.items()}, before).alias(rescue))
     return with_period.select(
         spec.key,
-        *[typed(c, c) for c in top_level],
-        *[typed(f"{spec.nested_address}.{c}", c) for c in from_address],
-        *[typed(f"active_period.{c}", c) for c in from_period],
+        *[v.alias(c) for c, v in typed.items()],
         *[c for c in (spec.batch_date,) if c in df.columns],
+        *kept,
     )
 
 

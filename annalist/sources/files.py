@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.functions import as_date
+from annalist.functions import as_date, rescued
 from annalist.spec import ColumnSpec, TableSpec
 
 
@@ -24,9 +24,14 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).json(path)
 
 
-def scan_typed(raw: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
-    """Project the given columns and cast them; text that does not parse becomes NULL."""
-    return raw.select(*[F.col(c.name).try_cast(c.dtype).alias(c.name) for c in specs])
+def scan_typed(raw: DataFrame, specs: Sequence[ColumnSpec], rescue: str | None = None) -> DataFrame:
+    """Project the given columns and cast them; text that does not parse becomes NULL.
+
+    ``rescue`` names a column that keeps such text, by column.
+    """
+    typed = {c.name: F.col(c.name).try_cast(c.dtype) for c in specs}
+    more = [rescued({n: (F.col(n), v) for n, v in typed.items()}).alias(rescue)] if rescue else []
+    return raw.select(*[v.alias(n) for n, v in typed.items()], *more)
 
 
 def scan_projected(raw: DataFrame, cols: Sequence[str]) -> DataFrame:
