@@ -15,7 +15,7 @@ from annalist.operators.scd2 import drop_collapsed, expected_rows, max_treated,
 from annalist.plans.publish import publish
 from annalist.plans.replay import replay
 from annalist.plans.tiers import publish_applied, publish_tiers
-from annalist.plans.versions import Conflict, exists, newest_number, read_note, show_newest, write_text
+from annalist.plans.versions import Conflict, exists, newest, newest_number, read_note, show_newest, write_text
 from annalist.session import materialize, new_path, write_parquet
 from annalist.sources.files import (
     comment_columns,
@@ -62,7 +62,7 @@ def enqueue_batch(
     lines: DataFrame,
     queue_table: str,
     batch_date: dt.date | Column,
-    cursor: dt.datetime,
+    cursor: dt.datetime | None = None,
     spec: TableSpec = ESTABLISHMENTS,
     path: str | None = None,
     max_corrupt: float = 0.0,
@@ -75,8 +75,11 @@ def enqueue_batch(
 
     Nothing is lost on the way: fields that the registry does not know stay in the queue as text, and lines that are no
     JSON go to the table ``<queue>_rejected``. If their share is above ``max_corrupt`` the batch
-    fails before anything is written. With ``cursor_name`` and ``root`` the cursor is published as well.
+    fails before anything is written. With ``cursor_name`` and ``root`` the cursor is published as well, and the one before it
+    is read from there if ``cursor`` is not given.
     """
+    if cursor is None:
+        cursor = stored_cursor(lines.sparkSession, cursor_name, root)
     parsed = ingest_nested_json(lines, nested_delta_schema(spec), batch_date, CORRUPT, EXTRA)
     parsed = materialize(parsed, "batch")
     is_corrupt = F.col(CORRUPT).isNotNull()
@@ -94,6 +97,13 @@ def enqueue_batch(
     return after
 
 
+def stored_cursor(spark: SparkSession, cursor_name: str | None, root: str | None) -> dt.datetime:
+    """From when on the next batch is asked for: what the first load or the last batch has published."""
+    if not (cursor_name and root and newest_number(spark, cursor_name, root)):
+        raise ValueError("there is no cursor yet; give one, or load the history with cursor_name")
+    return spark.sql(newest(spark, cursor_name, root).query).first()[0]
+
+
 def first_load(
     stock: DataFrame,
     history: DataFrame,
@@ -103,13 +113,16 @@ def first_load(
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
     tiered: bool = False,
+    cursor_name: str | None = None,
 ) -> int:
     """Publish the first history table; fails when a period of the stock is missing.
 
     With ``buckets`` it is bucketed by key, which this one shuffle pays for: later batches
     then leave the table in place. With ``tiered`` closed and open periods lie apart (``tiers``), and a later batch writes
-    what it changes only.
+    what it changes only. With ``cursor_name`` the cursor of the first batch is published as well.
     """
+    if cursor_name:
+        publish(cursor_after(stock, spec), cursor_name, root)
     base = newest_number(stock.sparkSession, name, root)
     every_period = scd2_initial(stock, history, batch_date, spec, keep_collapsed=True)
     counts = expected_rows(stock, every_period, spec).first()  # reads the keys only
@@ -142,6 +155,7 @@ def apply_pending(
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
     reader: Reader | None = None,
+    hold: bool = False,
 ) -> dt.date | None:
     """Apply the queued batches to the published history and take them off the queue.
 
@@ -156,11 +170,11 @@ def apply_pending(
     history and the queue stay as they were.
 
     ``reader`` turns the queue's rows into flat records, such as ``flatten_nested`` for a
-    queue of nested ones.
+    queue of nested ones. With ``hold``, on a history in tiers, a record that can't be placed holds up its entity and not its batch.
     """
     for left in range(ATTEMPTS - 1, -1, -1):
         try:
-            return _apply_once(spark, name, root, queue_table, spec, buckets, reader)
+            return _apply_once(spark, name, root, queue_table, spec, buckets, reader, hold)
         except Conflict:
             if not left:
                 raise
@@ -175,6 +189,7 @@ def _apply_once(
     spec: TableSpec,
     buckets: int | None,
     reader: Reader | None,
+    hold: bool,
 ) -> dt.date | None:
     base = show_newest(spark, name, root)
     _acknowledge(spark, name, queue_table)
@@ -183,12 +198,14 @@ def _apply_once(
         return None
     queue = read_files(spark, queue_table, files)
     records = reader(queue) if reader else queue
+    if hold and not base.layout:
+        raise ValueError("records are held beside a history in tiers")
     if base.layout:
 
         def note(halted_on: dt.date | None) -> dict[str, str]:
             return {TO_ACKNOWLEDGE: _noted(spark, files, halted_on, spec)}
 
-        done = publish_applied(spark, name, root, base, records, spec, buckets, note)
+        done = publish_applied(spark, name, root, base, records, spec, buckets, note, hold)
         _acknowledge(spark, name, queue_table)
         return done.halted_on
     result = replay(spark.sql(base.query), records, spec, buckets=buckets)
@@ -232,6 +249,7 @@ def bootstrap_or_incremental(
     buckets: int | None = None,
     reader: Reader | None = None,
     tiered: bool = False,
+    hold: bool = False,
 ) -> DataFrame:
     """Load the history if it does not exist yet, then always apply what is queued.
 
@@ -242,7 +260,7 @@ def bootstrap_or_incremental(
             first_load(stock, history, batch_date, name, root, spec, buckets, tiered)
         except Conflict:  # another run has loaded it
             pass
-    apply_pending(spark, name, root, queue_table, spec, buckets, reader)
+    apply_pending(spark, name, root, queue_table, spec, buckets, reader, hold)
     return spark.table(name)
 
 

@@ -48,13 +48,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _step(spec: TableSpec, null_safe: bool, mode: str) -> Callable[[Column, Column], Column]:
+def _step(spec: TableSpec, null_safe: bool, mode: str, hold: bool = False) -> Callable[[Column, Column], Column]:
     """One record applied to an entity's state.
 
     The state is the open period, the day the last closed one ended, the periods that were closed on the way, and
     the fixed values that the first ``corrected`` of these, and all periods that were closed before, take
     in the end. Periods that were closed before are not in it, so what a record costs does not
-    depend on them.
+    depend on them. With ``hold``, the records after one that fails wait for it, and change nothing either.
     """
 
     def step(state: Column, record: Column) -> Column:
@@ -83,6 +83,8 @@ def _step(spec: TableSpec, null_safe: bool, mode: str) -> Callable[[Column, Colu
             | (flags["changed"] & (boundary < current[spec.start]))
             | (flags["new"] & F.coalesce(boundary < state["ended"], F.lit(False)))
         )
+        if hold:
+            failed = failed | state["failed_on"].isNotNull()
         moved = F.struct(
             F.when(closes, F.concat(state["closed"], F.array(after))).otherwise(state["closed"]).alias("closed"),
             F.when(begins, fresh).otherwise(after).alias("open"),
@@ -166,10 +168,12 @@ def fold_entities(
     spec: TableSpec = ESTABLISHMENTS,
     null_safe: bool = False,
     mode: str = GREATEST,
+    hold: bool = False,
 ) -> DataFrame:
     """:func:`fold_batches` on what is held of the entities: rows ``open, ended, n_open, broken`` by key.
 
-    Gives ``ended`` as well, the day the last closed period ended.
+    Gives ``ended`` as well, the day the last closed period ended. With ``hold``, an entity stands still from its first
+    record that fails, in the batch ``failed_on``; else only that record changes nothing.
     """
     values = [*spec.attributes, spec.effective_from, spec.treated_at]
     records = (
@@ -205,7 +209,7 @@ def fold_entities(
     folded = F.aggregate(
         "records",
         begin,
-        _step(spec, null_safe, mode),
+        _step(spec, null_safe, mode, hold),
         lambda state: F.struct(
             _opened(spec, state).alias("periods"),
             state["fixed"].alias("fixed"),

@@ -49,6 +49,9 @@ class Tiers:
     n_overlay: int = 0
     fixes: str | None = None
     n_fixes: int = 0
+    #: records that wait, because one of their entity can't be placed
+    held: str | None = None
+    n_held: int = 0
     #: runs so far
     run: int = 0
 
@@ -162,13 +165,24 @@ def apply_to_tiers(
     spec: TableSpec = ESTABLISHMENTS,
     null_safe: bool = False,
     mode: str = GREATEST,
+    hold: bool = False,
 ) -> Applied:
     """Write what the queued batches change, beside the tiers that they were applied to.
 
     Reads the records, the heads of their entities and the overlay; no closed period. Writes the periods that were
     closed, and the overlay and fixes anew.
+
+    A record that can't be placed stops its batch and those after it. With ``hold`` it only stops its entity: that
+    record and the entity's later ones wait beside the history, are tried again with every run, and all others go on.
     """
     run = tiers.run + 1
+    if hold and tiers.held:
+        queue = queue.unionByName(spark.sql(f"SELECT * FROM {tiers.held}"), allowMissingColumns=True)
+    waiting = None
+    if hold:
+        queue = materialize(queue, "records")
+        undated = F.col(spec.batch_date).isNull() | F.col(spec.key).isNull()
+        waiting, queue = queue.filter(undated), queue.filter(~undated)
     held = materialize(tiers.all_heads(spark, queue, spec), "held")
     names = [c for c in spec.history_columns if c != spec.key]
     is_open = F.col(spec.start).isNotNull()
@@ -179,9 +193,18 @@ def apply_to_tiers(
         is_open.cast("bigint").alias("n_open"),
         F.lit(False).alias("broken"),
     )
-    folded, halted_on, applied = fold_until_failure(
-        lambda records: fold_entities(state, records, spec, null_safe, mode), queue, spec
-    )
+    if hold:
+        halted_on, folded = None, materialize(fold_entities(state, queue, spec, null_safe, mode, hold=True), "replay")
+        stopped = folded.filter("failed_on IS NOT NULL").select(spec.key, F.col("failed_on").alias("_from"))
+        late = F.col(spec.batch_date) >= F.col("_from")
+        marked = materialize(queue.join(stopped, spec.key, "left").withColumn("_waits", F.coalesce(late, F.lit(False))), "marked")
+        waiting = waiting.unionByName(marked.filter("_waits").select(*waiting.columns)).distinct()
+        applied = marked.filter("NOT _waits")
+        folded = affected_history(folded, applied, spec.key)
+    else:
+        folded, halted_on, applied = fold_until_failure(
+            lambda records: fold_entities(state, records, spec, null_safe, mode), queue, spec
+        )
     touched = materialize(applied.select(spec.key).distinct(), "touched")
     periods = folded.select(spec.key, F.inline("periods")).select(*spec.history_columns)
     closed = write_snapshot(periods.filter(F.col(spec.end).isNotNull()), f"{name}_segment", root)
@@ -199,6 +222,10 @@ def apply_to_tiers(
         fixes = fixed if not tiers.fixes else _replace_rows(spark, tiers.fixes, fixed, spec)
         source = write_snapshot(fixes, f"{name}_fixes", root)
         new = replace(new, fixes=source, n_fixes=_count(spark, source))
+    if hold:
+        source = write_snapshot(waiting, f"{name}_held", root)
+        n_held = _count(spark, source)
+        new = replace(new, held=source if n_held else None, n_held=n_held)
     written = [spark.sql(f"SELECT * FROM {closed}"), affected_history(spark.sql(f"SELECT * FROM {new.overlay}"), touched, spec.key)]
     return Applied(new, halted_on, touched, check_applied(written[0], written[1], held, touched, spec))
 
@@ -209,6 +236,13 @@ def _replace_rows(spark: SparkSession, source: str, rows: DataFrame, spec: Table
     return others.select(*rows.columns).unionByName(rows)
 
 
+def held_records(spark: SparkSession, name: str, root: str) -> DataFrame | None:
+    """The records that wait beside a published history; None if there are none."""
+    version = newest(spark, name, root)
+    source = Tiers.of(version).held if version.layout else None
+    return spark.sql(f"SELECT * FROM {source}") if source else None
+
+
 def check_applied(
     closed: DataFrame, heads: DataFrame, held: DataFrame, touched: DataFrame, spec: TableSpec = ESTABLISHMENTS
 ) -> DataFrame:
@@ -264,13 +298,16 @@ def publish_applied(
     spec: TableSpec = ESTABLISHMENTS,
     buckets: int | None = None,
     notes: Callable[[dt.date | None], Mapping[str, str]] | None = None,
+    hold: bool = False,
 ) -> Applied:
     """Apply the queued batches to a history in tiers, check the new rows, and publish; folds in when it is time.
 
-    If a check fails, or another run has published since ``base`` was read, the history stays as it was.
+    If a check fails, or another run has published since ``base`` was read, the history stays as it was. The records
+    that wait (``hold``) are part of the version, so none is lost and none is tried twice.
     """
-    done = apply_to_tiers(spark, Tiers.of(base), queue, name, root, spec)
-    if done.touched.isEmpty():
+    before = Tiers.of(base)
+    done = apply_to_tiers(spark, before, queue, name, root, spec, hold=hold)
+    if done.touched.isEmpty() and done.tiers.n_held == before.n_held:
         return done
     require_ok(done.report)
     commit(spark, name, root, done.tiers.query(spec), notes(done.halted_on) if notes else None, base.number, asdict(done.tiers))

@@ -405,3 +405,21 @@ def test_a_model_published_meanwhile_is_built_again(spark):
     done = publish.publish_models(spark, {"m_twice": model}, {}, root)
     assert status(done) == {"m_twice": ("published", 2)} and len(built) == 2
     assert versions.newest_number(spark, "m_twice", root) == 2
+
+
+def test_the_cursor_goes_round(spark, sources):
+    """Published by the first load, read and moved on by every batch."""
+    stock, periods = sources
+    root, name = new_path(spark, "p"), "cursor_round"
+    lines = lambda t: spark.createDataFrame([(json.dumps({"id": "a", "treated": t}),)], "value string")
+    args = (f"{name}_queue", dt.date(2001, 8, 2))
+    kept = {"spec": SMALL, "cursor_name": f"{name}_cursor", "root": root}
+    with pytest.raises(ValueError, match="no cursor"):
+        ingestion.enqueue_batch(lines("2001-08-01T10:00:00"), *args, **kept)
+    ingestion.first_load(stock, periods, LOADED, name, root, SMALL, tiered=True, cursor_name=f"{name}_cursor")
+    assert ingestion.stored_cursor(spark, f"{name}_cursor", root) == dt.datetime(2001, 6, 1, 0, 0, 1)
+    ingestion.enqueue_batch(lines("no time"), *args, **kept)
+    assert ingestion.stored_cursor(spark, f"{name}_cursor", root) == dt.datetime(2001, 6, 1, 0, 0, 1)
+    ingestion.enqueue_batch(lines("2001-08-01T10:00:00"), *args, **kept)
+    assert ingestion.stored_cursor(spark, f"{name}_cursor", root) == dt.datetime(2001, 8, 1, 10, 0, 1)
+    assert spark.table(f"{name}_queue").count() == 2

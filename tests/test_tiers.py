@@ -165,3 +165,57 @@ def test_pending_batches_and_stream_on_tiers(spark, history, batch):
         ("s1", "2001-01-01"), ("s1", "2003-01-01"), ("s2", "2003-02-01"), ("s3", None)]
     with pytest.raises(IntegrityError, match="one_open"):
         tiers.publish_tiers(history({"id": "x", "start_at": "2001-01-01"}, {"id": "x", "start_at": "2002-01-01"}), "two_open", root, SMALL)
+
+
+@settings(max_examples=4, deadline=None, phases=[Phase.generate], suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.lists(_values, min_size=1, max_size=3, unique_by=lambda r: r["id"]), min_size=2, max_size=4),
+    st.sampled_from(["a", "b", "c"]),
+    st.integers(0, 3),
+    st.booleans(),
+)
+def test_a_held_entity_holds_up_nobody_else(spark, history, batch, batches, bad_id, bad_at, at_once):
+    """Equal to the replay without the records from the first on that can't be placed."""
+    scd, records = start(history), []
+    for i, members in enumerate(batches):
+        on = dt.date(2003, 1, 1) + dt.timedelta(days=10 * i)
+        records += [{**r, "since": on - dt.timedelta(days=r["lag"]), "treated": on, "batch": on} for r in members]
+    days = sorted({r["batch"] for r in records})
+    day = days[min(bad_at, len(days) - 1)]
+    twice = [{"id": bad_id, "sector": s, "on": day, "batch": day} for s in ("p", "q")]  # they differ
+    keyless = {"id": None, "on": days[0], "batch": days[0]}
+    todo = batch(*records, *twice, keyless)
+    waits = F.col("id").isNull() | ((F.col("id") == bad_id) & (F.col("batch_date") >= F.lit(day)))
+    name, root = published(spark, scd)
+    for d in [None] if at_once else days:
+        part = todo if d is None else todo.filter(F.col("batch_date") == F.lit(d))
+        done = tiers.publish_applied(spark, name, root, versions.newest(spark, name, root), part, SMALL, hold=True)
+        assert done.halted_on is None
+    good = todo.filter(~F.coalesce(waits, F.lit(False)))
+    wanted = replay(scd, good, SMALL).history if not good.isEmpty() else scd
+    assert rows(spark.table(name)) == rows(wanted)
+    held = tiers.held_records(spark, name, root)
+    assert rows(held.select("id", "sector", "batch_date")) == rows(todo.filter(waits).select("id", "sector", "batch_date").distinct())
+
+
+def test_held_records_are_applied_when_they_can_be(spark, history, batch):
+    """A record of an entity that ended later waits; when its period is there it is taken in."""
+    name, root = published(spark, start(history))
+    early = {"id": "b", "on": "2000-06-01", "batch": "2003-01-02"}  # reopens on a day that a closed period covers
+    other = {"id": "d", "sector": "s2", "on": "2003-01-01", "batch": "2003-01-02"}
+    queued = f"{name}_queue"
+    Q.append_to_queue(batch(early, other), queued)
+    assert ingestion.apply_pending(spark, name, root, queued, SMALL, hold=True) is None
+    assert spark.table(queued).isEmpty() and tiers.held_records(spark, name, root).count() == 1
+    assert rows(spark.table(name).filter("id = 'd' AND end_at IS NULL"), "sector") == [("s2",)]
+    # an earlier batch opens b, so the waiting record is no change any more
+    Q.append_to_queue(batch({"id": "b", "on": "2002-06-01", "batch": "2002-07-02"}), queued)
+    assert ingestion.apply_pending(spark, name, root, queued, SMALL, hold=True) is None
+    assert tiers.held_records(spark, name, root) is None
+    assert rows(spark.table(name).filter("id = 'b' AND end_at IS NULL"), "start_at") == [("2002-06-01",)]
+    plain = "plain_hold"
+    from annalist.plans.publish import publish
+    publish(start(history), plain, root)
+    Q.append_to_queue(batch(other), queued)
+    with pytest.raises(ValueError, match="tiers"):
+        ingestion.apply_pending(spark, plain, root, queued, SMALL, hold=True)
