@@ -239,11 +239,20 @@ def _build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_initial(staged(spark, sf_dir, "stock"), staged(spark, sf_dir, "history"), LOAD_DATE)
 
 
+def _build_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history table of the customers of all nations, without the region's filter."""
+    everyone = staged(spark, sf_dir, "full_stock")
+    wanted = ["siret", "dateDebut", "dateFin", *SPEC.source_tracked]
+    past = history_semi(history_text(spark, sf_dir).select(*wanted), multi_period_keys(everyone), SPEC.key)
+    return scd2_initial(everyone, past, LOAD_DATE)
+
+
 _BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_stock": full_stock,
     "stock": _build_stock,
     "history": _build_history,
     "silver": _build_silver,
+    "everywhere": _build_everywhere,
     "delta": delta,
 }
 _STAGED: dict[tuple[str, str, str], DataFrame] = {}

@@ -45,6 +45,7 @@ def queries() -> dict[str, Query]:
 stock = partial(B.staged, name="stock")
 history = partial(B.staged, name="history")
 silver = partial(B.staged, name="silver")
+everywhere = partial(B.staged, name="everywhere")
 delta = partial(B.staged, name="delta")
 
 
@@ -491,6 +492,22 @@ def sector_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.sector_trends(silver(spark, sf_dir), B.SPINE_START, B.SPINE_END)
 
 
+@query
+def sector_trends_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers of all nations; the other trend queries are about the region that is loaded."""
+    return T.sector_trends(everywhere(spark, sf_dir), B.SPINE_START, B.SPINE_END)
+
+
+@query
+def regional_activity_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.regional_activity(sector_trends_everywhere(spark, sf_dir))
+
+
+@query
+def current_snapshot_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.current_snapshot(everywhere(spark, sf_dir))
+
+
 @query
 def sector_trends_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closures and reopenings counted only where the state changes."""
