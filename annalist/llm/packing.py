@@ -30,9 +30,8 @@ from annalist.llm.sharding import global_position
 from annalist.llm.words import ship, with_columns
 from annalist.session import materialize
 
-ROUNDS = 240
 #: distinct chunks a worker remembers; the memory of the cache, not a limit on the texts
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 200_000
 _UNSAFE = re.compile(r" (?:\s|\Z)")
 #: fixed value: how byte-level BPE files of this kind split a text before merging
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -130,60 +129,101 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
     return docs.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _priced(lengths: np.ndarray, price: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of most value: an unbounded knapsack over the capacity."""
-    best = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1)
-    for c in range(int(lengths[0]), capacity + 1):
-        fits = np.searchsorted(lengths, c, "right")
-        value = best[c - lengths[:fits]] + price[:fits]
-        k = int(value.argmax())
-        if value[k] > best[c - 1]:
-            best[c], last[c] = value[k], k
-        else:
-            best[c] = best[c - 1]
-    out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if last[c] < 0:
-            c -= 1
-            continue
-        out[int(last[c])] = out.get(int(last[c]), 0) + 1
-        c -= int(lengths[last[c]])
-    return out
-
-
-def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations (lengths in a sequence, longest first) and how many sequences each has."""
-    left = {n: k for n, k in histogram.items() if k and n < capacity}
-    plan = [((capacity,), histogram[capacity])] if histogram.get(capacity) else []
-    if not left:
-        return plan
-    lengths = np.array(sorted(left))
-    demand = np.array([left[int(n)] for n in lengths], float)
-    covered = np.zeros(len(lengths))
-    fractions: dict[tuple[tuple[int, int], ...], float] = {}
-    for _ in range(rounds):
-        uncovered = covered < 1
-        if not uncovered.any():
+class _Knapsack:
+    """The most valuable filling of every room up to the capacity, by dynamic programming over the lengths that are left.
+
+    A length goes in as bundles of 1, 2, 4, ... pieces, so that no filling holds more pieces than there are.
+    """
+
+    def __init__(self, lengths: np.ndarray, rest: np.ndarray, price: np.ndarray, capacity: int) -> None:
+        self.lengths, self.bundles = lengths, []
+        for k, (n, left) in enumerate(zip(lengths.tolist(), rest.tolist(), strict=True)):
+            left, size = min(left, capacity // n), 1
+            while left > 0:
+                self.bundles.append((k, min(size, left)))
+                left, size = left - size, 2 * size
+        value = np.zeros(capacity + 1)
+        #: after each bundle, the last one that the filling of a room holds
+        kind = np.int16 if len(self.bundles) < 1 << 15 else np.int32
+        self.last = np.full((len(self.bundles) + 1, capacity + 1), -1, kind)
+        for b, (k, m) in enumerate(self.bundles):
+            weight = int(lengths[k]) * m
+            other = value[: capacity + 1 - weight] + price[k] * m
+            better = other > value[weight:] + 1e-9
+            self.last[b + 1] = self.last[b]
+            self.last[b + 1, weight:][better] = b
+            value[weight:] = np.where(better, other, value[weight:])
+
+    def filling(self, room: int) -> tuple[dict[int, int], int]:
+        """Lengths and how often each, and what stays empty."""
+        out: dict[int, int] = {}
+        row = len(self.bundles)
+        while (b := int(self.last[row, room])) >= 0:
+            k, m = self.bundles[b]
+            out[k] = out.get(k, 0) + m
+            room, row = room - int(self.lengths[k]) * m, b
+        return out, room
+
+
+#: a configuration is taken for half of the sequences it could fill, so that others share its lengths
+STEP = 0.5
+#: shares of the tokens at which the state is kept, to hand over to best fit from
+HAND_OVER = (0.8, 0.9, 0.95, 0.98, 0.99)
+Plan = list[tuple[tuple[int, ...], int]]
+
+
+def solve(histogram: dict[int, int], capacity: int) -> Plan:
+    """Configurations (lengths in a sequence, longest first) and how many sequences each has.
+
+    Rounds of pricing: a knapsack under weights, which fall as a length is covered, gives for every length that is left the best
+    configuration with it. Those without waste are taken, in whole sequences. The rounds end when none is left without
+    waste. What rounding leaves is packed by best fit, from the latest kept state that gives the fewest sequences.
+    """
+    plan: Plan = [((capacity,), histogram[capacity])] if histogram.get(capacity) else []
+    lengths = np.array(sorted(n for n, k in histogram.items() if k and n < capacity), np.int64)
+    demand = np.array([histogram[int(n)] for n in lengths], np.int64)
+    rest, total = demand.copy(), int((lengths * demand).sum())
+    states, ahead = [(len(plan), demand)], list(HAND_OVER)
+    while (rest > 0).any() and _round(lengths, demand, rest, capacity, plan):
+        share = 1 - int((lengths * rest).sum()) / total
+        if ahead and share >= ahead[0]:
+            states.append((len(plan), rest.copy()))
+            ahead = [s for s in ahead if s > share]
+    states.append((len(plan), rest))
+    bound = -(-sum(n * k for n, k in histogram.items()) // capacity)
+    best: tuple[int, Plan] | None = None
+    for n, left in reversed(states):
+        whole = plan[:n] + best_fit(dict(zip(lengths.tolist(), left.tolist(), strict=True)), capacity)
+        used = sum(copies for _, copies in whole)
+        if best is None or used < best[0]:
+            best = used, whole
+        if used == bound:
             break
-        # a covered length is worth next to nothing, so the knapsack turns to the others
-        price = lengths / capacity * np.exp(-2.0 * np.minimum(covered, 20)) * np.where(uncovered, 1, 1e-6)
-        config = tuple(sorted(_priced(lengths, price, capacity).items()))
-        at, count = np.array([k for k, _ in config]), np.array([c for _, c in config])
-        room = np.maximum(demand[at] * (1 - covered[at]), 0.05 * demand[at])
-        step = (room / count).min()
-        fractions[config] = fractions.get(config, 0.0) + step
-        covered[at] += step * count / demand[at]
-    rest = demand.astype(np.int64)
-    for config, x in sorted(fractions.items(), key=lambda e: (-e[1], e[0])):
-        at, count = np.array([k for k, _ in config]), np.array([c for _, c in config])
-        copies = min(int(x + 1e-9), int((rest[at] // count).min()))
-        waste = capacity - int((lengths[at] * count).sum())
-        if copies and not waste:
+    return best[1]
+
+
+def _round(lengths: np.ndarray, demand: np.ndarray, rest: np.ndarray, capacity: int, plan: Plan) -> int:
+    """One pricing round; takes pieces out of ``rest`` and gives the number of sequences."""
+    alive = np.flatnonzero(rest > 0)
+    some = lengths[alive]
+    # a token is worth a token; among equal fillings the less covered and the longer ones count
+    weight = np.exp(rest[alive] / demand[alive] - 1) * (some / capacity) ** 1.5
+    knapsack, placed = _Knapsack(some, rest[alive], some + 0.9 * weight, capacity), 0
+    for i in range(len(some) - 1, -1, -1):
+        if rest[alive[i]] <= 0:
+            continue
+        config, waste = knapsack.filling(capacity - int(some[i]))
+        if waste:
+            continue
+        config[i] = config.get(i, 0) + 1
+        at, count = alive[list(config)], np.array(list(config.values()))
+        most = int((rest[at] // count).min())
+        if most:
+            copies = max(1, int(most * STEP))
             rest[at] -= copies * count
-            plan.append((tuple(int(lengths[k]) for k, c in reversed(config) for _ in range(c)), copies))
-    return plan + best_fit(dict(zip(lengths.tolist(), rest.tolist(), strict=True)), capacity)
+            placed += copies
+            plan.append((tuple(sorted((int(n) for n, c in zip(lengths[at], count, strict=True) for _ in range(c)), reverse=True)), copies))
+    return placed
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:

@@ -22,7 +22,7 @@ from annalist.session import materialize, shared_dir
 
 U64 = np.uint64
 #: distinct words a worker remembers; the memory of the cache, not a limit on the texts
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 _SHIPPED: set[str] = set()
 
 

@@ -381,7 +381,7 @@ def test_plan_is_a_packing_near_the_bound():
     rng = random.Random(5)
     for n in (1, 30, 3000):
         histogram = Counter(min(64, 1 + int(rng.expovariate(1 / 14))) for _ in range(n))
-        plan = packing.solve(dict(histogram), 64, rounds=60)
+        plan = packing.solve(dict(histogram), 64)
         used = Counter()
         for config, copies in plan:
             assert sum(config) <= 64 and copies > 0
@@ -391,6 +391,42 @@ def test_plan_is_a_packing_near_the_bound():
         assert used == histogram and sum(c for _, c in plan) <= 1.02 * bound + 1
 
 
+def test_the_linear_program_packs_most_tokens(monkeypatch):
+    """Best fit gets what rounding leaves, also where every length is rare."""
+    rng = random.Random(6)
+    for n, capacity in ((20_000, 512), (900, 2048), (400, 2048)):
+        histogram = Counter(min(capacity, 1 + int(rng.lognormvariate(4.5, 1.2))) for _ in range(n))
+        given, fit = [], packing.best_fit
+        monkeypatch.setattr(packing, "best_fit", lambda h, c, given=given, fit=fit: given.append(sum(k * v for k, v in h.items())) or fit(h, c))
+        plan = packing.solve(dict(histogram), capacity)
+        monkeypatch.undo()
+        used = Counter()
+        for config, copies in plan:
+            assert sum(config) <= capacity
+            used.update({x: copies * config.count(x) for x in set(config)})
+        tokens = sum(k * v for k, v in histogram.items() if k < capacity)
+        bound = -(-sum(k * v for k, v in histogram.items()) // capacity)
+        assert used == histogram and sum(c for _, c in plan) <= bound + 1
+        assert min(given) <= 0.2 * tokens
+    assert packing.solve({}, 64) == [] and packing.solve({64: 3}, 64) == [((64,), 3)]
+
+
+def test_knapsack_equals_trying_all():
+    rng = random.Random(7)
+    for _ in range(40):
+        lengths = np.array(sorted(rng.sample(range(1, 12), 4)))
+        rest, price = np.array([rng.randint(1, 3) for _ in lengths]), np.array([rng.random() for _ in lengths])
+        knapsack = packing._Knapsack(lengths, rest, price, 20)
+        for room in (7, 13, 20):
+            found, waste = knapsack.filling(room)
+            assert all(found[k] <= rest[k] for k in found) and sum(lengths[k] * c for k, c in found.items()) + waste == room
+            best = 0.0
+            for counts in np.ndindex(*(rest + 1)):
+                if sum(lengths * counts) <= room:
+                    best = max(best, float(sum(price * counts)))
+            assert abs(sum(price[k] * c for k, c in found.items()) - best) < 1e-6
+
+
 def test_pack(spark, corpus):
     path = tokenizer_file("byte_bpe_50k.json")
     encoder = packing.Encoder(path)
