@@ -20,6 +20,7 @@ from annalist.operators import scd2 as S
 from annalist.operators import trend_sums as D
 from annalist.operators import trends as T
 from annalist.plans import ingestion, publish, replay, tiers, versions
+from annalist.plans import trends as follow
 from annalist.session import materialize, new_path
 from annalist.sources import chunks, files, queue
 from annalist.spec import ESTABLISHMENTS as SPEC
@@ -524,6 +525,20 @@ def differential_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.trends_from_sums(D.add_sums(published, change), B.SPINE_START, B.SPINE_END)
 
 
+@query
+def refreshed_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published sums that follow a history in tiers: made from the whole once, then changed by two runs and a merge."""
+    suffix, root = B.fresh_name(""), new_path(spark, "published")
+    name, sums = f"history{suffix}", f"sums{suffix}"
+    tiers.publish_tiers(silver(spark, sf_dir), name, root, buckets=8)
+    follow.refresh_trend_sums(spark, name, sums, root)
+    batches, early = delta(spark, sf_dir), F.dayofmonth("batch_date") <= 15
+    for part in (early, ~early):
+        tiers.publish_applied(spark, name, root, versions.newest(spark, name, root), batches.filter(part), buckets=8)
+        found = follow.refresh_trend_sums(spark, name, sums, root)
+    return D.trends_from_sums(found, B.SPINE_START, dt.date(2024, 2, 10))
+
+
 # --- windows, scores, order, set operations ---------------------------------------------
 
 

@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annalist.plans.versions import newest_number, read_version
+from annalist.plans.versions import MADE_FROM, newest_number, read_version
 from annalist.session import shared_dir
 
 _PATH = re.compile(r"parquet\.`([^`]+)`")
@@ -28,14 +28,22 @@ def _plain(path: str) -> str:
 
 def _live(spark: SparkSession, names: list[str], root: str, keep: int) -> tuple[set[str], set[str]]:
     """Paths and tables that the newest versions of the names read or note."""
-    paths, tables = set(), set()
+    kept = {}
     for name in names:
         last = newest_number(spark, name, root)
-        for number in range(max(1, last - keep + 1), last + 1):
-            version = read_version(spark, name, root, number)
-            paths |= {_plain(p) for p in _PATH.findall(version.query)}
-            paths |= {_plain(v) for v in version.notes.values()}
-            tables |= set(_TABLE.findall(version.query))
+        kept |= {(name, n): read_version(spark, name, root, n) for n in range(max(1, last - keep + 1), last + 1)}
+    for version in list(kept.values()):
+        # what a table was made from is compared with its successor when the table is brought up to date, and so are
+        # the keys that the versions between have touched
+        of, _, number = version.notes.get(MADE_FROM, "").rpartition(":")
+        if of in names:
+            kept |= {(of, n): read_version(spark, of, root, n) for n in range(int(number), newest_number(spark, of, root) + 1)}
+    paths, tables = set(), set()
+    for version in kept.values():
+        needed = " ".join([version.query, *(f"FROM {s}" for s in (version.layout or {}).values() if isinstance(s, str))])
+        paths |= {_plain(p) for p in _PATH.findall(needed)}
+        paths |= {_plain(v) for v in version.notes.values()}
+        tables |= set(_TABLE.findall(needed))
     return paths, tables
 
 

@@ -52,6 +52,8 @@ class Tiers:
     #: records that wait, because one of their entity can't be placed
     held: str | None = None
     n_held: int = 0
+    #: keys of the entities that differ from the version before; empty if none does, None if that isn't known
+    touched: str | None = None
     #: runs so far
     run: int = 0
 
@@ -211,7 +213,7 @@ def apply_to_tiers(
     still_open = F.get(F.filter("periods", lambda p: p[spec.end].isNull()), F.lit(0))
     heads = folded.withColumn("_open", still_open)
     heads = heads.select(spec.key, *[F.col("_open")[c].cast(spec.column(c).dtype).alias(c) for c in names], F.col("ended").alias(ENDED))
-    new = replace(tiers, run=run)
+    new = replace(tiers, run=run, touched=write_snapshot(touched, f"{name}_touched", root))
     overlay = heads if not tiers.overlay else _replace_rows(spark, tiers.overlay, heads, spec)
     new = replace(new, overlay=write_snapshot(overlay, f"{name}_overlay", root))
     new = replace(new, n_overlay=_count(spark, new.overlay))
@@ -348,7 +350,7 @@ def fold_in(
         rows = spark.sql(tiers._closed_query(spec, merged))
         new = (written(rows, "closed") if fixes else write_snapshot(rows, f"{name}_segment", root), tiers.run)
         closed = (new,) if fixes else (tiers.closed[0], new)
-    folded = replace(tiers, heads=heads, n_heads=n_heads, closed=closed, overlay=None, n_overlay=0)
+    folded = replace(tiers, heads=heads, n_heads=n_heads, closed=closed, overlay=None, n_overlay=0, touched="")
     if fixes:
         folded = replace(folded, fixes=None, n_fixes=0)
     commit(spark, name, root, folded.query(spec), None, base.number, asdict(folded))

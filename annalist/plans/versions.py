@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 NOTE = "annalist."
 #: the note that holds the number of the version a view shows
 NUMBER = f"{NOTE}version"
+#: the note that names the version of another table that this one was made from, as ``name:number``
+MADE_FROM = f"{NOTE}made_from"
 
 
 class Conflict(Exception):

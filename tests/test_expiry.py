@@ -45,7 +45,7 @@ def test_all_parts_of_a_history_in_tiers_stay(spark, history, batch, monkeypatch
         todo = batch({"id": "a", "sector": f"s{i}", "area": f"0{i}001", "on": f"2003-0{i}-01", "batch": f"2003-0{i}-01"})
         tiers.publish_applied(spark, name, root, versions.newest(spark, name, root), todo, SMALL, buckets)
     before = rows(spark.table(name))
-    assert expiry.expire(spark, root, LATER) == 4  # the overlays and fixes of two runs
+    assert expiry.expire(spark, root, LATER) == 6  # overlays, fixes and touched keys of two runs
     assert rows(spark.table(name)) == before
     tiers.fold_in(spark, name, root, SMALL, buckets, fixes=True)
     assert expiry.expire(spark, root, LATER) >= 6

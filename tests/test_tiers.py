@@ -219,3 +219,43 @@ def test_held_records_are_applied_when_they_can_be(spark, history, batch):
     Q.append_to_queue(batch(other), queued)
     with pytest.raises(ValueError, match="tiers"):
         ingestion.apply_pending(spark, plain, root, queued, SMALL, hold=True)
+
+
+def test_trend_sums_follow_a_history(spark, history, batch, monkeypatch):
+    """By the touched entities while every version says which they are, from the whole table else."""
+    from annalist.operators import trend_sums as D
+    from annalist.plans import expiry, publish
+    from annalist.plans import trends as follow
+
+    name, root = published(spark, start(history))
+    sums, whole = f"{name}_sums", []
+    made = follow.trend_sums
+    monkeypatch.setattr(follow, "trend_sums", lambda *args, **kwargs: whole.append(1) or made(*args, **kwargs))
+
+    def refreshed():
+        found = rows(follow.refresh_trend_sums(spark, name, sums, root, spec=SMALL))
+        assert found == rows(D.trend_sums(spark.table(name), spec=SMALL))
+        return found
+
+    first = refreshed()
+    assert len(whole) == 1
+    records = [{"id": i, "state": s, "area": "03001", "on": f"2003-0{m}-05", "batch": f"2003-0{m}-06"} for i, s, m in
+               [("a", "F", 1), ("new", "A", 2), ("a", "A", 3), ("d", "A", 4)]]
+    apply(spark, name, root, batch(records[0]))
+    assert refreshed() != first
+    for r in records[1:3]:  # two versions at once
+        apply(spark, name, root, batch(r))
+    refreshed()
+    number = versions.newest_number(spark, sums, root)
+    refreshed()
+    assert versions.newest_number(spark, sums, root) == number  # nothing new, nothing published
+    tiers.fold_in(spark, name, root, SMALL, fixes=True)
+    apply(spark, name, root, batch(records[3]))
+    # what the sums were made from is still there for the comparison
+    monkeypatch.setattr(expiry, "shared_dir", lambda _: new_path(spark, "none"))
+    expiry.expire(spark, root, dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=1))
+    refreshed()
+    assert len(whole) == 1
+    publish.publish(start(history), name, root)  # a table that does not say what it touched
+    refreshed()
+    assert len(whole) == 2
