@@ -34,6 +34,7 @@ from annalist.llm.words import (
     Likely,
     batched,
     byte_texts,
+    give_back,
     mix,
     part_of,
     partitions_for,
@@ -162,6 +163,7 @@ def _stored_sets(docs: DataFrame, k: int, likely: Likely, folder: str) -> DataFr
             yield from batched(rows(), _STORED)
         finally:
             out.close()
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, file string, place long")
 
@@ -181,6 +183,7 @@ def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["part", "packed"]
             )
+        give_back()
 
     def meet(table: pa.Table) -> pa.Table:
         both = [np.frombuffer(x, np.int64) for x in table.column("packed").to_pylist()]

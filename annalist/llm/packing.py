@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annalist.llm.sharding import global_position
-from annalist.llm.words import ship, with_columns
+from annalist.llm.words import give_back, ship, with_columns
 from annalist.session import materialize
 
 #: distinct chunks a worker remembers; the memory of the cache, not a limit on the texts
@@ -107,24 +107,30 @@ def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head), *[(s, capacity) for s in range(head, n, capacity)]]
 
 
+def _cut(batches: Iterator[pa.RecordBatch], encoder: Encoder, end: np.ndarray, capacity: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows: list[tuple] = []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids = np.concatenate([encoder.encode(text or ""), end])
+            for k, (s, n) in enumerate(pieces_of(len(ids), capacity)):
+                rows.append((doc_id, k, s, n, zlib.crc32(ids[s : s + n].tobytes())))
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+            ["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         end = np.array([end_id], "<u4")
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.concatenate([encoder.encode(text or ""), end])
-                for k, (s, n) in enumerate(pieces_of(len(ids), capacity)):
-                    rows.append((doc_id, k, s, n, zlib.crc32(ids[s : s + n].tobytes())))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+        yield from _cut(batches, encoder, end, capacity)
+        del encoder
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

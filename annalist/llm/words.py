@@ -7,6 +7,8 @@ millions of small entries cross a shuffle as a few rows.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -41,6 +43,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def give_back() -> None:
+    """Return the memory that a task has freed to the system, so that an idle worker does not hold it.
+
+    Spark keeps workers for the next stage, beside the ones that work; does nothing where the C library can't.
+    """
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class _Hashes(dict):
     """Word to 64-bit hash, the same on every machine."""
 

@@ -141,7 +141,8 @@ def test_tool_calls_run_no_python(spark):
 @pytest.mark.parametrize("name", list(Q.oracle_sql()))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    for table in ("conversations", "documents"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     twin = duck.execute(Q.oracle_sql()[name])
     columns = [d[0] for d in twin.description]
     got = Q.queries()[name](spark, SF).select(*columns)
