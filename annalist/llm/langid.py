@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.words import U64, give_back, mix, ship, with_columns
+from annalist.llm.words import U64, few_rows, give_back, mix, ship, with_columns
 from annalist.session import materialize
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 15, 16, 6, 0.5
@@ -275,7 +275,7 @@ def accepted(docs: DataFrame, model: Model | None, text_column: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _Judge(shared.value)
-        for batch in batches:
+        for batch in few_rows(batches):
             at = batch.schema.get_field_index(text_column)
             yield batch.filter(pa.array([not v[2] for v in judge(batch.column(at).to_pylist())], pa.bool_()))
         del judge

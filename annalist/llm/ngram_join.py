@@ -34,6 +34,7 @@ from annalist.llm.words import (
     Likely,
     batched,
     byte_texts,
+    few_rows,
     give_back,
     mix,
     part_of,
@@ -123,7 +124,7 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
     """Rows (doc_id, n, s1, s2): size and signature of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             n, sigs = [], []
             for text in byte_texts(batch.column("text")):
                 s = shingle_set(text, k)
@@ -152,7 +153,7 @@ def _stored_sets(docs: DataFrame, k: int, likely: Likely, folder: str) -> DataFr
         out = Writer(folder)
 
         def rows() -> Iterator[tuple]:
-            for batch in batches:
+            for batch in few_rows(batches):
                 batch = batch.filter(pa.array(likely.has(batch.column("doc_id"))))
                 for doc, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True):
                     s = shingle_set(text, k)
@@ -172,7 +173,7 @@ def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts:
     """Rows (u, v): the set of u has a key in common with that of v, the smallest that has it; of likely documents."""
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches, 4096):
             batch = batch.filter(pa.array(likely.has(batch.column("doc_id"))))
             keys = [limit.keys(shingle_set(text, k)) for text in byte_texts(batch.column("text"))]
             if not keys:

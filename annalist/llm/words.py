@@ -111,6 +111,13 @@ def with_columns(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in columns.items()])
 
 
+def few_rows(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task turns few texts into Python values at once."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
 def split_by(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each part with the positions of its entries, in their order."""
     order = np.argsort(part, kind="stable")
