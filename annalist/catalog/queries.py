@@ -96,11 +96,8 @@ def rescued_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and column of every value that did not cast, with its text."""
     stock_rows, records = _rescued(spark, sf_dir)
     day = F.lit(None).cast("date").alias("batch_date")
-    found = [
-        stock_rows.select("siret", day, F.explode(queue.RESCUED).alias("column", "text")),
-        records.select("siret", "batch_date", F.explode(queue.RESCUED).alias("column", "text")),
-    ]
-    return found[0].unionByName(found[1])
+    found = R.rescued_texts(stock_rows, queue.RESCUED, "siret", day)
+    return found.unionByName(R.rescued_texts(records, queue.RESCUED, "siret", "batch_date"))
 
 
 @query

@@ -63,6 +63,17 @@ def flatten_nested(df: DataFrame, spec: TableSpec = ESTABLISHMENTS, rescue: str
     )
 
 
+def rescued_texts(df: DataFrame, rescue: str, *kept: Column | str) -> DataFrame:
+    """Rows ``(kept, column, text)``, one per value in the ``rescue`` column.
+
+    The entries are exploded, not the column: for a column the optimizer filters rows by the map's size first, below the
+    projection that parses and casts, and parses a record again for every cast.
+    """
+    entries = df.select(*kept, F.explode(F.map_entries(rescue)).alias("_entry"))
+    names = [c for c in entries.columns if c != "_entry"]
+    return entries.select(*names, F.col("_entry.key").alias("column"), F.col("_entry.value").alias("text"))
+
+
 def dedup_exact(df: DataFrame) -> DataFrame:
     """Drop fully identical rows."""
     return df.dropDuplicates()

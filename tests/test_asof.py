@@ -11,6 +11,7 @@ from annalist.functions import rescued
 from annalist.operators import rows as R
 from annalist.operators.asof import as_of
 from annalist.operators.quality import check_rescued
+from annalist.sources import files
 from annalist.spec import ESTABLISHMENTS
 
 _day = st.dates(dt.date(2000, 1, 1), dt.date(2000, 1, 12))
@@ -91,3 +92,16 @@ def test_flatten_rescues_at_any_depth(spark):
     assert R.flatten_nested(df, rescue="_r").first()["_r"] == {
         "dateCreationEtablissement": "bad", "coordonneeLambertAbscisseEtablissement": "[ND]", "dateDebut": "never"}
     assert "_r" not in R.flatten_nested(df).columns
+
+
+def test_rescued_texts_parse_a_record_once(spark):
+    lines = spark.createDataFrame(
+        [('{"siret":"1","dateCreationEtablissement":"bad","periodesEtablissement":[{"dateDebut":"never"}]}',), ('{"siret":"2"}',), (None,)],
+        "value string",
+    )
+    nested = files.ingest_nested_json(lines, files.nested_delta_schema(ESTABLISHMENTS), dt.date(2001, 8, 1))
+    found = R.rescued_texts(R.flatten_nested(nested, rescue="_r"), "_r", "siret", "batch_date")
+    assert found.columns == ["siret", "batch_date", "column", "text"]
+    day = dt.date(2001, 8, 1)
+    assert sorted(found.collect()) == [("1", day, "dateCreationEtablissement", "bad"), ("1", day, "dateDebut", "never")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
