@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ class Level:
 @dataclass
 class Model:
     parts: int
-    pairs: dict[int, tuple[str, int]]  # range: file, number of pairs
+    pairs: dict[int, tuple[str, int, int]]  # range: file, number of pairs, of those that occur more than once
     words: dict[int, tuple[str, int, int]]  # range: file, number of first words, number of second words
     high: Level
     low: Level
@@ -121,8 +122,8 @@ class Reader:
         if (kind, part) not in self.maps:
             m = self.model
             if kind == "pairs" and part in m.pairs:
-                file, n = m.pairs[part]
-                found = map_arrays(file, [("<u8", n), ("<u4", n)])
+                file, n, more = m.pairs[part]
+                found = map_arrays(file, [("<u8", n - more), ("<u8", more), ("<u4", more)])
             elif kind == "words" and part in m.words:
                 file, k, n = m.words[part]
                 found = map_arrays(file, [("<u8", k), ("<i8", 4 * k), ("<u8", n), ("<u4", n)])
@@ -143,8 +144,11 @@ class Reader:
         out = np.zeros(len(key), np.int64)
         for part, i in split_by(part_of(key, self.model.parts)):
             if shard := self._shard("pairs", part):
-                where, hit = self._find(shard[0], key[i])
-                out[i[hit]] = shard[1][where[hit]]
+                _, once = self._find(shard[0], key[i])
+                out[i[once]] = 1
+                i = i[~once]
+                where, hit = self._find(shard[1], key[i])
+                out[i[hit]] = shard[2][where[hit]]
         return out[np.searchsorted(key, pair_hash(v, w))]
 
     def word(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,8 +222,10 @@ def train(docs: DataFrame) -> Model:
         starts, _ = runs(key[order])
         c = np.add.reduceat(c[order], starts)
         v, w, key = v[order][starts], w[order][starts], key[order][starts]
-        file = write_arrays(folder, f"pairs-{part}", [key, c.astype("<u4")])
-        rows = [(part, None, file, [len(key), int(c.sum()), *_of_counts(c)])]
+        # most pairs occur once, which needs no number
+        once = c == 1
+        file = write_arrays(folder, f"pairs-{part}", [key[once], key[~once], c[~once].astype("<u4")])
+        rows = [(part, None, 2, file, [len(key), int((~once).sum()), int(c.sum()), *_of_counts(c)])]
         first, at = np.unique(v, return_inverse=True)
         stats = np.stack([np.bincount(at, x, len(first)) for x in (c, c == 1, c == 2, c > 2)], 1).astype("<i8")
         second, before = np.unique(w, return_counts=True)
@@ -232,13 +238,18 @@ def train(docs: DataFrame) -> Model:
             for p, i in split_by(part_of(word, parts)):
                 one, more = i[~several[i]], i[several[i]]
                 head = np.array([side, len(one), len(more)], "<u4").tobytes()
-                rows.append((p, head + word[one].tobytes() + word[more].tobytes() + numbers[more].tobytes(), None, None))
+                rows.append((p, head + word[one].tobytes() + word[more].tobytes() + numbers[more].tobytes(), None, None, None))
         return _table(rows)
 
     def add_words(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
+        # the row that names the file of this range's pairs goes through
+        rows = [tuple(r.values()) for r in table.filter(pc.is_valid(table.column("file"))).to_pylist()]
+        packed = table.column("packed").drop_null()
+        if not len(packed):
+            return _table(rows)
         words, numbers = ([], []), ([], [])
-        for x in table.column("packed").to_pylist():
+        for x in packed.to_pylist():
             side, one, more = np.frombuffer(x, "<u4", 3).tolist()
             at = 12 + 8 * (one + more)
             words[side].append(np.frombuffer(x, U64, one + more, 12))
@@ -258,37 +269,36 @@ def train(docs: DataFrame) -> Model:
         if len(w):
             n = np.bincount(at, np.concatenate(numbers[1]), len(w)).astype(np.int64)
         file = write_arrays(folder, f"words-{part}", [v, stats.ravel(), w, n.astype("<u4")])
-        return _table([(part, None, file, [len(v), len(w), int(n.sum()), *_of_counts(n), int((n > 2).sum())])])
+        return _table([*rows, (part, None, 1, file, [len(v), len(w), int(n.sum()), *_of_counts(n), int((n > 2).sum())])])
 
-    kinds = "part int, packed binary, file string, info array<long>"
+    kinds = "part int, packed binary, level int, file string, info array<long>"
     counted = docs.mapInArrow(count, "part int, packed binary").groupBy("part").applyInArrow(add_pairs, kinds)
-    counted = materialize(counted, "pairs")
-    added = counted.filter("packed is not null").select("part", "packed").groupBy("part").applyInArrow(add_words, kinds)
-    added = materialize(added, "words")
+    # what the pairs say of their words goes straight on to the words' ranges, and is on disk once, as this shuffle
+    made = materialize(counted.groupBy("part").applyInArrow(add_words, kinds).drop("packed"), "files")
     # one short row per file
-    pairs = counted.filter("file is not null").select("part", "file", "info").collect()
-    words = added.select("part", "file", "info").collect()
-    n = [sum(r["info"][k] for r in pairs) for k in range(6)]
+    files = made.collect()
+    pairs, words = ([r for r in files if r["level"] == level] for level in (2, 1))
+    n = [sum(r["info"][k] for r in pairs) for k in range(7)]
     k = [sum(r["info"][k] for r in words) for k in range(1, 8)]
-    high, low = Level.of(n[1], n[2:6]), Level.of(k[1], k[2:6])
+    high, low = Level.of(n[2], n[3:7]), Level.of(k[1], k[2:6])
     left = (low.discounts[0] * k[2] + low.discounts[1] * k[3] + low.discounts[2] * k[6]) / k[1] if k[1] else 1.0
     return Model(
         parts,
-        {r["part"]: (r["file"], r["info"][0]) for r in pairs},
+        {r["part"]: (r["file"], r["info"][0], r["info"][1]) for r in pairs},
         {r["part"]: (r["file"], r["info"][0], r["info"][1]) for r in words},
         high,
         low,
         left,
         n_docs,
-        n[1],
+        n[2],
         k[0],
     )
 
 
 def _table(rows: list[tuple]) -> pa.Table:
-    kinds = (pa.int32(), pa.binary(), pa.string(), pa.list_(pa.int64()))
+    kinds = (pa.int32(), pa.binary(), pa.int32(), pa.string(), pa.list_(pa.int64()))
     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-    return pa.Table.from_arrays(columns, ["part", "packed", "file", "info"])
+    return pa.Table.from_arrays(columns, ["part", "packed", "level", "file", "info"])
 
 
 def score(

@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from annalist.llm import decontaminate, kneser_ney, langid, ngram_join, packing, suffix_dedup, wordpiece
 from annalist.llm.queries import tokenizer_file
 from annalist.llm.sharding import interleave, write_shards
+from annalist.session import materialize
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, part int, key long, packed binary"
 
@@ -256,6 +258,18 @@ def test_pairs_of_one_first_word_are_dealt_over_the_ranges(spark):
     assert before.tolist() == [2002, 1, 1]
 
 
+def test_counts_of_words_lie_on_disk_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b w{i} w{i + 1} c") for i in range(50)], "doc_id long, text string")
+    stored = []
+    monkeypatch.setattr(kneser_ney, "materialize", lambda df, name: stored.append(df.schema) or materialize(df, name))
+    model = kneser_ney.train(docs)
+    # the packed counts go from one shuffle to the next, and pairs that occur once have no number
+    assert "binary" not in {f.dataType.simpleString() for schema in stored for f in schema}
+    n, more = (sum(p[k] for p in model.pairs.values()) for k in (1, 2))
+    assert (n, more) == (153, 3)
+    assert sum(Path(p[0].removeprefix("file:")).stat().st_size for p in model.pairs.values()) == 8 * n + 4 * more
+
+
 def test_sharding(spark, corpus, tmp_path):
     docs = table(spark, corpus)
     got = interleave(docs, "source", ["doc_id", "text"], 7)
