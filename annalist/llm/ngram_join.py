@@ -133,6 +133,8 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(n, pa.int64())]
             columns += [pa.array([x[i] for x in sigs], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2"])
+        batch = text = s = columns = n = sigs = None
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
 
@@ -173,7 +175,8 @@ def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts:
     """Rows (u, v): the set of u has a key in common with that of v, the smallest that has it; of likely documents."""
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in few_rows(batches, 4096):
+        batch = keys = rep = key = got = None
+        for batch in few_rows(batches):
             batch = batch.filter(pa.array(likely.has(batch.column("doc_id"))))
             keys = [limit.keys(shingle_set(text, k)) for text in byte_texts(batch.column("text"))]
             if not keys:
@@ -184,18 +187,27 @@ def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], ["part", "packed"]
             )
+        batch = keys = rep = key = got = None
         give_back()
 
     def meet(table: pa.Table) -> pa.Table:
         both = [np.frombuffer(x, np.int64) for x in table.column("packed").to_pylist()]
         key = np.concatenate([x[: len(x) // 2] for x in both])
         rep = np.concatenate([x[len(x) // 2 :] for x in both])
+        del both
         order = np.lexsort((rep, key))
         key, rep = key[order], rep[order]
         starts, lengths = runs(key)
-        pairs = np.stack([rep, np.repeat(rep[starts], lengths)], 1)
-        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-        return pa.table({"u": pairs[:, 0], "v": pairs[:, 1]})
+        low = np.repeat(rep[starts], lengths)
+        differ = rep != low
+        u, v = rep[differ], low[differ]
+        del key, rep, low, differ, starts, lengths, order
+        give_back()
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        first = np.ones(len(u), bool)
+        first[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+        return pa.table({"u": u[first], "v": v[first]})
 
     scattered = docs.mapInArrow(scatter, "part int, packed binary").repartition(parts, "part")
     return scattered.groupBy("part").applyInArrow(meet, "u long, v long").distinct()

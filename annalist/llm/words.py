@@ -46,9 +46,12 @@ def ship(spark: SparkSession) -> None:
 def give_back() -> None:
     """Return the memory that a task has freed to the system, so that an idle worker does not hold it.
 
-    Spark keeps workers for the next stage, beside the ones that work; does nothing where the C library can't.
+    Spark keeps workers for the next stage, beside the ones that work; what the C library can't return stays. Arrow's
+    memory is a pool of its own, and the next task may fill the cache of hashes again.
     """
+    _HASHES.clear()
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

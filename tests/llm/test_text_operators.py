@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annalist.llm import decontaminate, kneser_ney, langid, ngram_join, packing, suffix_dedup, wordpiece
+from annalist.llm import words as common
 from annalist.llm.queries import tokenizer_file
 from annalist.llm.sharding import interleave, write_shards
 from annalist.session import materialize
@@ -258,6 +259,15 @@ def test_pairs_of_one_first_word_are_dealt_over_the_ranges(spark):
     assert before.tolist() == [2002, 1, 1]
 
 
+def test_give_back_leaves_nothing_in_an_idle_worker(monkeypatch):
+    there = []
+    pool = type("Pool", (), {"release_unused": lambda self: there.append(len(common._HASHES))})()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    common.hash_words([b"some", b"words"])
+    common.give_back()
+    assert there == [0]
+
+
 def test_counts_of_words_lie_on_disk_once(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"a b w{i} w{i + 1} c") for i in range(50)], "doc_id long, text string")
     stored = []
