@@ -84,7 +84,7 @@ def _employer(price: Column | str, limit: int) -> Column:
 
 def stock_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The present row of every customer as text, as a registry file has it."""
-    last = order_periods(spark, sf_dir).filter("is_last")
+    last = staged(spark, sf_dir, "periods").filter("is_last")
     joined = last.join(table(spark, sf_dir, "customer"), F.col("k") == F.col("c_custkey"))
     area = F.concat(_pad("c_nationkey", 2), _pad(F.col("k") % 1000, 3))
     treated = F.least(
@@ -121,7 +121,7 @@ def full_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All periods of all customers as text, with columns that are not needed."""
-    p = order_periods(spark, sf_dir)
+    p = staged(spark, sf_dir, "periods")
     return p.select(
         _pad("k", 14).alias("siret"),
         _text("d").alias("dateDebut"),
@@ -248,6 +248,7 @@ def _build_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "periods": order_periods,  # stock and history are both made of it
     "full_stock": full_stock,
     "stock": _build_stock,
     "history": _build_history,

@@ -5,6 +5,7 @@ from annalist.functions.columns import (
     as_date,
     differs,
     has_prefix,
+    let,
     moment,
     month_at,
     month_floor,
@@ -22,6 +23,7 @@ __all__ = [
     "as_date",
     "differs",
     "has_prefix",
+    "let",
     "moment",
     "month_at",
     "month_floor",

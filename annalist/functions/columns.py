@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -17,6 +17,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def as_date(c: Column | str | dt.date) -> Column:
     """Column, column name or Python date as a DATE column."""
     if isinstance(c, dt.date):

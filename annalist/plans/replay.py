@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annalist.functions import let
 from annalist.operators.joins import affected_history
 from annalist.operators.quality import IntegrityError
 from annalist.operators.scd2 import (
@@ -43,11 +44,6 @@ class Replay:
         return batches if self.halted_on is None else batches.filter(F.col(spec.batch_date) < F.lit(self.halted_on))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _step(spec: TableSpec, null_safe: bool, mode: str, hold: bool = False) -> Callable[[Column, Column], Column]:
     """One record applied to an entity's state.
 
@@ -66,7 +62,7 @@ def _step(spec: TableSpec, null_safe: bool, mode: str, hold: bool = False) -> Ca
             (~exists).alias("new"),
             boundary_date(record, current, spec, mode).alias("boundary"),
         )
-        return _let(flags, lambda f: apply(state, record, f))
+        return let(flags, lambda f: apply(state, record, f))
 
     def apply(state: Column, record: Column, flags: Column) -> Column:
         current, boundary, batch = state["open"], flags["boundary"], record[spec.batch_date]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annalist.functions import as_date, rescued
+from annalist.functions import as_date, let, rescued
 from annalist.spec import ColumnSpec, TableSpec
 
 
@@ -119,7 +119,7 @@ def ingest_nested_json(
     columns = [F.from_json("value", fields, options).alias("record"), as_date(batch_date).alias("batch_date")]
     if extra:
         rest = _unknown(F.col("value"), schema, F.lit(""))
-        columns.append(F.when(F.size(rest) > 0, F.map_from_entries(rest)).alias(extra))
+        columns.append(let(rest, lambda r: F.when(F.size(r) > 0, F.map_from_entries(r))).alias(extra))
     return raw.select(*columns).select("record.*", "batch_date", *([extra] if extra else []))
 
 
@@ -137,15 +137,19 @@ def _unknown(text: F.Column, kind: T.DataType, path: F.Column) -> F.Column:
         return F.coalesce(F.flatten(inside), none)
     if not isinstance(kind, T.StructType):
         return none
-    every = F.from_json(text, "map<string, string>")
     dot = F.when(path == "", path).otherwise(F.concat(path, F.lit(".")))
     known = [f.name for f in kind.fields]
-    here = F.transform(
-        F.map_entries(F.map_filter(every, lambda k, _: ~k.isin(*known))),
-        lambda e: F.struct(F.concat(dot, e["key"]).alias("key"), e["value"].alias("value")),
-    )
-    parts = [F.coalesce(here, none)]
-    for f in kind.fields:
-        if isinstance(f.dataType, (T.StructType, T.ArrayType)):
-            parts.append(_unknown(every[f.name], f.dataType, F.concat(dot, F.lit(f.name))))
-    return F.concat(*parts)
+
+    def entries(every: F.Column) -> F.Column:
+        here = F.transform(
+            F.map_entries(F.map_filter(every, lambda k, _: ~k.isin(*known))),
+            lambda e: F.struct(F.concat(dot, e["key"]).alias("key"), e["value"].alias("value")),
+        )
+        parts = [F.coalesce(here, none)]
+        for f in kind.fields:
+            if isinstance(f.dataType, (T.StructType, T.ArrayType)):
+                parts.append(_unknown(every[f.name], f.dataType, F.concat(dot, F.lit(f.name))))
+        return F.concat(*parts)
+
+    # the text is parsed once, and not again for each nested field
+    return let(F.from_json(text, "map<string, string>"), entries)

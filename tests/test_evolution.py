@@ -198,3 +198,13 @@ def test_difference_feeds_the_trends(history):
     assert rows(D.add_sums(D.trend_sums(old, spec=SMALL), change)) == rows(D.trend_sums(new, spec=SMALL))
     with pytest.raises(ValueError, match="different columns"):
         X.snapshot_difference(old, new.drop("area"), ["id"])
+
+
+def test_unknown_fields_are_found_in_one_parse_of_each_text(spark):
+    lines = ['{"siret":"1","new":2,"adresseEtablissement":{"floor":"3"},"periodesEtablissement":[{"note":"n"},{"note":null}]}', "{}", "no", None]
+    raw = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    found = files.ingest_nested_json(raw, files.nested_delta_schema(ESTABLISHMENTS), dt.date(2024, 1, 1), extra="_extra")
+    more = {"new": "2", "adresseEtablissement.floor": "3", "periodesEtablissement[0].note": "n", "periodesEtablissement[1].note": None}
+    assert [r._extra for r in found.select("_extra").collect()] == [more, None, None, None]
+    # the record, and in search of unknown fields: the record, its address, the list of periods, a period
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 5

@@ -97,3 +97,8 @@ def test_trends_of_a_bucketed_history_shuffle_only_sums(spark):
 
 def test_staged_tables_are_written_once(spark):
     assert B.staged(spark, SF, "silver") is B.staged(spark, SF, "silver")
+
+
+def test_stock_and_history_share_the_order_periods(spark):
+    for text in (plan(B.stock_text(spark, SF)), plan(B.history_text(spark, SF))):
+        assert "Window" not in text  # stored once, not made again by each
