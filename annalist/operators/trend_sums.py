@@ -90,11 +90,16 @@ def trend_changes(
 
     ``touched`` lists, by key, all entities whose periods may differ; others are not read beyond their key.
     """
+    dims = dims or default_dims(spec)
+    stored = {name: f"_dim{i}" for i, name in enumerate(dims)}
+    kept = dict.fromkeys([spec.key, spec.state, spec.created_on, spec.start, spec.end])
+    columns = [*kept, *[column.alias(stored[name]) for name, column in dims.items()]]
+    by = {name: F.col(column) for name, column in stored.items()}
     sides = []
     for scd in (before, after):
-        # each history is scanned once; what is summed, three ways, are the touched entities' periods
-        periods = materialize(affected_history(scd, touched, spec.key), "touched-periods")
-        sides.append(trend_sums(periods, dims, spec, transitions_only, disjoint))
+        # each history is scanned once, for what the sums are made of; summed, three ways, are the touched entities' periods
+        periods = materialize(affected_history(scd, touched, spec.key).select(*columns), "touched-periods")
+        sides.append(trend_sums(periods, by, spec, transitions_only, disjoint))
     return add_sums(sides[1], _negative(sides[0]))
 
 

@@ -81,3 +81,16 @@ def test_empty_history(history, transitions_only):
     none = history({"id": "a", "start_at": "2000-01-01"}).limit(0)
     sums = D.trend_sums(none, spec=SMALL, transitions_only=transitions_only)
     assert sums.isEmpty() and D.trends_from_sums(sums, START, END).isEmpty()
+
+
+def test_a_change_stores_only_what_the_sums_need(history, monkeypatch):
+    old = history({"id": "a", "area": "01004", "start_at": "2000-01-01"}, {"id": "b", "start_at": "2000-01-01"})
+    stored, store = [], D.materialize
+    monkeypatch.setattr(D, "materialize", lambda df, name: stored.append(df.columns) or store(df, name))
+    dims = {"created": F.col("sector"), "state": F.col("size")}  # named like columns that the sums are made of
+    new = old.withColumn("sector", F.lit("other"))
+    change = D.trend_changes(old, new, old.select("id").filter("id = 'a'"), dims, SMALL)
+    assert stored == [["id", "state", "created", "start_at", "end_at", "_dim0", "_dim1"]] * 2
+    touched = [df.filter("id = 'a'") for df in (old, new)]
+    sums = [D.trend_sums(df.select("id", "state", "created", "start_at", "end_at", F.col("sector").alias("x"), F.col("size").alias("y")), {"created": F.col("x"), "state": F.col("y")}, SMALL) for df in touched]
+    assert rows(change) == rows(D.add_sums(sums[1], D._negative(sums[0])))
