@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.words import U64, byte_texts, hash_words, ngrams, runs, ship, with_columns
+from annalist.llm.words import U64, byte_texts, few_rows, give_back, hash_words, ngrams, runs, ship, with_columns
 from annalist.session import materialize
 
 SEED = 5
@@ -168,7 +168,7 @@ def contamination(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = _Block(shared.value)
-            for batch in batches:
+            for batch in few_rows(batches):
                 rows = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True):
                     h = np.maximum(hash_words(tokens(text)), U64(1))
@@ -185,6 +185,7 @@ def contamination(
                     [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
                     ["doc_id", "item_id", "n_item_tokens", "n_tiles", "covered", "coverage"],
                 )
+            give_back()
 
         found.append(materialize(docs.mapInArrow(run, schema), "contaminated"))
     if not found:

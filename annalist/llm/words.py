@@ -225,11 +225,11 @@ def split_likely(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
     likely = Likely(ids)
 
     def part(wanted: bool) -> DataFrame:
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(likely.has(batch.column("doc_id")) == wanted))
+        def keep(ids: pa.Array) -> pa.Array:
+            return pa.array(likely.has(ids) == wanted)
 
-        return docs.mapInArrow(keep, docs.schema)
+        # only the ids go to Python; deterministic, it would be put to the other side of a join on them as well
+        return docs.filter(F.arrow_udf(keep, "boolean").asNondeterministic()("doc_id"))
 
     return part(True), part(False)
 

@@ -268,6 +268,20 @@ def test_give_back_leaves_nothing_in_an_idle_worker(monkeypatch):
     assert there == [0]
 
 
+def test_only_ids_go_to_python_to_be_looked_up(spark):
+    common.ship(spark)
+    docs = table(spark, [(i, f"text {i}") for i in range(50)] + [(3, "again"), (None, "no id")])
+    ids = spark.createDataFrame([(3,), (3,), (7,), (None,), (99,)], "doc_id long")
+    likely, rest = common.split_likely(docs, ids)
+    assert {3, 7} <= {r.doc_id for r in likely.collect()}
+    assert sorted([*map(str, likely.collect()), *map(str, rest.collect())]) == sorted(map(str, docs.collect()))
+    left = common.without_ids(docs, ids)
+    assert sorted(r.doc_id for r in left.filter("doc_id is not null").collect()) == [i for i in range(50) if i not in (3, 7)]
+    assert [r.text for r in left.filter("doc_id is null").collect()] == ["no id"]
+    text = left._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in text and text.count("ArrowEvalPython") == 2
+
+
 def test_counts_of_words_lie_on_disk_once(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"a b w{i} w{i + 1} c") for i in range(50)], "doc_id long, text string")
     stored = []
