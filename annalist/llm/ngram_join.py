@@ -6,8 +6,12 @@ Rows of the incidence matrix are the distinct n-gram sets, columns are n-grams.
 2. The columns are cut into as many blocks as a linked pair may have differing n-grams, and a few
    more, so that a linked pair is equal in at least one block (pigeonhole; sizes decide the number of
    blocks). Rows that are equal in a block meet; sets of up to ``SMALL`` n-grams meet in one of
-   their first n-grams in hash order instead. Who meets, directly or through others, is a cluster.
-3. Each cluster is ordered by size and cut into tiles of bounded weight. Only pairs of tiles whose
+   their first n-grams in hash order instead.
+3. Of those that meet, sets whose parity sketches differ in more places than linked sets may have differing
+   n-grams are told apart: each such place holds at least one n-gram of one set alone, so no link is lost.
+   Who is left together, directly or through others, is a cluster. Without this step common n-grams
+   chain unlike texts to one cluster that grows with the corpus.
+4. Each cluster is ordered by size and cut into tiles of bounded weight. Only pairs of tiles whose
    sizes can reach the threshold are multiplied: overlap counts are accumulated over the rare
    columns first, pairs below the bound their sizes set are discarded, then the frequent columns are
    added for the rest. A tile gives back degrees and a spanning forest, never all pairs. The sets lie in
@@ -52,6 +56,10 @@ RATIO = 1.6
 #: n-grams (or 200 for a smaller set) that one tile holds of each side
 TILE = 200_000
 LIGHT = 64
+#: sets that meet in one key and are compared by their sketches at once; more of them are one cluster as they are
+GROUP = 8192
+#: bits of a parity sketch, a power of two by the size of its set
+SKETCH_BITS = (64, 16_384)
 
 
 def _levels(n: int) -> list[tuple[int, int]]:
@@ -120,23 +128,42 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Whether each bucket of hashes holds an odd number of the set's n-grams, as bits of 64-bit words.
+
+    Two sets have at least as many n-grams that only one of them has as their sketches have differing bits.
+    """
+    bits = min(max(1 << (3 * len(s) // 2).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    odd = np.bincount((s & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(U64)
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same set in fewer words."""
+    while len(sketch) > words:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
 def _signatures(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, n, s1, s2): size and signature of each row's set."""
+    """Rows (doc_id, n, s1, s2, sketch): size, signature and parity sketch of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):
-            n, sigs = [], []
+            n, sigs, sketches = [], [], []
             for text in byte_texts(batch.column("text")):
                 s = shingle_set(text, k)
                 n.append(len(s))
                 sigs.append(_signature(s))
+                sketches.append(parity_sketch(s).tobytes())
             columns = [batch.column("doc_id"), pa.array(n, pa.int64())]
             columns += [pa.array([x[i] for x in sigs], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2"])
-        batch = text = s = columns = n = sigs = None
+            columns.append(pa.array(sketches, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "sketch"])
+        batch = text = s = columns = n = sigs = sketches = None
         give_back()
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sketch binary")
 
 
 _STORED = pa.schema(
@@ -172,7 +199,11 @@ def _stored_sets(docs: DataFrame, k: int, likely: Likely, folder: str) -> DataFr
 
 
 def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts: int) -> DataFrame:
-    """Rows (u, v): the set of u has a key in common with that of v, the smallest that has it; of likely documents."""
+    """Rows (meeting, doc_id, large): who has a key in common, of likely documents.
+
+    Keys with the same documents are one meeting. A large one, of more than ``GROUP`` documents, is named by its smallest.
+    """
+    most = GROUP
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = keys = rep = key = got = None
@@ -197,20 +228,75 @@ def _meetings(docs: DataFrame, k: int, limit: Threshold, likely: Likely, parts:
         del both
         order = np.lexsort((rep, key))
         key, rep = key[order], rep[order]
+        first = np.ones(len(key), bool)
+        first[1:] = (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])
+        key, rep = key[first], rep[first]
         starts, lengths = runs(key)
-        low = np.repeat(rep[starts], lengths)
-        differ = rep != low
-        u, v = rep[differ], low[differ]
-        del key, rep, low, differ, starts, lengths, order
+        del key, order, first
+        if not len(starts):
+            return pa.table({"meeting": rep, "doc_id": rep, "large": np.zeros(0, bool)})
+        with np.errstate(over="ignore"):
+            name = mix(np.add.reduceat(mix(rep.view(U64)), starts) + lengths.astype(U64)).view(np.int64)
+        large = lengths > most
+        name[large] = rep[starts[large]]
+        named = np.lexsort((large, name))
+        again = np.zeros(len(name), bool)
+        again[named[1:]] = (name[named[1:]] == name[named[:-1]]) & ~large[named[1:]] & ~large[named[:-1]]
+        wanted = np.repeat((lengths > 1) & ~again, lengths)
+        got = [x[wanted] for x in (np.repeat(name, lengths), rep, np.repeat(large, lengths))]
+        del rep, name, wanted, starts, lengths
         give_back()
-        order = np.lexsort((v, u))
-        u, v = u[order], v[order]
-        first = np.ones(len(u), bool)
-        first[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-        return pa.table({"u": u[first], "v": v[first]})
+        return pa.table(dict(zip(("meeting", "doc_id", "large"), got, strict=True)))
 
     scattered = docs.mapInArrow(scatter, "part int, packed binary").repartition(parts, "part")
-    return scattered.groupBy("part").applyInArrow(meet, "u long, v long").distinct()
+    return scattered.groupBy("part").applyInArrow(meet, "meeting long, doc_id long, large boolean").distinct()
+
+
+def alike(n: np.ndarray, sketches: list[np.ndarray], limit: Threshold) -> np.ndarray:
+    """For each set the first one that it is chained with by pairs that may be linked, by their sizes and sketches."""
+    words = min(map(len, sketches))
+    bits = np.stack([folded(x, words) for x in sketches])
+    label, left = np.arange(len(n)), np.arange(len(n))
+    while len(left):
+        root, left = left[0], left[1:]
+        waiting = [root]
+        while waiting and len(left):
+            x = waiting.pop()
+            need = limit.needed(n[left], n[x])
+            apart = np.bitwise_count(bits[left] ^ bits[x]).sum(1, dtype=np.int64)
+            near = (need <= np.minimum(n[left], n[x])) & (apart <= n[left] + n[x] - 2 * need)
+            label[left[near]] = root
+            waiting.extend(left[near])
+            left = left[~near]
+    return label
+
+
+def _edges(meetings: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
+    """Rows (u, v) that connect all linked sets of a meeting, and few others."""
+    spark = meetings.sparkSession
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("meeting", "ascending"), ("doc_id", "ascending")])
+        doc, n = table.column("doc_id").to_numpy(), table.column("n").to_numpy()
+        sketches = [np.frombuffer(x, U64) for x in table.column("sketch").to_pylist()]
+        low = doc.copy()
+        for start, length in zip(*runs(table.column("meeting").to_numpy()), strict=True):
+            if length > 1:
+                at = slice(start, start + length)
+                low[at] = doc[at][alike(n[at], sketches[at], limit)]
+        del table, sketches
+        give_back()
+        far = doc != low
+        return pa.table({"u": doc[far], "v": low[far]})
+
+    meetings = materialize(meetings, "meetings")
+    small = meetings.filter("not large")
+    # a sketch has 2 KB at most
+    parts = partitions_for(spark, small.count(), 50_000)
+    small = small.join(classes.select(F.col("rep").alias("doc_id"), "n", "sketch"), "doc_id")
+    small = small.withColumn("part", F.pmod(F.xxhash64("meeting"), F.lit(parts))).drop("large")
+    found = small.repartition(parts, "part").groupBy("part").applyInArrow(run, "u long, v long")
+    return found.unionByName(meetings.filter("large").select(F.col("doc_id").alias("u"), F.col("meeting").alias("v"))).distinct()
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray], limit: Threshold, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +452,10 @@ def jaccard_components(
     known = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     by_set = ["n", "s1", "s2"]
     classes = materialize(
-        known.groupBy(*by_set).agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight")), "classes"
+        known.groupBy(*by_set).agg(
+            F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("sketch").alias("sketch")
+        ),
+        "classes",
     )
     total = classes.agg(F.sum("n")).first()[0] or 0
 
@@ -374,7 +463,9 @@ def jaccard_components(
     # One row of each class is keyed, the one with its smallest id. The bitmap lets a few more through: they meet as themselves
     # and are dropped where the members are joined with the classes.
     first = Likely(classes.select(F.col("rep").alias("doc_id")))
-    clusters = connected_components(_meetings(there, k, limit, first, partitions_for(spark, total)))
+    meetings = _meetings(there, k, limit, first, partitions_for(spark, total))
+    clusters = connected_components(_edges(meetings, classes, limit))
+    classes = classes.drop("sketch")
 
     clustered = materialize(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "clusters")
     mine = classes.withColumnRenamed("rep", "doc_id").join(clustered, "doc_id")

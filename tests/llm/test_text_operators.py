@@ -86,6 +86,45 @@ def test_small_tiles_give_the_same_links(spark, corpus, monkeypatch):
     assert set(map(tuple, ngram_join.jaccard_components(table(spark, corpus), 3, 90, 100).collect())) == before
 
 
+def test_unlike_texts_that_share_common_lines_come_into_no_tile(spark, monkeypatch):
+    rng = random.Random(6)
+    text = lambda n: " ".join(str(rng.randrange(10**9)) for _ in range(n))
+    lines = [text(5) for _ in range(8)]
+    rows = [(i, "\n".join([*lines, text(rng.randint(30, 60)), *lines])) for i in range(300)]
+    rows += [(1000 + i, f"{t} end") for i, t in rows[:4]]
+    tiles, sizes = ngram_join._tiles, []
+
+    def counted(sets, limit):
+        sizes.append(sets.count())
+        return tiles(sets, limit)
+
+    monkeypatch.setattr(ngram_join, "_tiles", counted)
+    got = {r[0]: r[2:] for r in ngram_join.jaccard_components(table(spark, rows), 5, 80, 100).collect()}
+    assert got == {i: (1, i % 1000) if i % 1000 < 4 else (0, i) for i, _ in rows}
+    assert sizes[0] < 30
+
+
+def test_large_meetings_give_the_same_links(spark, corpus, monkeypatch):
+    before = set(map(tuple, ngram_join.jaccard_components(table(spark, corpus), 3, 90, 100).collect()))
+    monkeypatch.setattr(ngram_join, "GROUP", 3)
+    assert set(map(tuple, ngram_join.jaccard_components(table(spark, corpus), 3, 90, 100).collect())) == before
+
+
+def test_sketches_part_no_linked_sets():
+    rng = np.random.default_rng(8)
+    limit = ngram_join.Threshold(80, 100)
+    for n in (1, 9, 40, 86, 700, 9000):
+        a = common.mix(rng.integers(0, 2**63, n).astype(np.uint64))
+        for extra in (0, 1, n // 4):  # overlap n of n + n // 4 is 0.8 or more
+            b = np.concatenate([a, common.mix(rng.integers(0, 2**63, extra).astype(np.uint64))])
+            sketches = [ngram_join.parity_sketch(np.sort(x)) for x in (a, b)]
+            linked = 100 * n >= 80 * (n + extra)
+            assert not linked or ngram_join.alike(np.array([n, n + extra]), sketches, limit).tolist() == [0, 0]
+        other = ngram_join.parity_sketch(common.mix(rng.integers(0, 2**63, n).astype(np.uint64)))
+        if n > 8:
+            assert ngram_join.alike(np.array([n, n]), [sketches[0], other], limit).tolist() == [0, 1]
+
+
 def test_shared_passages(spark, corpus):
     docs = [(i, words(t)) for i, t in corpus if i is not None]
     held = defaultdict(set)
