@@ -30,6 +30,8 @@ from annalist.llm.shards import map_arrays, write_arrays
 from annalist.llm.words import (
     U64,
     byte_texts,
+    few_rows,
+    give_back,
     hash_words,
     keep_likely,
     mix,
@@ -98,7 +100,7 @@ def _scan(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, sig, packed): packed keys of the suffixes of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             n, sig, packed = [], [], []
             for text in byte_texts(batch.column("text")):
                 h = hash_words(words_of(text))
@@ -112,6 +114,8 @@ def _scan(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(packed, pa.binary())],
                 ["doc_id", "n", "sig", "packed"],
             )
+        batch = text = h = n = sig = packed = None
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, n long, sig binary, packed binary")
 
@@ -249,6 +253,8 @@ def _packed_splits(chosen: DataFrame, parts: int) -> DataFrame:
                     got, size = [], 0
         if got:
             yield from pack(got)
+        batch = text = got = None
+        give_back()
 
     return chosen.mapInArrow(run, "hot boolean, part int, packed binary")
 

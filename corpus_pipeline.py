@@ -7,6 +7,7 @@ read again as the next one's documents. All but the last keep the columns of the
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,24 @@ from annalist.llm.words import without_ids
 from annalist.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: documents are wide: so many bytes of them go to a Python worker at once, if the session does not say how many
+BATCH_BYTES = "4m"
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def small_batches(stage: Stage) -> Stage:
+    """The same stage in a session whose Arrow batches are bounded by bytes; the setting stays."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(_BATCHES, None) is None:
+            spark.conf.set(_BATCHES, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told with confidence go.
 
@@ -27,6 +44,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs, langid.fit(docs.filter(langid.fold("doc_id", 4) != 2)))
 
 
+@small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id.
 
@@ -36,6 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without_ids(docs, found.filter(F.col("component_id") < F.col("doc_id")))
 
 
+@small_batches
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more stay in the document with the smallest id and are cut from the others.
 
@@ -48,12 +67,14 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", F.coalesce(length, "n_chars")).select(*docs.columns)
 
 
+@small_batches
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, in any order of its parts, go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return without_ids(docs, decontaminate.contamination(docs, items))
 
 
+@small_batches
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents left, packed into sequences of 2048 tokens."""
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), capacity=2048, end_id=0)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -167,6 +168,22 @@ def test_pipeline(spark):
     ]
 
 
+def test_stages_hand_few_bytes_to_python_at_once(spark):
+    docs = spark.range(9000).selectExpr("id as doc_id", "repeat('word ', 400) as text").repartition(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    stage = corpus_pipeline.small_batches(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "n long"))
+    try:
+        found = [r.n for r in stage(spark, docs, SF).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert sum(found) > 9000 * 2000 and max(found) < 5_000_000
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+
+
 def test_pipeline_on_odd_rows(spark):
     """Nulls, repeats, an empty table and a column that clashes with names used inside."""
     text = "the only text of this kind that there is, with some more words in it"
