@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +51,13 @@ class Encoder:
     Such chunks are encoded alone: no match of the pre-tokenizer runs over a single space
     that stands before a printed character. Other texts are encoded whole. The merges are done
     by tiktoken, several times as fast with the vocabulary of the file; a text that names
-    a special token goes to the tokenizer that the file describes.
+    a special token goes to the tokenizer that the file describes, which is kept from the first such text on.
     """
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         byte = _byte_of()
@@ -66,12 +66,19 @@ class Encoder:
             for token, rank in self.tokenizer.get_vocab(with_added_tokens=False).items()
             if token not in special
         }
+        del self.tokenizer
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.width[rank] = len(token)
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks in one go and part the ids where the chunks end."""
         joined = " " + " ".join(chunks)
@@ -127,6 +134,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
+        give_back()  # what reading the vocabulary took
         end = np.array([end_id], "<u4")
         yield from _cut(batches, encoder, end, capacity)
         del encoder

@@ -142,7 +142,10 @@ def _shared_keys(reps: DataFrame, parts: int) -> DataFrame:
         starts, lengths = runs(key)
         several = doc[starts] != doc[starts + lengths - 1]
         keep, m = np.repeat(several, lengths), np.repeat(lengths, lengths)
-        return pa.table({"doc_id": doc[keep], "key": key[keep].view(np.int64), "m": m[keep]})
+        doc, key, m = doc[keep], key[keep].view(np.int64), m[keep]
+        del blobs, order, starts, lengths, several, keep
+        give_back()
+        return pa.table({"doc_id": doc, "key": key, "m": m})
 
     scattered = reps.mapInArrow(scatter, "part int, packed binary")
     return scattered.groupBy("part").applyInArrow(meet, "doc_id long, key long, m long")
@@ -296,7 +299,10 @@ def _gathered(packed: DataFrame) -> DataFrame:
         doc, first, n, split = _unpack(table.column("packed").to_pylist())
         own = np.repeat(doc, n)
         _, least, most, at = _extremes(split, own, own)
-        return _spans(doc, first, n, least[at], most[at])
+        found = _spans(doc, first, n, least[at], most[at])
+        del doc, first, n, split, own, least, most, at
+        give_back()
+        return found
 
     return packed.select("part", "packed").groupBy("part").applyInArrow(meet, _SPANS)
 
@@ -447,7 +453,7 @@ def without_passages(docs: DataFrame, passages: DataFrame, text_column: str = "t
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             texts = []
             at = batch.schema.get_field_index(text_column)
             for text, spans in zip(byte_texts(batch.column(at)), batch.column("__spans").to_pylist(), strict=True):
@@ -465,6 +471,8 @@ def without_passages(docs: DataFrame, passages: DataFrame, text_column: str = "t
                     texts.append(None if text is None else text.decode())
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema.set(at, pa.field(text_column, pa.string())))
+        batch = texts = text = words = ends = out = columns = None
+        give_back()
 
     spans = materialize(spans, "cuts")
     likely, rest = split_likely(docs, spans)

@@ -454,6 +454,12 @@ def test_encoder_equals_tokenizer():
         assert encoder.encode(t).tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_second_tokenizer_is_held_only_after_a_special_token():
+    encoder = packing.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    ids = [encoder.encode("plain words").tolist(), "tokenizer" in vars(encoder), encoder.encode("a<|endoftext|>").tolist()]
+    assert ids == [[25638, 2456], False, [64, 50256]] and "tokenizer" in vars(encoder)
+
+
 def test_plan_is_a_packing_near_the_bound():
     rng = random.Random(5)
     for n in (1, 30, 3000):
